@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import hours_between
 from ..schemas import MONEY_COLUMNS
 
 MONEY = "decimal(18,2)"
@@ -64,7 +65,7 @@ def monthly_report(trips: DataFrame) -> DataFrame:
             .agg(money_sum("fare_amount").alias("fare"), money_sum("tip_amount").alias("tips"),
                  money_sum("total_amount").alias("total"),
                  F.round(F.avg("passenger_count"), 1).alias("avg_passengers"),
-                 F.round(F.avg(F.col("trip_distance").cast("double")), 2).alias("avg_distance"))
+                 F.round(F.avg("trip_distance"), 2).cast("double").alias("avg_distance"))
             .orderBy("zone", F.desc("month"), "type"))
 
 
@@ -93,3 +94,15 @@ def rarest_zone(trips: DataFrame, zones: DataFrame) -> DataFrame:
     return (per_id.join(zones, per_id.pickup_location_id == zones.location_id)
             .groupBy("zone").agg(F.sum("n").alias("pickup_count"))
             .orderBy("pickup_count", "zone").limit(1))
+
+
+def longest_trip(trips: DataFrame) -> DataFrame:
+    return trips.agg(F.max(hours_between("pickup_datetime", "dropoff_datetime"))
+                     .alias("longest_trip_hours"))
+
+
+def revenue_pairs(df: DataFrame, ts: str, zone: str, amount: str) -> DataFrame:
+    """(hour, zone) to revenue in cents and count, in the types of the keyed-reduce report."""
+    return (df.groupBy(F.date_trunc("hour", ts).alias("hour"), F.col(zone).alias("zone"))
+            .agg(money_sum(amount, "decimal(10,2)").alias("revenue"),
+                 F.count("*").cast("int").alias("count")))

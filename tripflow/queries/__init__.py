@@ -2,15 +2,8 @@
 
 from __future__ import annotations
 
-from importlib import import_module
-
+from . import (aggregates, checks, joins, maintenance, projections, rows, scalars, scans,  # noqa: F401
+               streams)
 from ._registry import ORACLES, QUERIES
 
-_MODULES = ["projections"]
-_LATER = ["scans", "projections", "joins", "aggregates", "rows", "scalars", "checks",
-            "maintenance", "streams"]
-
-for _name in _MODULES:
-    import_module(f"{__name__}.{_name}")
-
 __all__ = ["ORACLES", "QUERIES"]

@@ -72,7 +72,8 @@ def clean_filter_audit(spark, sf_dir):
 
 
 @query("clean_filter", f"""WITH {t.TRIPS_SQL}
-SELECT service_type, pickup_datetime, trip_distance - 60 AS trip_distance, fare_amount FROM trips
+SELECT service_type, pickup_datetime, CAST(trip_distance - 60 AS DECIMAL(18,4)) AS trip_distance,
+       fare_amount FROM trips
 WHERE trip_distance > 60 AND fare_amount > 0""")
 def clean_filter(spark, sf_dir):
     shifted = t.trips(spark, sf_dir).withColumn(
