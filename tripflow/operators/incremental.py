@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.writers import child_names, is_complete
+from ..session import work_dir
+from ..sources.writers import child_names, is_complete, path_exists
 
 
-def insert_new(target: DataFrame, batch: DataFrame, key: str, dedup_batch: bool = False) -> DataFrame:
+def insert_new(target: DataFrame, batch: DataFrame, key: str, dedup_batch: bool = False,
+               within: str | None = None) -> DataFrame:
     """Rows of the batch whose key the target lacks; append them to the target.
 
-    Equal new rows inside one batch are all inserted, unless `dedup_batch`.
+    Equal new rows inside one batch are all inserted, unless `dedup_batch`. `within` names a column
+    that the key is made from (such as the pickup time): the target is then read only between the
+    batch's smallest and largest value, which skips its older files and changes no result.
     """
+    if within:
+        low, high = F.min(within).alias("low"), F.max(within).alias("high")
+        target = target.where(F.col(within).between(batch.agg(low).scalar(), batch.agg(high).scalar()))
     known = target.select(F.col(key).alias("_known"))
     fresh = batch.join(known, F.col(key) == F.col("_known"), "left_anti")
     return fresh.dropDuplicates([key]) if dedup_batch else fresh
@@ -60,3 +69,29 @@ def published(spark: SparkSession, root: str, version: int | None = None) -> Dat
     if not versions:
         raise FileNotFoundError(f"no complete version below {root}")
     return spark.read.parquet(f"{root}/v={versions[-1] if version is None else version}")
+
+
+def merge_partitions(spark: SparkSession, batch: DataFrame, root: str, key: str, partition: str,
+                     ) -> list[str]:
+    """Upsert into a table partitioned by a column that the key determines, rewriting only the
+    partitions the batch touches. Returns their values.
+
+    The merged partitions are written aside first and then replace the stored ones, so nothing is
+    overwritten while it is read, and a run that breaks off can be repeated.
+    """
+    staged, merged = work_dir(spark, "merge-batch"), work_dir(spark, "merge-result")
+    batch.write.partitionBy(partition).parquet(staged)
+    touched = sorted(unquote(name.split("=", 1)[1]) for name in child_names(spark, staged)
+                     if name.startswith(f"{partition}="))
+    if not touched:
+        return []
+    incoming = spark.read.schema(batch.schema).parquet(staged)
+    if not path_exists(spark, f"{root}/_SUCCESS"):
+        result = incoming
+    else:
+        kept = F.col(partition).cast("string").isin(touched)
+        result = upsert(spark.read.option("mergeSchema", True).parquet(root).where(kept), incoming, key)
+    result.hint("rebalance", F.col(partition)).write.partitionBy(partition).parquet(merged)
+    (spark.read.schema(result.schema).parquet(merged).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(root))
+    return touched

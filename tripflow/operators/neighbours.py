@@ -16,12 +16,12 @@ from pyspark.sql import functions as F
 
 def counted_neighbours(df: DataFrame, group: list[str], order: list[str], source: str,
                        following: bool, name: str,
-                       keep: Callable[[Column], Column] | None = None) -> DataFrame:
+                       wanted: Callable[[Column], Column] | None = None) -> DataFrame:
     """Distinct (group, order) rows with `n_rows` copies and the neighbour's `source` value.
 
     `source` is one of the order columns; `following` picks the next row instead of the previous.
-    `keep` gets the neighbour column and says which rows to return (NULL counts as no); rows that
-    are not kept are dropped before the second window, so that it stays small.
+    `wanted` gets the neighbour column and may say which rows the caller can use; it keeps the
+    second window small. Edge rows are returned in any case.
     """
     columns = [*group, *order]
     distinct = df.groupBy(*columns).agg(F.count("*").alias("n_rows"))
@@ -31,18 +31,17 @@ def counted_neighbours(df: DataFrame, group: list[str], order: list[str], source
     inside = Window.partitionBy("_range", *group).orderBy(*order)
     shift = F.lead if following else F.lag
     near = (ranged
-            .withColumn("_at_start", F.row_number().over(inside) == 1)
+            .withColumn("_at_start", F.lag(F.lit(1)).over(inside).isNull())
             .withColumn("_at_end", F.lead(F.lit(1)).over(inside).isNull())
             .withColumn(name, shift(source).over(inside)))
     open_edge = F.col("_at_end") if following else F.col("_at_start")
     is_edge = F.col("_at_start") | F.col("_at_end")
-    if keep is not None:
-        near = near.where(is_edge | F.coalesce(keep(F.col(name)), F.lit(False)))
+    if wanted is not None:
+        near = near.where(is_edge | F.coalesce(wanted(F.col(name)), F.lit(False)))
 
     # all edge rows of a group meet in one partition (at most two per range); others stay apart
     across = (Window.partitionBy(*group, F.when(is_edge, F.lit(-1)).otherwise(F.col("_range")))
               .orderBy(*order))
     linked = (near.withColumn("_linked", shift(source).over(across))
               .withColumn(name, F.when(open_edge, F.col("_linked")).otherwise(F.col(name))))
-    result = linked.select(*columns, name, "n_rows")
-    return result.where(keep(F.col(name))) if keep is not None else result
+    return linked.select(*columns, name, "n_rows")

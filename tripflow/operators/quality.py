@@ -256,12 +256,13 @@ def sequential_values(df: DataFrame, column: str, interval: int = 1, datepart: s
         return value != prev + interval
 
     rows = _filtered(df, where).select(*group, column).where(value.isNotNull())
-    firsts = counted_neighbours(rows, group, [column], column, following=False, name=previous)
+    linked = counted_neighbours(rows, group, [column], column, following=False, name=previous,
+                                wanted=lambda prev: breaks(prev) | (F.col("n_rows") > 1))
     # the first of n equal rows follows the smaller value, the other n - 1 follow an equal one
-    copies = firsts.select(*group, column, value.alias(previous), (F.col("n_rows") - 1).alias("n_rows"))
-    pairs = firsts.withColumn("n_rows", F.lit(1).cast("bigint")).select(*copies.columns).union(
-        copies.where("n_rows > 0"))
-    return pairs.where(breaks(F.col(previous)))
+    pairs = F.array(F.struct(F.col(previous).alias("prev"), F.lit(1).cast("bigint").alias("n")),
+                    F.struct(value.alias("prev"), (F.col("n_rows") - 1).alias("n")))
+    return (linked.select(*group, column, F.inline(pairs).alias(previous, "n_rows"))
+            .where((F.col("n_rows") > 0) & breaks(F.col(previous))))
 
 
 def mutually_exclusive_ranges(df: DataFrame, lower: str, upper: str,
@@ -287,13 +288,16 @@ def mutually_exclusive_ranges(df: DataFrame, lower: str, upper: str,
         return ~(in_order & fits_next)
 
     rows = _filtered(df, where).select(*group, lower, upper)
-    lasts = counted_neighbours(rows, group, [lower, upper], lower, following=True, name="next_lower")
-    copies = lasts.select(*group, lower, upper, low.alias("next_lower"),
-                          (F.col("n_rows") - 1).alias("n_rows"), F.lit(False).alias("_is_last"))
-    single = lasts.select(*group, lower, upper, "next_lower", F.lit(1).cast("bigint").alias("n_rows"),
-                          F.col("next_lower").isNull().alias("_is_last"))
-    return (single.union(copies.where("n_rows > 0"))
-            .where(fails(F.col("next_lower"), F.col("_is_last"))).drop("_is_last"))
+    next_lower, n_rows = F.col("next_lower"), F.col("n_rows")
+    linked = counted_neighbours(rows, group, [lower, upper], lower, following=True, name="next_lower",
+                                wanted=lambda nxt: fails(nxt, F.lit(False)) | (n_rows > 1))
+    # the last of n equal rows meets the next range, the other n - 1 meet an equal one
+    one = F.lit(1).cast("bigint")
+    cases = F.array(
+        F.struct(next_lower.alias("nxt"), one.alias("n"), next_lower.isNull().alias("last")),
+        F.struct(low.alias("nxt"), (n_rows - 1).alias("n"), F.lit(False).alias("last")))
+    return (linked.select(*group, lower, upper, F.inline(cases).alias("next_lower", "n_rows", "_last"))
+            .where((n_rows > 0) & fails(next_lower, F.col("_last"))).drop("_last"))
 
 
 def schema_contract(df: DataFrame, contract: T.StructType) -> DataFrame:

@@ -17,8 +17,8 @@ def score_batches(df: DataFrame, load_model: Callable[[], Callable[[pd.DataFrame
                   features: list[str], output: str = "predicted_duration") -> DataFrame:
     """Append a model's prediction to every row.
 
-    `load_model` runs once per task and returns a function from a pandas batch to a series; only
-    the listed columns travel to Python besides the ones kept. Batch size is
+    `load_model` runs once per task and returns a function from a pandas batch to a series. All
+    columns of `df` travel to Python and back: select the needed ones first. Batch size is
     `spark.sql.execution.arrow.maxRecordsPerBatch`.
     """
     schema = T.StructType([*df.schema.fields, T.StructField(output, T.DoubleType())])

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..operators.incremental import publish, published, rows_above_high_water, upsert
+from ..functions import month_text
+from ..operators.incremental import merge_partitions, rows_above_high_water
 from ..sources.readers import read_parquet
-from ..sources.writers import write_single_file, write_table
+from ..sources.writers import child_names, write_single_file, write_table
 from . import marts, reports, staging
 
+MONTH = "pickup_month"
+
 
 def build_fact(green: DataFrame, yellow: DataFrame, payment_types: DataFrame, zones: DataFrame,
                start: str | None = None, end: str | None = None) -> DataFrame:
@@ -20,22 +24,29 @@ def build_fact(green: DataFrame, yellow: DataFrame, payment_types: DataFrame, zo
 
 
 def refresh_fact(spark: SparkSession, fact: DataFrame, root: str, look_back: str | None = None,
-                 full: bool = False) -> str:
-    """Publish the next version of the fact: everything, or the stored rows with the newer ones
-    merged in by trip id."""
-    try:
-        stored = None if full else published(spark, root)
-    except FileNotFoundError:
-        stored = None
-    if stored is None:
-        return publish(fact, root)
-    newer = rows_above_high_water(fact, stored, "pickup_datetime", look_back)
-    return publish(upsert(stored, newer, "trip_id"), root)
+                 ) -> list[str]:
+    """Merge the newer rows of the fact into the stored table, by trip id.
+
+    The table is partitioned by pickup month, which the trip id determines: only the newest month
+    is read for the high-water mark, and only months with new rows are rewritten. Returns them.
+    """
+    rows = fact.withColumn(MONTH, month_text("pickup_datetime"))
+    months = sorted(name.split("=")[1] for name in child_names(spark, root)
+                    if name.startswith(f"{MONTH}="))
+    if months:
+        newest = read_parquet(spark, f"{root}/{MONTH}={months[-1]}").select("pickup_datetime")
+        rows = rows_above_high_water(rows, newest, "pickup_datetime", look_back)
+    return merge_partitions(spark, rows, root, "trip_id", MONTH)
+
+
+def stored_fact(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
+    """The stored fact; a declared schema shows columns that older months do not have yet."""
+    return read_parquet(spark, root, schema)
 
 
 def build_reports(spark: SparkSession, fact_root: str, out: str) -> None:
-    """Write the monthly mart and the vendor dimension from the published fact."""
-    fact = published(spark, fact_root)
+    """Write the monthly mart and the vendor dimension from the stored fact."""
+    fact = stored_fact(spark, fact_root)
     write_table(reports.monthly_zone_revenue(fact), f"{out}/monthly_zone_revenue")
     write_single_file(marts.dim_vendors(fact), f"{out}/dim_vendors")
 

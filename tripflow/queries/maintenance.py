@@ -27,7 +27,8 @@ def merge_insert_only(spark, sf_dir):
     writers.append_rows(raw.where(month <= 8), path)
     for _ in range(2):
         stored = readers.read_parquet(spark, path, raw.schema)
-        new = incremental.insert_new(stored, raw.where(month >= 6), "unique_row_id")
+        new = incremental.insert_new(stored, raw.where(month >= 6), "unique_row_id",
+                                     within="lpep_pickup_datetime")
         # written aside first: a table cannot be appended to while its old files are read
         batch = work_dir(spark, "batch")
         writers.convert_to_parquet(new, batch)
@@ -37,13 +38,28 @@ def merge_insert_only(spark, sf_dir):
 
 @query("incremental_upsert", f"WITH {t.FACT_SQL} SELECT * FROM fct")
 def incremental_upsert(spark, sf_dir):
-    """Fact loaded up to 1998 first, then brought up to date with a week's look-back."""
+    """Fact loaded up to mid 1998 first, with wrong amounts and without its last column, then
+    brought up to date with a look-back over all of it."""
     fact, root = t.fact(spark, sf_dir), work_dir(spark, "fact")
-    early = fact.where("pickup_datetime < TIMESTAMP '1998-06-01'").drop("payment_type_description")
-    jobs.refresh_fact(spark, early, root, full=True)
-    # the new column reaches old rows only where they are reloaded, so this load looks back to all
+    early = (fact.where("pickup_datetime < TIMESTAMP '1998-06-01'").drop("payment_type_description")
+             .withColumn("total_amount", F.lit(0).cast("decimal(18,4)")))
+    jobs.refresh_fact(spark, early, root)
     jobs.refresh_fact(spark, fact, root, look_back="20 years")
-    return incremental.published(spark, root).select(*fact.columns)
+    return jobs.stored_fact(spark, root, fact.schema).drop(jobs.MONTH)
+
+
+@query("incremental_new_only", f"""WITH {t.FACT_SQL}
+SELECT trip_id, pickup_datetime, CASE WHEN pickup_datetime < TIMESTAMP '1998-06-01' THEN 0
+       ELSE total_amount END AS total_amount FROM fct""")
+def incremental_new_only(spark, sf_dir):
+    """Without look-back only rows above the high-water mark are loaded; stored ones stay."""
+    fact = t.fact(spark, sf_dir).select("trip_id", "pickup_datetime", "total_amount")
+    root = work_dir(spark, "fact")
+    early = (fact.where("pickup_datetime < TIMESTAMP '1998-06-01'")
+             .withColumn("total_amount", F.lit(0).cast("decimal(18,4)")))
+    jobs.refresh_fact(spark, early, root)
+    jobs.refresh_fact(spark, fact, root)
+    return jobs.stored_fact(spark, root, fact.schema).drop(jobs.MONTH)
 
 
 @query("incremental_high_water", f"""WITH {t.FACT_SQL}
@@ -87,7 +103,19 @@ def backfill_months(spark, sf_dir):
 
 @query("trips_end_to_end", MART_SQL)
 def trips_end_to_end(spark, sf_dir):
-    """Feeds to published fact to monthly mart."""
+    """Feeds to stored fact to monthly mart."""
     root = work_dir(spark, "model")
-    jobs.refresh_fact(spark, t.fact(spark, sf_dir), f"{root}/fct_trips", full=True)
-    return monthly_mart(incremental.published(spark, f"{root}/fct_trips"))
+    fact = t.fact(spark, sf_dir)
+    jobs.refresh_fact(spark, fact, f"{root}/fct_trips")
+    return monthly_mart(jobs.stored_fact(spark, f"{root}/fct_trips", fact.schema))
+
+
+@query("publish_versions", "SELECT o_orderkey, o_orderstatus FROM orders")
+def publish_versions(spark, sf_dir):
+    """A small table republished whole: readers see the newest complete version."""
+    orders = t.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    root = work_dir(spark, "versions")
+    incremental.publish(orders.where("o_orderstatus = 'F'"), root)
+    more = incremental.insert_new(incremental.published(spark, root), orders, "o_orderkey")
+    incremental.publish(incremental.published(spark, root).unionByName(more), root)
+    return incremental.published(spark, root)

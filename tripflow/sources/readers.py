@@ -96,6 +96,17 @@ def read_pages(spark: SparkSession, path: str, record_schema: T.StructType,
             .select(*[f.name for f in fields], F.inline(F.col(record_list))))
 
 
+MAX_INLINE_SEED = 1000
+
+
 def seed(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
-    """Small lookup table held in code or configuration."""
-    return spark.createDataFrame(rows, schema)
+    """Small lookup table held in code or configuration.
+
+    The rows become literals of the plan, so that Spark knows how small the table is and broadcasts
+    it. Larger lookups belong in a file, whose size Spark can see.
+    """
+    if not 0 < len(rows) <= MAX_INLINE_SEED:
+        raise ValueError(f"a seed has 1 to {MAX_INLINE_SEED} rows, not {len(rows)}")
+    literals = [F.struct(*[F.lit(value).cast(f.dataType).alias(f.name)
+                           for value, f in zip(row, schema.fields, strict=True)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*literals)))
