@@ -3,26 +3,44 @@ map-side before the shuffle."""
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import hours_between
 from ..schemas import MONEY_COLUMNS
 
 MONEY = "decimal(18,2)"
+_SCALE = 4
+_PER_UNIT = Decimal("0.0001")
+
+
+def _units(df: DataFrame, column: str) -> Column:
+    """Sum of a column in ten-thousandths, as an exact number without fraction."""
+    if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)):
+        # whole numbers add up exactly and fast; an overflow is an error
+        return F.sum(F.floor(F.col(column) * 10 ** _SCALE + 0.5)).cast("decimal(20,0)")
+    return F.sum(F.col(column)) * 10 ** _SCALE
+
+
+def money_sum(df: DataFrame, column: str, result_type: str = MONEY) -> Column:
+    """Sum of a money column that does not depend on the order of the rows, unlike a sum of
+    doubles. A total beyond the result type is an error."""
+    return (_units(df, column) * _PER_UNIT).cast(result_type)
 
 
-def money_sum(column: str, result_type: str = MONEY) -> Column:
-    """Exact sum of a money column, whatever the order of the rows: decimals are added, not doubles.
-    An overflow of the result type is an error."""
-    return F.sum(F.col(column).cast("decimal(18,4)")).cast(result_type)
+def exact_mean(df: DataFrame, column: str, digits: int) -> Column:
+    """Mean of the non-NULL values, rounded half up, independent of row order."""
+    return F.round(_units(df, column) * _PER_UNIT / F.count(column), digits)
 
 
 def hourly_revenue(df: DataFrame, ts: str, zone: str, amount: str, start: str) -> DataFrame:
     """Revenue and records per hour and zone from a start date."""
     return (df.where(F.col(ts) >= F.lit(start).cast("timestamp"))
             .groupBy(F.date_trunc("hour", ts).alias("hour"), F.col(zone).alias("zone"))
-            .agg(money_sum(amount).alias("amount"), F.count("*").alias("number_records")))
+            .agg(money_sum(df, amount).alias("amount"), F.count("*").alias("number_records")))
 
 
 def hourly_revenue_both(green: DataFrame, yellow: DataFrame) -> DataFrame:
@@ -48,7 +66,7 @@ def monthly_revenue_decimal(trips: DataFrame, zone: str = "pickup_location_id")
     return (trips.groupBy(F.col(zone).alias("revenue_zone"),
                           F.date_trunc("month", "pickup_datetime").alias("revenue_month"),
                           "service_type")
-            .agg(*[money_sum(c).alias(_monthly_name(c)) for c in MONEY_COLUMNS],
+            .agg(*[money_sum(trips, c).alias(_monthly_name(c)) for c in MONEY_COLUMNS],
                  F.avg("passenger_count").alias("avg_monthly_passenger_count"),
                  F.avg(F.col("trip_distance").cast("double")).alias("avg_monthly_trip_distance")))
 
@@ -62,10 +80,10 @@ def monthly_report(trips: DataFrame) -> DataFrame:
     return (trips.groupBy(F.col("pickup_location_id").alias("zone"),
                           F.date_format(F.date_trunc("month", "pickup_datetime"), "yyyy-MM").alias("month"),
                           F.col("service_type").alias("type"))
-            .agg(money_sum("fare_amount").alias("fare"), money_sum("tip_amount").alias("tips"),
-                 money_sum("total_amount").alias("total"),
+            .agg(money_sum(trips, "fare_amount").alias("fare"), money_sum(trips, "tip_amount").alias("tips"),
+                 money_sum(trips, "total_amount").alias("total"),
                  F.round(F.avg("passenger_count"), 1).alias("avg_passengers"),
-                 F.round(F.avg("trip_distance"), 2).cast("double").alias("avg_distance"))
+                 exact_mean(trips, "trip_distance", 2).cast("double").alias("avg_distance"))
             .orderBy("zone", F.desc("month"), "type"))
 
 
@@ -73,8 +91,8 @@ def daily_stats(trips: DataFrame) -> DataFrame:
     """Trips, revenue and mean distance per zone, day and service."""
     return (trips.groupBy(F.col("pickup_location_id").alias("pickup_zone_id"),
                           F.date_trunc("day", "pickup_datetime").alias("pickup_day"), "service_type")
-            .agg(F.count("*").alias("total_trips"), money_sum("total_amount").alias("daily_revenue"),
-                 F.avg("trip_distance").cast("decimal(10,2)").alias("avg_distance")))
+            .agg(F.count("*").alias("total_trips"), money_sum(trips, "total_amount").alias("daily_revenue"),
+                 exact_mean(trips, "trip_distance", 2).cast("decimal(10,2)").alias("avg_distance")))
 
 
 def monthly_zone_revenue(fact: DataFrame) -> DataFrame:
@@ -104,5 +122,5 @@ def longest_trip(trips: DataFrame) -> DataFrame:
 def revenue_pairs(df: DataFrame, ts: str, zone: str, amount: str) -> DataFrame:
     """(hour, zone) to revenue in cents and count, in the types of the keyed-reduce report."""
     return (df.groupBy(F.date_trunc("hour", ts).alias("hour"), F.col(zone).alias("zone"))
-            .agg(money_sum(amount, "decimal(10,2)").alias("revenue"),
+            .agg(money_sum(df, amount, "decimal(10,2)").alias("revenue"),
                  F.count("*").cast("int").alias("count")))

@@ -6,8 +6,6 @@ every rule of the staging filter both keeps and drops rows.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -98,10 +96,10 @@ def _exact(expression: Column, scale: int = 4) -> Column:
 # --- trip feeds: Spark ---
 
 def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both feeds as loaded: identifiers and codes as text, amounts exact."""
+    """Both feeds as loaded: identifiers and codes as text, amounts as doubles."""
     c = F.col
     line = c("l_linenumber")
-    file_date = c("o_orderdate") + F.make_interval(days=F.when(line == 7, 3).otherwise(0))
+    file_date = F.date_add("o_orderdate", F.when(line == 7, 3).otherwise(0))
     feed = F.when(c("l_linestatus") == "O", "green").otherwise("yellow")
     mta_tax = F.when(c("l_discount") > 0.095, 0.8).when(c("l_discount") < 0.045, 0.5).otherwise(0.0)
     columns = {
@@ -110,25 +108,24 @@ def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
                              F.lit(".csv.gz")),
         # 0 stands for a missing vendor
         "VendorID": F.nullif(c("l_suppkey") % 5, F.lit(0)).cast("string"),
-        "pickup_datetime": c("o_orderdate") + F.make_interval(hours=line - 1),
-        "dropoff_datetime": c("l_shipdate") + F.make_interval(
-            mins=(c("l_partkey") % 1440).cast("int"), secs=F.lit(30)),
+        "pickup_datetime": _later("o_orderdate", (line - 1) * 3600),
+        "dropoff_datetime": _later("l_shipdate", c("l_partkey") % 1440 * 60 + 30),
         "store_and_fwd_flag": F.when(c("l_returnflag") == "R", "Y").otherwise("N"),
         "RatecodeID": F.when(c("l_partkey") % 50 == 0, "n/a").otherwise(
             (c("l_partkey") % 7 + 1).cast("string")),
         "PULocationID": c("pickup_nation").cast("string"),
         "DOLocationID": c("dropoff_nation").cast("string"),
         "passenger_count": line,
-        "trip_distance": _exact(c("l_quantity").cast("decimal(10,2)") * _number("2.1")),
-        "fare_amount": _exact(c("l_extendedprice")),
-        "extra": _exact(c("l_tax").cast("decimal(4,2)") * 50),
-        "mta_tax": _exact(mta_tax),
-        "tip_amount": _exact(c("l_discount").cast("decimal(4,2)") * 100),
-        "tolls_amount": _exact(c("l_partkey") % 4),
-        "improvement_surcharge": _exact(_number("0.3")),
-        "total_amount": _exact(F.round(c("o_totalprice").cast("decimal(12,2)") * _number("0.001"), 2)),
+        "trip_distance": c("l_quantity") * 2.1,
+        "fare_amount": c("l_extendedprice"),
+        "extra": c("l_tax") * 50,
+        "mta_tax": mta_tax,
+        "tip_amount": c("l_discount") * 100,
+        "tolls_amount": (c("l_partkey") % 4).cast("double"),
+        "improvement_surcharge": F.lit(0.3),
+        "total_amount": F.floor("o_totalprice") / 1000,
         "payment_type": ((c("l_orderkey") + line) % 7).cast("string"),
-        "congestion_surcharge": _exact(F.when(line > 3, 2.5).otherwise(0.0)),
+        "congestion_surcharge": F.when(line > 3, 2.5).otherwise(0.0),
         "trip_type": (c("l_orderkey") % 2 + 1).cast("string"),
     }
     rows = lines(spark, sf_dir).select(*[value.alias(name) for name, value in columns.items()])
@@ -138,12 +135,8 @@ def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 FINGERPRINT_FIELDS = ["VendorID", "pickup_datetime", "dropoff_datetime", "PULocationID", "DOLocationID"]
 
 
-def _exact(value: Column) -> Column:
-    return value.cast("decimal(18,4)")
-
-
-def _number(text: str) -> Column:
-    return F.lit(Decimal(text))
+def _later(ts: str, seconds: Column) -> Column:
+    return F.timestamp_seconds(F.unix_seconds(F.col(ts)) + seconds)
 
 
 def raw_green(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,15 +151,17 @@ def raw_yellow(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  "dropoff_datetime": "tpep_dropoff_datetime"}))
 
 
-def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both feeds under common names and types, unfiltered, from one scan."""
+def trips(spark: SparkSession, sf_dir: str, exact: bool = False) -> DataFrame:
+    """Both feeds under common names, unfiltered, from one scan; amounts as loaded or exact."""
     service = F.when(F.col("l_linestatus") == "O", "Green").otherwise("Yellow")
+    amounts = [F.col(c).cast("decimal(18,4)" if exact else "double").alias(c)
+               for c in ["trip_distance", *MONEY_COLUMNS]]
     return _raw(spark, sf_dir).select(
         service.alias("service_type"), F.col("VendorID").cast("int").alias("vendor_id"),
         F.col("PULocationID").cast("int").alias("pickup_location_id"),
         F.col("DOLocationID").cast("int").alias("dropoff_location_id"),
-        "pickup_datetime", "dropoff_datetime", "passenger_count", "trip_distance",
-        F.col("payment_type").cast("int").alias("payment_type"), *MONEY_COLUMNS)
+        "pickup_datetime", "dropoff_datetime", "passenger_count",
+        F.col("payment_type").cast("int").alias("payment_type"), *amounts)
 
 
 # --- trip feeds: SQL ---
@@ -194,8 +189,7 @@ raw_rows AS (
            CAST(CAST(l_discount AS DECIMAL(4,2)) * 100 AS DECIMAL(18,4)) AS tip_amount,
            CAST(l_partkey % 4 AS DECIMAL(18,4)) AS tolls_amount,
            CAST(0.3 AS DECIMAL(18,4)) AS improvement_surcharge,
-           CAST(round(CAST(o_totalprice AS DECIMAL(12,2)) * 0.001, 2) AS DECIMAL(18,4))
-               AS total_amount,
+           CAST(floor(o_totalprice) / 1000 AS DECIMAL(18,4)) AS total_amount,
            CAST((l_orderkey + l_linenumber) % 7 AS VARCHAR) AS payment_type,
            CAST(CASE WHEN l_linenumber > 3 THEN 2.5 ELSE 0.0 END AS DECIMAL(18,4))
                AS congestion_surcharge,

@@ -205,7 +205,7 @@ def dq_exclusive_ranges_all(spark, sf_dir):
 SELECT pickup_datetime, trip_distance, fare_amount, total_amount FROM trips
 WHERE NOT (trip_distance >= 5) OR NOT (trip_distance <= total_amount)""")
 def dq_accepted_range(spark, sf_dir):
-    return dq.accepted_range(t.trips(spark, sf_dir), "trip_distance", 5, "total_amount").select(
+    return dq.accepted_range(t.trips(spark, sf_dir, exact=True), "trip_distance", 5, "total_amount").select(
         "pickup_datetime", "trip_distance", "fare_amount", "total_amount")
 
 
@@ -267,7 +267,7 @@ SELECT name, failures, severity, CASE WHEN name = 'payment_codes' THEN
         CASE WHEN failures > 100 THEN 'error' WHEN failures > 1 THEN 'warn' ELSE 'pass' END
     WHEN failures = 0 THEN 'pass' ELSE severity END AS status FROM counted""")
 def dq_suite(spark, sf_dir):
-    trips, zones = t.trips(spark, sf_dir), marts.dim_zones(t.zones(spark, sf_dir))
+    trips, zones = t.trips(spark, sf_dir, exact=True), marts.dim_zones(t.zones(spark, sf_dir))
     return dq.run_suite([
         dq.Check("vendor_not_null", trips, dq.fails_not_null("vendor_id")),
         dq.Check("fare_positive", trips, dq.fails_expression("fare_amount > 0")),

@@ -24,8 +24,8 @@ FROM trips JOIN zones zpu ON pickup_location_id = zpu.locationid
 JOIN zones zdo ON dropoff_location_id = zdo.locationid
 ORDER BY pickup_datetime, dropoff_datetime, total_amount, pickup_zone, dropoff_zone LIMIT 100""")
 def join_dim_twice(spark, sf_dir):
-    rows = t.trips(spark, sf_dir).select("pickup_datetime", "dropoff_datetime", "total_amount",
-                                         "pickup_location_id", "dropoff_location_id")
+    rows = t.trips(spark, sf_dir, exact=True).select("pickup_datetime", "dropoff_datetime",
+                                                     "total_amount", "pickup_location_id", "dropoff_location_id")
     joined = join_dimension_twice(rows, t.zones(spark, sf_dir), "locationid", "pickup_location_id",
                                   "dropoff_location_id", {"zone": "zone"}, ("pickup_", "dropoff_"),
                                   how="inner")

@@ -66,7 +66,7 @@ SELECT count(*) AS rows_before,
 FROM trips""")
 def clean_filter_audit(spark, sf_dir):
     # shifted, because every derived trip has a distance and a passenger
-    shifted = t.trips(spark, sf_dir).withColumns({
+    shifted = t.trips(spark, sf_dir, exact=True).withColumns({
         "trip_distance": F.col("trip_distance") - 60, "passenger_count": F.col("passenger_count") - 2})
     return staging.clean_trips(shifted)[1]
 
@@ -76,7 +76,7 @@ SELECT service_type, pickup_datetime, CAST(trip_distance - 60 AS DECIMAL(18,4))
        fare_amount FROM trips
 WHERE trip_distance > 60 AND fare_amount > 0""")
 def clean_filter(spark, sf_dir):
-    shifted = t.trips(spark, sf_dir).withColumn(
+    shifted = t.trips(spark, sf_dir, exact=True).withColumn(
         "trip_distance", (F.col("trip_distance") - 60).cast("decimal(18,4)"))
     return staging.clean_trips(shifted)[0].select("service_type", "pickup_datetime", "trip_distance",
                                                   "fare_amount")

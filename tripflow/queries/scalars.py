@@ -175,7 +175,7 @@ SELECT pickup_datetime, md5(coalesce(CAST(vendor_id AS VARCHAR), '') || CAST(pic
 def row_fingerprint(spark, sf_dir):
     fields = ["vendor_id", "pickup_datetime", "dropoff_datetime", "pickup_location_id",
               "dropoff_location_id", "fare_amount", "trip_distance"]
-    return t.trips(spark, sf_dir).select(
+    return t.trips(spark, sf_dir, exact=True).select(
         "pickup_datetime", fn.row_fingerprint(fields, delimiter="").alias("unique_row_id"))
 
 
