@@ -1,0 +1,182 @@
+"""Stream fixtures: each list of rows is one file and one batch."""
+
+from __future__ import annotations
+
+from datetime import datetime, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import row_set
+from tripflow.schemas import RIDE_EVENT, declared
+from tripflow.streaming import jobs, sinks, sources, windows
+
+SCHEMA = declared("k int, ts timestamp")
+
+
+def count():
+    return {"n": F.count("*")}
+
+
+
+def at(text: str) -> datetime:
+    return datetime.fromisoformat(f"2024-05-01 {text}")
+
+
+class Landing:
+    """A folder that batches land in, read as a stream with a file per batch."""
+
+    def __init__(self, spark, path):
+        self.spark, self.path, self.landed = spark, str(path / "landing"), 0
+        self.out, self.checkpoint = str(path / "out"), str(path / "checkpoint")
+
+    def land(self, *times: str, key: int = 1):
+        rows = [(key, at(t)) for t in times]
+        self.spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+
+    def stream(self, delay: str = "5 seconds"):
+        rows = sources.file_stream(self.spark, self.path, SCHEMA)
+        return sources.with_event_time(rows, "ts", delay)
+
+    def append(self, df):
+        query = sinks.append_sink(df, self.out, self.checkpoint)
+        query.awaitTermination()
+        return query
+
+    def upsert(self, df):
+        sinks.upsert_sink(df, self.out, self.checkpoint).awaitTermination()
+
+
+@pytest.fixture
+def landing(spark, tmp_path):
+    return Landing(spark, tmp_path)
+
+
+def starts(df):
+    return {(r.window_start.strftime("%H:%M:%S"), r.window_end.strftime("%H:%M:%S"), r.n) for r in df.collect()}
+
+
+def test_tumble_edges(frame):
+    df = frame("k int, ts timestamp", [(1, at("00:00:04")), (1, at("00:00:09")), (1, at("00:00:10"))])
+    assert starts(windows.tumble(df, "ts", "10 seconds", ["k"], count())) == {
+        ("00:00:00", "00:00:10", 2), ("00:00:10", "00:00:20", 1)}
+
+
+def test_hop_covers_four_windows(frame):
+    df = frame("k int, ts timestamp", [(1, at("00:20:00"))])
+    assert {s for s, _, _ in starts(windows.hop(df, "ts", "1 hour", "15 minutes", ["k"], count()))} == {
+        "23:30:00", "23:45:00", "00:00:00", "00:15:00"}
+
+
+def test_session_merges_at_the_gap(frame):
+    df = frame("k int, ts timestamp", [(1, at("00:00:00")), (1, at("00:05:00")), (1, at("00:11:00"))])
+    assert starts(windows.session(df, "ts", "5 minutes", ["k"], count())) == {
+        ("00:00:00", "00:10:00", 2), ("00:11:00", "00:16:00", 1)}
+
+
+def hourly(df):
+    return jobs.trips_and_revenue(df.withColumn("amount", F.lit(1.0)), "ts", "10 seconds", "k", "amount")
+
+
+def state(landing):
+    keys = ["window_start", "k"]
+    return {(r.window_start.strftime("%H:%M:%S"), r.k): r.num_trips
+            for r in sinks.read_upserted(landing.spark, landing.out, keys).collect()}
+
+
+def test_late_rows_within_the_delay_count(landing):
+    landing.land("14:00:01", "14:00:07")
+    landing.upsert(hourly(landing.stream()))
+    landing.land("14:00:04")
+    landing.upsert(hourly(landing.stream()))
+    assert state(landing) == {("14:00:00", 1): 3}
+
+
+def test_late_rows_past_the_delay_are_dropped_and_counted(landing):
+    counted = lambda: jobs.trips_per_window(landing.stream(), "ts", "10 seconds", "k")
+    dropped = []
+    for times in (["14:00:01", "14:00:30"], ["14:00:31"], ["14:00:04"], ["14:02:00"], ["14:02:01"]):
+        landing.land(*times)
+        dropped.append(sinks.rows_dropped_late(landing.append(counted())))
+    assert sum(dropped) == 1 and dropped[2] == 1
+    closed = {r.window_start.strftime("%H:%M:%S"): r.num_trips
+              for r in landing.spark.read.parquet(landing.out).collect()}
+    assert closed == {"14:00:00": 1, "14:00:30": 2}
+
+
+def test_upsert_is_idempotent_and_corrects(spark, landing, frame):
+    schema, keys = "window_start timestamp, k int, num_trips int", ["window_start", "k"]
+    first = frame(schema, [(at("10:00:00"), 1, 5), (at("10:00:00"), 2, 7)])
+    for _ in range(2):  # the same batch twice
+        sinks.write_batch(first, 0, landing.out)
+    assert state(landing) == {("10:00:00", 1): 5, ("10:00:00", 2): 7}
+    sinks.write_batch(frame(schema, [(at("10:00:00"), 1, 6)]), 1, landing.out)
+    expected = {("10:00:00", 1): 6, ("10:00:00", 2): 7}
+    assert state(landing) == expected
+    sinks.compact(spark, landing.out, keys)
+    assert state(landing) == expected
+    sinks.write_batch(frame(schema, [(at("11:00:00"), 3, 1)]), 2, landing.out)
+    assert state(landing) == {**expected, ("11:00:00", 3): 1}
+    sinks.compact(spark, landing.out, keys)
+    assert state(landing) == {**expected, ("11:00:00", 3): 1}
+    with pytest.raises(FileNotFoundError):
+        sinks.read_upserted(spark, landing.out + "-none", keys)
+
+
+def test_compaction_keeps_added_columns(spark, landing, frame):
+    keys = ["k"]
+    sinks.write_batch(frame("k int, a int", [(1, 1)]), 0, landing.out)
+    sinks.compact(spark, landing.out, keys)
+    sinks.write_batch(frame("k int, a int", [(1, None), (2, 2)]), 1, landing.out)
+    assert row_set(sinks.read_upserted(spark, landing.out, keys)) == {(1, None), (2, 2)}
+
+
+def test_resume_equals_one_run(landing):
+    for times in (["09:00:00", "09:00:01"], ["09:00:02"], ["09:00:05"]):
+        landing.land(*times)
+        landing.upsert(hourly(landing.stream()))
+    assert state(landing) == {("09:00:00", 1): 4}
+    landing.upsert(hourly(landing.stream()))  # nothing new
+    assert state(landing) == {("09:00:00", 1): 4}
+
+
+def test_replays_are_dropped(landing):
+    landing.land("09:00:00", "09:00:00", key=1)
+    landing.land("09:00:01", key=2)
+    landing.append(jobs.without_replays(landing.stream(), "k").select("k"))
+    landing.land("09:00:02", key=2)
+    landing.append(jobs.without_replays(landing.stream(), "k").select("k"))
+    assert sorted(r.k for r in landing.spark.read.parquet(landing.out).collect()) == [1, 2]
+
+
+def test_batch_and_stream_agree(landing):
+    landing.land("09:00:00", "09:04:00", "09:20:00")
+    landing.land("09:31:00", "10:00:00", key=2)
+    streamed = lambda df: jobs.trips_per_session(df, "ts", "5 minutes", "k")
+    landing.append(streamed(landing.stream()))
+    batch = streamed(landing.spark.read.parquet(landing.path))
+    closed = batch.where("window_end <= TIMESTAMP '2024-05-01 09:59:55'")
+    assert row_set(landing.spark.read.parquet(landing.out)) == row_set(closed) != set()
+
+
+def test_ride_events(frame):
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in RIDE_EVENT.fields)
+    rides = frame(schema, [(1, 2, 3.0, 4.0, 1_700_000_000_000)])
+    assert row_set(jobs.ride_events(rides)) == {(1, 2, 3.0, 4.0, datetime(2023, 11, 14, 22, 13, 20))}
+    texts = frame("lpep_pickup_datetime string", [("2025-10-01 00:00:04",), ("bad",)])
+    assert {r.event_timestamp for r in jobs.green_events(texts).collect()} == {datetime(2025, 10, 1, 0, 0, 4), None}
+
+
+def test_kafka_options():
+    assert sources.kafka_options("h:1", "rides") == {
+        "kafka.bootstrap.servers": "h:1", "subscribe": "rides", "startingOffsets": "earliest"}
+    moment = sources.kafka_options("h:1", "rides", datetime(2024, 1, 1, tzinfo=timezone.utc), 500)
+    assert moment["startingTimestamp"] == "1704067200000" and moment["maxOffsetsPerTrigger"] == "500"
+    assert "startingOffsets" not in moment
+    with pytest.raises(ValueError):
+        sources.kafka_options("h:1", "rides", "yesterday")
+
+
+def test_peek(frame):
+    df = frame("k int", [(3,), (1,), (2,)])
+    assert [r.k for r in sources.peek(df, 2, ["k"]).collect()] == [1, 2]

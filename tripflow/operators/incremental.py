@@ -6,9 +6,10 @@ from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import work_dir
-from ..sources.writers import child_names, is_complete, path_exists
+from ..sources.writers import child_names, is_complete
 
 
 def insert_new(target: DataFrame, batch: DataFrame, key: str, dedup_batch: bool = False,
@@ -81,17 +82,27 @@ def merge_partitions(spark: SparkSession, batch: DataFrame, root: str, key: str,
     """
     staged, merged = work_dir(spark, "merge-batch"), work_dir(spark, "merge-result")
     batch.write.partitionBy(partition).parquet(staged)
-    touched = sorted(unquote(name.split("=", 1)[1]) for name in child_names(spark, staged)
-                     if name.startswith(f"{partition}="))
+    touched = sorted(n for n in child_names(spark, staged) if n.startswith(f"{partition}="))
     if not touched:
         return []
     incoming = spark.read.schema(batch.schema).parquet(staged)
-    if not path_exists(spark, f"{root}/_SUCCESS"):
-        result = incoming
-    else:
-        kept = F.col(partition).cast("string").isin(touched)
-        result = upsert(spark.read.option("mergeSchema", True).parquet(root).where(kept), incoming, key)
+    present = set(child_names(spark, root))
+    stored_paths = [f"{root}/{name}" for name in touched if name in present]
+    result = incoming
+    if stored_paths:
+        stored = _read_partitions(spark, root, stored_paths, batch.schema[partition])
+        result = upsert(stored, incoming, key)
     result.hint("rebalance", F.col(partition)).write.partitionBy(partition).parquet(merged)
     (spark.read.schema(result.schema).parquet(merged).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(root))
-    return touched
+    return [unquote(name.split("=", 1)[1]) for name in touched]
+
+
+def _read_partitions(spark: SparkSession, root: str, paths: list[str],
+                     partition: T.StructField) -> DataFrame:
+    """Some partitions with all their columns. The partition column gets its declared type: a month
+    like 2024-02 would be taken for a date."""
+    reader = spark.read.option("basePath", root)
+    found = reader.option("mergeSchema", True).parquet(*paths).schema
+    schema = T.StructType([partition if f.name == partition.name else f for f in found.fields])
+    return reader.schema(schema).parquet(*paths)

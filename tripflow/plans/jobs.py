@@ -41,6 +41,8 @@ def refresh_fact(spark: SparkSession, fact: DataFrame, root: str, look_back: str
 
 def stored_fact(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
     """The stored fact; a declared schema shows columns that older months do not have yet."""
+    if schema is not None and MONTH not in schema.fieldNames():
+        schema = T.StructType([*schema.fields, T.StructField(MONTH, T.StringType())])
     return read_parquet(spark, root, schema)
 
 

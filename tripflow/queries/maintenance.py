@@ -41,7 +41,7 @@ def incremental_upsert(spark, sf_dir):
     """Fact loaded up to mid 1998 first, with wrong amounts and without its last column, then
     brought up to date with a look-back over all of it."""
     fact, root = t.fact(spark, sf_dir), work_dir(spark, "fact")
-    early = (fact.where("pickup_datetime < TIMESTAMP '1998-06-01'").drop("payment_type_description")
+    early = (fact.where("pickup_datetime < TIMESTAMP '1998-06-15'").drop("payment_type_description")
              .withColumn("total_amount", F.lit(0).cast("decimal(18,4)")))
     jobs.refresh_fact(spark, early, root)
     jobs.refresh_fact(spark, fact, root, look_back="20 years")
@@ -49,13 +49,13 @@ def incremental_upsert(spark, sf_dir):
 
 
 @query("incremental_new_only", f"""WITH {t.FACT_SQL}
-SELECT trip_id, pickup_datetime, CASE WHEN pickup_datetime < TIMESTAMP '1998-06-01' THEN 0
+SELECT trip_id, pickup_datetime, CASE WHEN pickup_datetime < TIMESTAMP '1998-06-15' THEN 0
        ELSE total_amount END AS total_amount FROM fct""")
 def incremental_new_only(spark, sf_dir):
     """Without look-back only rows above the high-water mark are loaded; stored ones stay."""
     fact = t.fact(spark, sf_dir).select("trip_id", "pickup_datetime", "total_amount")
     root = work_dir(spark, "fact")
-    early = (fact.where("pickup_datetime < TIMESTAMP '1998-06-01'")
+    early = (fact.where("pickup_datetime < TIMESTAMP '1998-06-15'")
              .withColumn("total_amount", F.lit(0).cast("decimal(18,4)")))
     jobs.refresh_fact(spark, early, root)
     jobs.refresh_fact(spark, fact, root)
@@ -64,10 +64,10 @@ def incremental_new_only(spark, sf_dir):
 
 @query("incremental_high_water", f"""WITH {t.FACT_SQL}
 SELECT * FROM fct WHERE pickup_datetime > (SELECT max(pickup_datetime) FROM fct
-                                           WHERE pickup_datetime < TIMESTAMP '1998-06-01')""")
+                                           WHERE pickup_datetime < TIMESTAMP '1998-06-15')""")
 def incremental_high_water(spark, sf_dir):
     fact = t.fact(spark, sf_dir)
-    stored = fact.where("pickup_datetime < TIMESTAMP '1998-06-01'")
+    stored = fact.where("pickup_datetime < TIMESTAMP '1998-06-15'")
     return incremental.rows_above_high_water(fact, stored, "pickup_datetime")
 
 
