@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tests.conftest import row_set
@@ -74,6 +76,35 @@ def test_session_merges_at_the_gap(frame):
         ("00:00:00", "00:10:00", 2), ("00:11:00", "00:16:00", 1)}
 
 
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from([1, 1, 1, 2]), st.integers(0, 4 * 60)), max_size=50),
+       st.sampled_from(["4 minutes", "15 minutes", "1 hour"]))
+def test_session_chunks_do_not_show(frame, rows, chunk):
+    """Brute force over minutes with a gap of five, for chunks shorter and longer than the gap."""
+    expected = set()
+    for key in {k for k, _ in rows}:
+        minutes = sorted(m for k, m in rows if k == key)
+        start, last, n = minutes[0], minutes[0], 1
+        for minute in minutes[1:]:
+            if minute - last > 5:
+                expected.add((key, start, last + 5, n))
+                start, n = minute, 0
+            last, n = minute, n + 1
+        expected.add((key, start, last + 5, n))
+    begin = at("00:00:00")
+    df = frame("k int, ts timestamp", [(k, begin + timedelta(minutes=m)) for k, m in rows])
+    found = windows.session(df, "ts", "5 minutes", ["k"], count(), chunk=chunk).collect()
+    assert sorted((r.k, (r.window_start - begin).seconds // 60, (r.window_end - begin).seconds // 60, r.n)
+                  for r in found) == sorted(expected)
+
+
+def test_session_measures_merge(frame):
+    df = frame("k int, ts timestamp, v int", [(1, at("00:58:00"), 5), (1, at("01:01:00"), 9), (1, at("01:30:00"), 1)])
+    merged = windows.session(df, "ts", "5 minutes", ["k"], {"n": F.count("*"), "top": F.max("v")},
+                             merge={"top": F.max})
+    assert {(r.n, r.top) for r in merged.collect()} == {(2, 9), (1, 1)}
+
+
 def hourly(df):
     return jobs.trips_and_revenue(df.withColumn("amount", F.lit(1.0)), "ts", "10 seconds", "k", "amount")
 

@@ -37,8 +37,9 @@ def rows_above_high_water(source: DataFrame, target: DataFrame, ts_column: str,
     newest = F.max(ts_column)
     if look_back:
         newest = newest - F.expr(f"INTERVAL {look_back}")
-    mark = target.agg(newest.alias("mark")).scalar()
-    return source.where(F.coalesce(F.col(ts_column) > mark, mark.isNull()))
+    # the default is part of the subquery, so that the filter stays `column > value` and reaches the scan
+    mark = target.agg(F.coalesce(newest, F.lit("0001-01-01").cast("timestamp")).alias("mark")).scalar()
+    return source.where(F.col(ts_column) > mark)
 
 
 def upsert(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:

@@ -24,8 +24,7 @@ _SCALE = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot join key even if that costs a later stage its partitioning
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # merge session windows on the map side, so that a hot key travels as few rows
-    "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
+    # merge session windows of a stream on the map side, so that a hot key travels as few rows
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }

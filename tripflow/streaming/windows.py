@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -26,10 +28,38 @@ def hop(df: DataFrame, ts: str, size: str, slide: str, keys: list[str],
     return _windowed(df, F.window(ts, size, slide), keys, measures)
 
 
-def session(df: DataFrame, ts: str, gap: str, keys: list[str],
-            measures: dict[str, Column]) -> DataFrame:
-    """Windows that grow while rows come at most `gap` apart."""
-    return _windowed(df, F.session_window(ts, gap), keys, measures)
+def session(df: DataFrame, ts: str, gap: str, keys: list[str], measures: dict[str, Column],
+            merge: dict[str, Callable[[str], Column]] | None = None,
+            chunk: str = "1 hour") -> DataFrame:
+    """Windows that grow while rows come at most `gap` apart.
+
+    On a stream this is Spark's session window. On a table that window would bring all rows of a
+    key to one task, so sessions are first built per key and time chunk. Only the sessions that
+    come within a gap of a chunk's edge, at most two per key and chunk, can go on in another chunk;
+    those are linked in a second step. `merge` says how a measure of two parts combines; the
+    default, a sum, fits counts and sums.
+    """
+    if df.isStreaming:
+        return _windowed(df, F.session_window(ts, gap), keys, measures)
+
+    chunked = df.withColumn("_chunk", F.window(ts, chunk))
+    parts = _windowed(chunked, F.session_window(ts, gap), [*keys, "_chunk"], measures)
+    reach = F.expr(f"INTERVAL {gap}")
+    at_edge = ((F.col("window_start") <= F.col("_chunk.start") + reach)
+               | (F.col("window_end") >= F.col("_chunk.end")))
+    # sessions inside a chunk are complete and stay apart from the linking
+    place = F.when(at_edge, F.lit(None)).otherwise(F.col("_chunk.start"))
+    parts = parts.withColumn("_inside", place).drop("_chunk")
+
+    by_start = Window.partitionBy(*keys, "_inside").orderBy("window_start")
+    opens = F.col("window_start") > F.lag("window_end").over(by_start)
+    numbered = (parts.withColumn("_opens", F.coalesce(opens, F.lit(True)).cast("int"))
+                .withColumn("_session", F.sum("_opens").over(by_start)))
+    combine = merge or {}
+    return (numbered.groupBy(*keys, "_inside", "_session")
+            .agg(F.min("window_start").alias("window_start"), F.max("window_end").alias("window_end"),
+                 *[combine.get(name, F.sum)(name).alias(name) for name in measures])
+            .select("window_start", "window_end", *keys, *measures))
 
 
 def window_rollup(windows: DataFrame, count: str, amount: str) -> DataFrame:
