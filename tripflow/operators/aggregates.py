@@ -102,11 +102,12 @@ def top_groups(df: DataFrame, keys: list[str], k: int, ascending: bool = False,
 
 
 def explode_top_values(df: DataFrame, array: str | Column, k: int, value_name: str = "value",
-                       count_name: str = "n_rows") -> DataFrame:
-    """Most frequent elements of an array column."""
+                       count_name: str = "n_rows", where: str | Column | None = None) -> DataFrame:
+    """Most frequent elements of an array column; `where` filters the elements."""
     array = F.col(array) if isinstance(array, str) else array
-    return top_groups(df.select(F.explode(array).alias(value_name)), [value_name], k,
-                      count_name=count_name)
+    elements = df.select(F.explode(array).alias(value_name))
+    elements = elements.where(where) if where is not None else elements
+    return top_groups(elements, [value_name], k, count_name=count_name)
 
 
 def skew_check(df: DataFrame, keys: list[str], k: int = 5) -> DataFrame:

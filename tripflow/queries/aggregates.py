@@ -59,8 +59,8 @@ _SUMS_SQL = ",\n".join(
 @query("monthly_revenue_decimal", f"""WITH {t.TRIPS_SQL}
 SELECT revenue_zone, revenue_month, service_type, r.* EXCLUDE (revenue_zone, revenue_month,
        service_type, avg_monthly_passenger_count, avg_monthly_trip_distance),
-       round(avg_monthly_passenger_count, 6) AS avg_monthly_passenger_count,
-       round(avg_monthly_trip_distance, 6) AS avg_monthly_trip_distance
+       round(avg_monthly_passenger_count, 9) AS avg_monthly_passenger_count,
+       round(avg_monthly_trip_distance, 9) AS avg_monthly_trip_distance
 FROM (SELECT pickup_location_id AS revenue_zone, CAST(date_trunc('month', pickup_datetime) AS TIMESTAMP)
           AS revenue_month, service_type, {_SUMS_SQL},
           avg(passenger_count) AS avg_monthly_passenger_count,
@@ -69,7 +69,7 @@ FROM (SELECT pickup_location_id AS revenue_zone, CAST(date_trunc('month', pickup
 def monthly_revenue_decimal(spark, sf_dir):
     # averages are rounded: the last bits of a double depend on the order of the rows
     report = reports.monthly_revenue_decimal(t.trips(spark, sf_dir))
-    return report.withColumns({c: F.round(c, 6) for c in report.columns if c.startswith("avg_")})
+    return report.withColumns({c: F.round(c, 9) for c in report.columns if c.startswith("avg_")})
 
 
 # mean of a four-digit decimal, rounded half up to two digits in whole numbers
@@ -205,9 +205,9 @@ def single_value(spark, sf_dir):
 FROM (SELECT unnest(string_split_regex(lower(text), '\s+')) AS word FROM documents)
 WHERE word <> '' GROUP BY word ORDER BY n_rows DESC, word LIMIT 20""")
 def explode_top_values(spark, sf_dir):
-    words = F.filter(F.split(F.lower("text"), r"\s+"), lambda w: w != "")
-    return agg.explode_top_values(t.table(spark, sf_dir, "documents").select(words.alias("words")),
-                                  "words", 20, value_name="word")
+    words = F.split(F.lower("text"), r"\s+")
+    return agg.explode_top_values(t.table(spark, sf_dir, "documents"), words, 20, value_name="word",
+                                  where="word <> ''")
 
 
 @query("skew_check", """SELECT o_custkey, o_orderstatus, count(*) AS n_rows FROM orders
