@@ -228,3 +228,5 @@ def test_suite(frame):
         dq.Check("both", df, F.lit(True), failing=lambda: df)
     with pytest.raises(ValueError):
         dq.Check("no_table", row_rule=F.lit(True))
+    with pytest.raises(ValueError):
+        dq.Check("where_outside", failing=lambda: df, where="id = 1")

@@ -329,8 +329,8 @@ def source_freshness(df: DataFrame, loaded_at: str, now: datetime | str | Column
 class Check:
     """A named check of a suite.
 
-    Give `row_rule` (a failing condition on the rows of `table`) or `failing` (a function that
-    returns the failing rows). `failures` overrides how they are counted. `warn_if` and `error_if`
+    Give `row_rule` (a failing condition on the rows of `table`, restricted by `where`) or
+    `failing` (a function that returns the failing rows). `failures` overrides how they are counted. `warn_if` and `error_if`
     compare the number of failures, e.g. `"> 10"`; with severity `warn` a check never errors.
     """
 
@@ -349,6 +349,8 @@ class Check:
             raise ValueError("give either row_rule or failing")
         if self.row_rule is not None and self.table is None:
             raise ValueError("a row rule needs its table")
+        if self.failing is not None and self.where is not None:
+            raise ValueError("pass where to the check itself, inside failing")
         if self.severity not in ("warn", "error"):
             raise ValueError("severity must be warn or error")
 
@@ -375,9 +377,8 @@ def run_suite(checks: list[Check]) -> DataFrame:
         if check.row_rule is not None:
             by_table.setdefault(id(check.table), []).append(check)
         else:
-            rows = _filtered(check.failing(), check.where)
-            parts.append(rows.agg(F.coalesce(check.failures, F.lit(0)).cast("bigint").alias("failures"))
-                         .select(F.lit(check.name).alias("name"), "failures"))
+            count = F.coalesce(check.failures, F.lit(0)).cast("bigint").alias("failures")
+            parts.append(check.failing().agg(count).select(F.lit(check.name).alias("name"), "failures"))
     parts += [_fold_row_rules(group[0].table, group) for group in by_table.values()]
     if not parts:
         raise ValueError("the suite has no checks")

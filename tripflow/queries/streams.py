@@ -156,7 +156,8 @@ def stream_upsert(spark, sf_dir):
 
 
 def _land(spark, sf_dir, landing: str, wave: int) -> None:
-    """Append one part of the event table: first half, second half, and what arrives late."""
+    """Append one of three parts that make up the whole event table: most of the first half, most
+    of the second half, and then the fifth of all rows that arrives late."""
     ts, late = F.col("ts"), F.col("event_id") % 5 == 0
     middle = F.lit("2024-01-16").cast("timestamp")
     part = [~late & (ts < middle), ~late & (ts >= middle), late][wave]

@@ -26,7 +26,6 @@ _SCALE = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # merge session windows of a stream on the map side, so that a hot key travels as few rows
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 # State store for streams whose keyed state outgrows the executor heap.

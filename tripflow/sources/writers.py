@@ -80,7 +80,8 @@ def write_by_day(df: DataFrame, path: str, ts_column: str, cluster_by: list[str]
     """
     rows = df.withColumn(day_column, F.to_date(ts_column))
     (rows.hint("rebalance", F.col(day_column)).sortWithinPartitions(day_column, *(cluster_by or []))
-     .write.mode(mode).partitionBy(day_column).parquet(path))
+     .write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(day_column)
+     .parquet(path))
 
 
 def write_by_month(df: DataFrame, path: str, ts_column: str, service_column: str) -> None:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from ..sources.writers import child_names, is_complete, path_exists
+from ..sources.writers import child_names, is_complete
 
 
 def _trigger(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
@@ -37,26 +37,31 @@ def upsert_sink(df: DataFrame, path: str, checkpoint: str, every: str | None = N
     return _trigger(writer, every).start()
 
 
-def _bases(spark: SparkSession, path: str) -> list[int]:
-    names = child_names(spark, f"{path}/base")
-    upto = [int(n.split("=")[1]) for n in names if n.startswith("upto=")]
-    return sorted(n for n in upto if is_complete(spark, f"{path}/base/upto={n}"))
+def _complete(spark: SparkSession, folder: str, label: str) -> list[int]:
+    """Numbers of the complete `<label>=<n>` folders, in order."""
+    numbers = [int(name.split("=")[1]) for name in child_names(spark, folder)
+               if name.startswith(f"{label}=")]
+    return sorted(n for n in numbers if is_complete(spark, f"{folder}/{label}={n}"))
 
 
-def read_upserted(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """Current state of a keyed table: last compaction plus later changes, newest row per key."""
-    bases = _bases(spark, path)
+def read_upserted(spark: SparkSession, path: str, keys: list[str], upto: int | None = None) -> DataFrame:
+    """Current state of a keyed table: last compaction plus later changes, newest row per key.
+    `upto` stops at a batch."""
+    bases = _complete(spark, f"{path}/base", "upto")
     done = bases[-1] if bases else -1
+    later = [n for n in _complete(spark, f"{path}/changes", "batch_id")
+             if n > done and (upto is None or n <= upto)]
     parts = []
     if bases:
         parts.append(spark.read.parquet(f"{path}/base/upto={done}")
                      .withColumn("_batch", F.lit(done).cast("bigint")))
-    if path_exists(spark, f"{path}/changes"):
-        changes = spark.read.parquet(f"{path}/changes").where(F.col("batch_id") > done)
+    if later:
+        folder = f"{path}/changes"
+        changes = spark.read.option("basePath", folder).parquet(*[f"{folder}/batch_id={n}" for n in later])
         parts.append(changes.withColumn("_batch", F.col("batch_id").cast("bigint")).drop("batch_id"))
     if not parts:
         raise FileNotFoundError(f"no keyed table at {path}")
-    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
     values = [c for c in rows.columns if c not in keys and c != "_batch"]
     newest = F.max_by(F.struct(*values), "_batch").alias("_values")
     return rows.groupBy(*keys).agg(newest).select(*keys, "_values.*")
@@ -64,12 +69,10 @@ def read_upserted(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
 
 def compact(spark: SparkSession, path: str, keys: list[str]) -> None:
     """Fold all complete changes into a new base. Readers switch when its marker is written."""
-    ids = [int(n.split("=")[1]) for n in child_names(spark, f"{path}/changes")
-           if n.startswith("batch_id=")]
-    complete = [i for i in ids if is_complete(spark, f"{path}/changes/batch_id={i}")]
-    if complete:
-        read_upserted(spark, path, keys).write.mode("overwrite").parquet(
-            f"{path}/base/upto={max(complete)}")
+    batches = _complete(spark, f"{path}/changes", "batch_id")
+    if batches and batches[-1] not in _complete(spark, f"{path}/base", "upto"):
+        read_upserted(spark, path, keys, upto=batches[-1]).write.mode("overwrite").parquet(
+            f"{path}/base/upto={batches[-1]}")
 
 
 def rows_dropped_late(query: StreamingQuery) -> int:
