@@ -6,15 +6,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import month_text
+from ..functions import month_text, row_fingerprint
 from ..operators.incremental import merge_partitions, rows_above_high_water
-from ..sources.readers import read_parquet
-from ..sources.writers import child_names, write_single_file, write_table
+from ..sources.readers import read_csv, read_parquet, with_lineage
+from ..sources.writers import child_names, write_by_month, write_single_file, write_table
 from . import marts, reports, staging
 
 MONTH = "pickup_month"
 
 
+def load_feed(spark: SparkSession, path: str, feed: staging.Feed, delimiter: str = "-") -> DataFrame:
+    """CSV files of one feed (a folder or glob), with each row's fingerprint and file name."""
+    return with_lineage(read_csv(spark, path, feed.schema), row_fingerprint(feed.natural_key, delimiter))
+
+
+def backfill(spark: SparkSession, path: str, feed: staging.Feed, out: str) -> None:
+    """All months of a feed in one job, from CSV to Parquet by service, year and month. Running it
+    again, or for some months only, replaces just the months it reads."""
+    write_by_month(load_feed(spark, path, feed), out, feed.pickup, F.lit(feed.service))
+
+
 def build_fact(green: DataFrame, yellow: DataFrame, payment_types: DataFrame, zones: DataFrame,
                start: str | None = None, end: str | None = None) -> DataFrame:
     """Raw feeds to the fact, as one lazy plan."""

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import month_text, safe_cast
-from ..schemas import NUMERIC
+from ..schemas import GREEN_FEED, NUMERIC, YELLOW_FEED
 
 # --- fixed values: accepted ranges and codes of a staged trip ---
 MAX_PASSENGERS = 6
@@ -30,11 +31,16 @@ class Feed:
     dropoff: str
     max_distance: int
     has_trip_type: bool
-    renames: dict[str, str] = field(default_factory=dict)
+    schema: T.StructType
 
+    @property
+    def natural_key(self) -> list[str]:
+        """Fields that identify a trip; amounts may differ between loads of the same trip."""
+        return ["VendorID", self.pickup, self.dropoff, "PULocationID", "DOLocationID"]
 
-GREEN = Feed("Green", "lpep_pickup_datetime", "lpep_dropoff_datetime", 50, True)
-YELLOW = Feed("Yellow", "tpep_pickup_datetime", "tpep_dropoff_datetime", 100, False)
+
+GREEN = Feed("Green", "lpep_pickup_datetime", "lpep_dropoff_datetime", 50, True, GREEN_FEED)
+YELLOW = Feed("Yellow", "tpep_pickup_datetime", "tpep_dropoff_datetime", 100, False, YELLOW_FEED)
 
 
 def stage_trips(raw: DataFrame, feed: Feed, numeric: str = NUMERIC) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import incremental
-from ..plans import jobs
+from ..plans import jobs, staging
 from ..session import work_dir
 from ..sources import readers, writers
 from . import _tables as t
@@ -101,6 +101,23 @@ def backfill_months(spark, sf_dir):
             .agg(F.count("*").alias("n_trips")))
 
 
+@query("backfill_feed", f"""WITH {t.RAW_SQL}, {t.RAW_GREEN_SQL}
+SELECT 'green' AS service, CAST(year(lpep_pickup_datetime) AS INTEGER) AS year,
+       CAST(month(lpep_pickup_datetime) AS INTEGER) AS month, count(*) AS n_rows,
+       count(DISTINCT unique_row_id) AS n_trips, max(TRY_CAST(RatecodeID AS INTEGER)) AS max_rate_code
+FROM raw_green GROUP BY ALL""")
+def backfill_feed(spark, sf_dir):
+    """Gzipped CSV of a feed to Parquet by month, with row keys and file names."""
+    csv, out = work_dir(spark, "feed"), work_dir(spark, "lake")
+    raw = t.raw_green(spark, sf_dir).withColumn("ehail_fee", F.lit(None).cast("double"))
+    (raw.select(*staging.GREEN.schema.fieldNames()).write.option("header", True)
+     .option("timestampFormat", "yyyy-MM-dd HH:mm:ss").option("compression", "gzip").csv(csv))
+    jobs.backfill(spark, csv, staging.GREEN, out)
+    return (readers.read_parquet(spark, out).groupBy("service", "year", "month")
+            .agg(F.count("*").alias("n_rows"), F.count_distinct("unique_row_id").alias("n_trips"),
+                 F.max("RatecodeID").alias("max_rate_code")))
+
+
 @query("trips_end_to_end", MART_SQL)
 def trips_end_to_end(spark, sf_dir):
     """Feeds to stored fact to monthly mart."""

@@ -3,7 +3,7 @@ complete one."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -84,13 +84,13 @@ def write_by_day(df: DataFrame, path: str, ts_column: str, cluster_by: list[str]
      .parquet(path))
 
 
-def write_by_month(df: DataFrame, path: str, ts_column: str, service_column: str) -> None:
+def write_by_month(df: DataFrame, path: str, ts_column: str, service: str | Column) -> None:
     """Backfill of all months in one job, into service=/year=/month= folders.
 
     With dynamic partition overwrite only the months present in `df` are replaced.
     """
     keys = ["service", "year", "month"]
-    rows = df.withColumns({"service": F.lower(service_column), "year": F.year(ts_column),
+    rows = df.withColumns({"service": F.lower(service), "year": F.year(ts_column),
                            "month": F.month(ts_column)})
     (rows.hint("rebalance", *[F.col(k) for k in keys])
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
