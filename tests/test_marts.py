@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import row_set
-from tripflow.plans import jobs, marts, reports, staging
-from tripflow.schemas import GREEN_FEED, PAYMENT_TYPE_ROWS, PAYMENT_TYPES, YELLOW_FEED, ZONES
+from tripflow.plans import hire, jobs, marts, reports, staging
+from tripflow.schemas import GREEN_FEED, HIRE_FEED, PAYMENT_TYPE_ROWS, PAYMENT_TYPES, YELLOW_FEED, ZONES
 from tripflow.sources.readers import seed
 
 TRIP = {
@@ -117,8 +117,18 @@ def test_money_is_exact(frame):
     assert sums == {1: D("99.95"), 2: None}
     exact = df.withColumn("x", F.col("x").cast("decimal(18,4)"))
     assert exact.agg(reports.money_sum(exact, "x")).head()[0] == D("99.95")
+    wide = df.withColumn("x", F.col("x").cast("decimal(38,9)"))
+    assert wide.agg(reports.money_sum(wide, "x")).head()[0] == D("99.95")
     means = df.where("g = 1").agg(reports.exact_mean(df, "x", 2)).head()[0]
     assert round(means, 2) == D("0.10")
+    assert df.where("g = 2").agg(reports.exact_mean(df, "x", 2)).head()[0] is None
+
+
+@pytest.mark.parametrize("bad", [float("nan"), float("inf"), 1e300])
+def test_money_that_is_no_number_is_an_error(frame, bad):
+    df = frame("x double", [(1.0,), (bad,)])
+    with pytest.raises(Exception, match="CAST_OVERFLOW|CAST_INVALID_INPUT"):
+        df.agg(reports.money_sum(df, "x")).collect()
 
 
 def test_money_overflow_is_an_error(frame):
@@ -150,6 +160,36 @@ def test_clean_trips(frame):
     assert good.count() == 1 and row_set(audit) == {(4, 1)}
 
 
+def test_hire_days(spark):
+    trips = spark.createDataFrame([("HV0003", "B00021", datetime(2021, 1, 1, 23, 50), datetime(2021, 1, 2, 0, 10),
+                                    74, 75, None)], HIRE_FEED)
+    assert row_set(hire.hire_days(trips)) == {("B00021", "s/15", date(2021, 1, 1), date(2021, 1, 2), 74, 75)}
+
+
+def test_load_and_backfill(spark, feed, tmp_path):
+    later = {"pickup": datetime(2019, 2, 5, 9), "dropoff": datetime(2019, 2, 5, 10)}
+    csv, out = tmp_path / "csv", str(tmp_path / "lake")
+    csv.mkdir()
+    names = staging.GREEN.schema.fieldNames()
+
+    def land(name, *changes):
+        rows = feed(staging.GREEN, *changes).select(*names).toPandas()
+        rows.to_csv(csv / f"{name}.csv.gz", index=False, date_format="%Y-%m-%d %H:%M:%S")
+
+    land("green_tripdata_2019-01", {}, {"VendorID": 2})
+    land("green_tripdata_2019-02", later)
+    loaded = jobs.load_feed(spark, str(csv), staging.GREEN)
+    assert {r.filename[:22] for r in loaded.collect()} == {"green_tripdata_2019-01", "green_tripdata_2019-02"}
+    assert loaded.select("unique_row_id").distinct().count() == 3
+    # loaded rows are what staging expects, down to the month in the file name
+    assert staging.stage_feed(loaded, staging.GREEN).count() == 3
+    for _ in range(2):
+        jobs.backfill(spark, str(csv), staging.GREEN, out)
+    stored = spark.read.parquet(out)
+    assert {(r.service, r.year, r.month) for r in stored.collect()} == {("green", 2019, 1), ("green", 2019, 2)}
+    assert stored.count() == 3
+
+
 def test_monthly_job(spark, feed, tmp_path):
     for which in (staging.GREEN, staging.YELLOW):
         feed(which, {}, {"VendorID": 2}).drop("unique_row_id", "filename").write.parquet(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import row_set
 from tripflow.schemas import RIDE_EVENT, declared
+from tripflow.session import ROCKSDB_STATE
 from tripflow.streaming import jobs, sinks, sources, windows
 
 SCHEMA = declared("k int, ts timestamp")
@@ -171,6 +172,20 @@ def test_resume_equals_one_run(landing):
     assert state(landing) == {("09:00:00", 1): 4}
 
 
+def test_rocksdb_state(spark, landing):
+    before = {k: spark.conf.get(k, None) for k in ROCKSDB_STATE}
+    try:
+        for key, value in ROCKSDB_STATE.items():
+            spark.conf.set(key, value)
+        for times in (["09:00:00", "09:00:01"], ["09:00:02"]):
+            landing.land(*times)
+            landing.upsert(hourly(landing.stream()))
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
+    assert state(landing) == {("09:00:00", 1): 3}
+
+
 def test_replays_are_dropped(landing):
     landing.land("09:00:00", "09:00:00", key=1)
     landing.land("09:00:01", key=2)

@@ -13,27 +13,29 @@ from ..functions import hours_between
 from ..schemas import MONEY_COLUMNS
 
 MONEY = "decimal(18,2)"
-_SCALE = 4
-_PER_UNIT = Decimal("0.0001")
+_UNIT = Decimal("0.0001")
 
 
-def _units(df: DataFrame, column: str) -> Column:
-    """Sum of a column in ten-thousandths, as an exact number without fraction."""
+def exact_sum(df: DataFrame, column: str) -> Column:
+    """Sum as a decimal that does not depend on the order of the rows, unlike a sum of doubles.
+
+    Doubles are added up as whole ten-thousandths, which is fast and exact; a value that is not a
+    number or out of range is an error, and so is an overflow of the sum.
+    """
+    value = F.col(column)
     if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)):
-        # whole numbers add up exactly and fast; an overflow is an error
-        return F.sum(F.floor(F.col(column) * 10 ** _SCALE + 0.5)).cast("decimal(20,0)")
-    return F.sum(F.col(column)) * 10 ** _SCALE
+        return F.sum(F.rint(value / float(_UNIT)).cast("bigint")).cast("decimal(20,0)") * _UNIT
+    return F.sum(value)
 
 
 def money_sum(df: DataFrame, column: str, result_type: str = MONEY) -> Column:
-    """Sum of a money column that does not depend on the order of the rows, unlike a sum of
-    doubles. A total beyond the result type is an error."""
-    return (_units(df, column) * _PER_UNIT).cast(result_type)
+    """Exact total of a money column. A total beyond the result type is an error."""
+    return exact_sum(df, column).cast(result_type)
 
 
 def exact_mean(df: DataFrame, column: str, digits: int) -> Column:
     """Mean of the non-NULL values, rounded half up, independent of row order."""
-    return F.round(_units(df, column) * _PER_UNIT / F.count(column), digits)
+    return F.round(exact_sum(df, column) / F.count(column), digits)
 
 
 def hourly_revenue(df: DataFrame, ts: str, zone: str, amount: str, start: str) -> DataFrame:

@@ -88,14 +88,13 @@ def upsert_rows(spark, sf_dir):
 @query("backfill_months", f"""WITH {t.TRIPS_SQL}
 SELECT lower(service_type) AS service, CAST(year(pickup_datetime) AS INTEGER) AS year,
        CAST(month(pickup_datetime) AS INTEGER) AS month, count(*) AS n_trips
-FROM trips WHERE pickup_datetime >= TIMESTAMP '2000-01-01' GROUP BY ALL""")
+FROM trips GROUP BY ALL""")
 def backfill_months(spark, sf_dir):
     path = work_dir(spark, "months")
     trips = t.trips(spark, sf_dir).select("service_type", "pickup_datetime", "total_amount")
-    recent = trips.where("pickup_datetime >= TIMESTAMP '2000-01-01'")
-    writers.write_by_month(recent, path, "pickup_datetime", "service_type")
+    writers.write_by_month(trips, path, "pickup_datetime", "service_type")
     # one year again: its months are replaced, the others stay
-    writers.write_by_month(recent.where("year(pickup_datetime) = 2001"), path, "pickup_datetime",
+    writers.write_by_month(trips.where("year(pickup_datetime) = 2001"), path, "pickup_datetime",
                            "service_type")
     return (readers.read_parquet(spark, path).groupBy("service", "year", "month")
             .agg(F.count("*").alias("n_trips")))
