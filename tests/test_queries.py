@@ -29,8 +29,8 @@ def duck():
 
 def test_oracles_belong_to_queries():
     assert set(ORACLES) <= set(QUERIES)
-    # side effects, file sizes and dropped rows have no SQL form
-    assert set(QUERIES) - set(ORACLES) == {"schema_contract", "storage_audit", "stream_late_rows"}
+    # file sizes and declared types have no SQL form
+    assert set(QUERIES) - set(ORACLES) == {"schema_contract", "storage_audit"}
 
 
 def test_entry(spark):

@@ -76,6 +76,7 @@ def compact(spark: SparkSession, path: str, keys: list[str]) -> None:
 
 
 def rows_dropped_late(query: StreamingQuery) -> int:
-    """Rows the watermark dropped so far, from the query's progress reports."""
+    """Rows the watermark dropped so far, from the query's progress reports. Aggregations count
+    them after the map-side step, so equal keys of one task count once."""
     return sum(operator.get("numRowsDroppedByWatermark", 0)
                for progress in query.recentProgress for operator in progress["stateOperators"])
