@@ -10,12 +10,13 @@ import pytest
 
 import __spark_entry__ as driver
 from tools.check_oracle import TABLES, kind, plain
+from tripflow.queries import ORACLES, QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables are not there")
 
-QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
+
 
 
 @pytest.fixture(scope="module")
@@ -33,6 +34,11 @@ def test_oracles_belong_to_queries():
     assert set(QUERIES) - set(ORACLES) == {"schema_contract", "storage_audit"}
 
 
+def test_driver_offers_them():
+    assert set(QUERIES) <= set(driver.queries())
+    assert set(ORACLES) <= set(driver.oracle_sql())
+
+
 def test_entry(spark):
     assert driver.entry(spark).count() > 0
 
