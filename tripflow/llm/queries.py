@@ -1,15 +1,73 @@
-"""The registered queries of the subpackage, with SQL where SQL can express them."""
+"""The registered queries of the subpackage, with SQL where SQL can express them.
+
+Each applies one operator with its production parameters to its whole table and returns a row per
+document, page, vector, piece or call; long outputs are returned as digests.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..session import work_dir
+from .bpe import decode_documents, encode_documents
+from .classifier import quality_scores
+from .lm import automaton_scores
 from .minhash import near_duplicates
+from .packing import pack_documents
+from .quality import quality_rules
 from .registry import ORACLES, QUERIES, query, table
+from .substring import repeated_passages
+from .warc import read_archives, write_archives
 
 __all__ = ["ORACLES", "QUERIES"]
 
 
+@query("op1_warc_chunks")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_dir(spark, "archives")
+    write_archives(table(spark, sf_dir, "pages"), path)
+    return read_archives(spark, path)
+
+
+@query("op2_subword_classifier")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op3_bin_slack_packing")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op5_backoff_automaton")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return automaton_scores(table(spark, sf_dir, "documents"))
+
+
+@query("op7_divergence_rules")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
+
+
+@query("op8_longest_match_bpe")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    files = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    encoded = encode_documents(table(spark, sf_dir, "documents"), *files)
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return decode_documents(encoded, *files).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op9_seed_and_extend")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 @query("op10_minhash_near_dedup")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
