@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .words import U64
 from .work import ready
@@ -140,7 +141,7 @@ class Model:
         return self.vectors @ (self.layer[1] - self.layer[0]), float(self.bias[1] - self.bias[0])
 
 
-def _scores(weights: np.ndarray, bias: float, grams: Sequence[int], bits: int):
+def _scores(weights: np.ndarray, bias: float, grams: Sequence[int], bits: int, keep_text: bool, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = []
@@ -151,9 +152,8 @@ def _scores(weights: np.ndarray, bias: float, grams: Sequence[int], bits: int):
                     count += len(features)
                 values.append(total / max(count, 1) + bias)
             score = 1 / (1 + np.exp(-np.array(values, np.float64)))
-            kept = [c for c in batch.schema.names if c != "text"]
-            yield pa.RecordBatch.from_arrays([*(batch[c] for c in kept), pa.array(score)],
-                                             [*kept, "score"])
+            kept = [c for c in batch.schema.names if keep_text or c != "text"]
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in kept), pa.array(score)], [*kept, name])
     return run
 
 
@@ -190,21 +190,23 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5, sample_rows: int =
     return model
 
 
-def score_documents(docs: DataFrame, model: Model) -> DataFrame:
-    """docs with the column `text` replaced by `score`, the probability of class 1; every other
-    column stays."""
+def score_documents(docs: DataFrame, model: Model, name: str = "score",
+                    keep_text: bool = False) -> DataFrame:
+    """docs with a new column, the probability of class 1; `text` goes unless `keep_text`."""
     ready(docs.sparkSession)
+    if name in docs.columns:
+        raise ValueError(f"there is a column {name} already")
     weights, bias = model.folded()
-    rest = [f for f in docs.schema.fields if f.name not in ("text", "score")]
-    texts = docs.select(*[F.col(f"`{f.name}`") for f in rest], F.col("text").cast("string").alias("text"))
-    schema = docs.select(*[F.col(f"`{f.name}`") for f in rest]).withColumn("score", F.lit(0.0)).schema
-    return texts.mapInArrow(_scores(weights, bias, model.grams, model.bits), schema)
+    schema = StructType([f for f in docs.schema.fields if keep_text or f.name != "text"]
+                        + [StructField(name, DoubleType())])
+    return docs.mapInArrow(_scores(weights, bias, model.grams, model.bits, keep_text, name), schema)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3,
                    folds: int = 5) -> DataFrame:
     """docs(doc_id, text) and labels(doc_id, quality) → (doc_id, held_out, score, predicted)."""
     model = train(docs, labels, folds)
-    return (score_documents(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model)
+    return (score_documents(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                                         F.col("text").cast("string").alias("text")), model)
             .select("doc_id", held_out(F.col("doc_id"), folds).alias("held_out"), "score",
                     (F.col("score") >= threshold).cast("int").alias("predicted")))

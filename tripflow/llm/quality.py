@@ -48,16 +48,18 @@ def _is_one_of(names: str):
     return lambda word: word.isin(names.split())
 
 
-def features(docs: DataFrame) -> DataFrame:
-    """Counts of each document: base counts, character classes and common words."""
+def features(docs: DataFrame, carry: bool = False) -> DataFrame:
+    """Counts of each document: base counts, character classes and common words; and its row, if
+    that is to be carried along."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]) if carry else F.lit(None).cast("int")
     text = F.coalesce(F.col("text"), F.lit(""))
     spaces = F.regexp_count(text, F.lit(SPACE))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     first = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.when(F.col("lang").isin(sorted(COMMON_WORDS)), F.col("lang")).otherwise(_ANY).alias("lang"),
-        F.col("text").cast("string").alias("text")).select(
-        "doc_id", "lang", words_of(F.col("text")).alias("words"),
+        F.col("text").cast("string").alias("text"), row.alias("row")).select(
+        "doc_id", "lang", "row", words_of(F.col("text")).alias("words"),
         (F.length(text) - spaces).cast("long").alias("word_chars"), spaces.alias("spaces"),
         F.array(*[F.regexp_count(text, F.lit(c)) for c in CLASSES]).alias("classes"),
         lines.alias("lines"))
@@ -69,7 +71,7 @@ def features(docs: DataFrame) -> DataFrame:
         found = F.when(F.col("lang") == lang, F.filter("words", _is_one_of(names))).otherwise(found)
     n = F.size("words")
     second = first.select(
-        "doc_id", "lang", n.cast("long").alias("n_words"), "word_chars",
+        "doc_id", "lang", "row", n.cast("long").alias("n_words"), "word_chars",
         F.col("classes")[2].cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.concat(F.col("classes"), F.array(
@@ -92,7 +94,7 @@ def features(docs: DataFrame) -> DataFrame:
                               x.alias("last")), lambda a: a["total"])
     counts = F.transform("listed", lambda w: F.size(F.filter("found", lambda x: x == w)))
     return fourth.select(
-        "doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+        "doc_id", "lang", *(["row"] if carry else []), "n_words", "word_chars", "n_symbols", "n_dup_lines",
         F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"), "chars",
         F.concat(counts, F.array((F.col("n_words") - F.size("found")).cast("int"))).alias("common"))
 
@@ -106,34 +108,55 @@ def distance(one: Column, other: Column) -> Column:
     return F.sqrt(F.greatest(F.aggregate(terms, F.lit(0.0), lambda a, x: a + x) / 2, F.lit(0.0)))
 
 
-def quality_rules(docs: DataFrame, least_chars: int = 200, least_words: int = 100,
-                  most_class_distance: float = 0.25, most_word_distance: float = 0.5,
-                  reference_words: int = 1000) -> DataFrame:
-    """docs(doc_id, text, lang) → (doc_id, n_words, word_chars, n_symbols, n_dup_lines,
-    n_repeat_words, base_failed, kept, class_distance, word_distance), one row per input row.
+def base_failed() -> Column:
+    return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
-    A reference of fewer than `reference_words` words is not used.
-    """
-    ready(docs.sparkSession)
-    found = stored(features(docs), "rule-features")
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    good = found.where(~failed)
+
+def references(found: DataFrame, least_words: int = 1000) -> DataFrame:
+    """Summed histograms of the documents that pass the base rules: one row per listed language and
+    one of all; without those of fewer than `least_words` words."""
+    good = found.where(~base_failed())
     classes, common = len(CLASSES) + 2, len(next(iter(COMMON_WORDS.values())).split()) + 1
     sums = [F.array(*[F.sum(F.col("chars")[i].cast("double")) for i in range(classes)]).alias("all_chars"),
             F.array(*[F.sum(F.get("common", F.lit(i)).cast("double")) for i in range(common)])
             .alias("all_common"), F.sum("n_words").alias("all_words")]
     by_lang = good.where(F.col("lang") != _ANY).groupBy("lang").agg(*sums)
     pooled = good.groupBy(F.lit(_ANY).alias("lang")).agg(*sums)
-    references = by_lang.unionByName(pooled).where(F.col("all_words") >= reference_words)
-    compared = found.join(F.broadcast(references), "lang", "left").select(
-        *[c for c in found.columns if c not in ("chars", "common", "lang")],
-        failed.alias("base_failed"),
-        F.when(F.col("word_chars") >= least_chars, distance(
-            F.transform("chars", lambda x: x.cast("double")), F.col("all_chars"))).alias("class_distance"),
-        F.when((F.col("n_words") >= least_words) & (F.col("lang") != _ANY), distance(
-            F.transform("common", lambda x: x.cast("double")), F.col("all_common"))).alias("word_distance"))
+    return by_lang.unionByName(pooled).where(F.col("all_words") >= least_words)
+
+
+def judged(found: DataFrame, known: DataFrame, least_chars: int = 200, least_words: int = 100,
+           most_class_distance: float = 0.25, most_word_distance: float = 0.5) -> DataFrame:
+    """Features with base_failed, the two distances (null where not compared) and kept."""
+    doubles = lambda c: F.transform(c, lambda x: x.cast("double"))
     verdict = ((F.coalesce("class_distance", F.lit(0.0)) <= most_class_distance)
                & (F.coalesce("word_distance", F.lit(0.0)) <= most_word_distance))
-    return compared.select(
+    return (found.join(F.broadcast(known), "lang", "left")
+            .withColumn("base_failed", base_failed())
+            .withColumn("class_distance", F.when(F.col("word_chars") >= least_chars,
+                                                 distance(doubles("chars"), F.col("all_chars"))))
+            .withColumn("word_distance", F.when(
+                (F.col("n_words") >= least_words) & (F.col("lang") != _ANY),
+                distance(doubles("common"), F.col("all_common"))))
+            .withColumn("kept", ~F.col("base_failed") & verdict))
+
+
+def quality_rules(docs: DataFrame, **limits: float) -> DataFrame:
+    """docs(doc_id, text, lang) → (doc_id, n_words, word_chars, n_symbols, n_dup_lines,
+    n_repeat_words, base_failed, kept, class_distance, word_distance), one row per input row.
+
+    `limits` are those of `judged`.
+    """
+    ready(docs.sparkSession)
+    found = stored(features(docs), "rule-features")
+    return judged(found, references(found), **limits).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & verdict).alias("kept"), "class_distance", "word_distance")
+        "kept", "class_distance", "word_distance")
+
+
+def passing(docs: DataFrame, **limits: float) -> DataFrame:
+    """The rows of docs that the rules keep, all columns as they are. The texts are read a second
+    time rather than shuffled to meet their verdicts."""
+    ready(docs.sparkSession)
+    known = stored(references(stored(features(docs), "rule-features")), "rule-references")
+    return judged(features(docs, carry=True), known, **limits).where("kept").select("row.*")

@@ -18,6 +18,8 @@ from .packing import pack_documents
 from .quality import quality_rules
 from .registry import ORACLES, QUERIES, query, table
 from .substring import repeated_passages
+from .toolcalls import link_tool_calls
+from .vectors import near_vectors
 from .warc import read_archives, write_archives
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -41,11 +43,47 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+#: The tools that turns are read as calls of, and what their arguments must be.
+TOOLS = {
+    "search": {"type": "object", "additionalProperties": False, "required": ["query", "turn"], "properties": {
+        "query": {"type": "string", "minLength": 40}, "turn": {"type": "integer", "minimum": 0}}},
+    "answer": {"type": "object", "required": ["query", "turn"], "properties": {
+        "query": {"type": "string"}, "turn": {"type": "integer", "maximum": 1000}}},
+}
+
+
+def tool_messages(conversations: DataFrame) -> DataFrame:
+    """Turns as tool messages: the table holds no calls of its own, so each user turn is read as a
+    call whose arguments hold its text, and the turn after it as the result. A conversation's
+    first question is a search; the j-th question builds on question (j - 1) / 2."""
+    turn, half = F.col("turn"), F.floor(F.col("turn") / 2)
+    name = lambda t: F.concat(F.lit("call-"), t.cast("string"))
+    asks = F.col("role") == "user"
+    parent = 2 * F.floor((half - 1) / 2) + F.pmod(turn, F.lit(2))
+    return conversations.where("role in ('user', 'assistant')").select(
+        "conv_id", "turn", F.when(asks, "call").otherwise("result").alias("kind"),
+        name(F.when(asks, turn).otherwise(turn - 1)).alias("call_id"),
+        F.when(asks, F.when(half == 0, "search").otherwise("answer")).alias("name"),
+        F.when(asks, F.to_json(F.struct(F.col("text").alias("query"), "turn"))).alias("arguments"),
+        F.when(asks & (half > 0), F.array(name(parent))).alias("depends_on"),
+        F.when(~asks, F.col("text")).alias("content"))
+
+
+@query("op4_tool_call_linking")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_tool_calls(tool_messages(table(spark, sf_dir, "conversations")), TOOLS)
+
+
 @query("op5_backoff_automaton")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return automaton_scores(table(spark, sf_dir, "documents"))
 
 
+@query("op6_grid_order_join")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query("op7_divergence_rules")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")

@@ -21,6 +21,7 @@ other. Other columns are not read. No rows in, no rows out.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,12 +31,13 @@ from pyspark.sql import functions as F
 
 from .blocks import (MESSAGE, Block, cut_blocks, each_block, messages, pack, range_count, received,
                      replies, unpack)
-from .words import U64, Prefix, whole_windows, window_hashes
+from .words import U64, Prefix, encode, whole_windows, window_hashes
 from .work import ready, stored
 
 _SPAN = "struct<start: int, stop: int, source_doc: bigint, source_start: int>"
 _RESULT = f"doc_id long, n_words long, n_removed long, kept_text string, spans array<{_SPAN}>"
-_MOST = np.iinfo(np.uint64).max
+_SPANS = "__spans"
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 def _slide(values: np.ndarray, size: int, least: bool) -> np.ndarray:
@@ -243,3 +245,34 @@ def repeated_passages(docs: DataFrame, length: int = 20, seed: int = 8) -> DataF
             .unionByName(sources.withColumn("kind", F.lit(1))))
     return (blocks.groupBy("block_id").cogroup(told.groupBy("block_id"))
             .applyInArrow(_remove(seed, length), _RESULT))
+
+
+def _cut_words(text: str, spans: list[dict]) -> str:
+    """A text without the words of the spans and the white space after them."""
+    data, out, at, word = encode(text), [], 0, 0
+    places = [(m.start(), m.end()) for m in _WORD.finditer(data)]
+    for span in sorted(spans, key=lambda s: s["start"]):
+        start, stop = max(span["start"], word), min(span["stop"], len(places))
+        if start < stop:
+            out.append(data[at:places[start][0]])
+            at, word = places[stop][0] if stop < len(places) else len(data), stop
+    return b"".join([*out, data[at:]]).decode("utf-8", "surrogatepass")
+
+
+def _cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = [_cut_words(t, s) if s else t
+                 for t, s in zip(batch["text"].to_pylist(), batch[_SPANS].to_pylist())]
+        names = [c for c in batch.schema.names if c != _SPANS]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(texts, pa.string()) if c == "text" else batch[c] for c in names], names)
+
+
+def without_passages(docs: DataFrame, length: int = 20, seed: int = 8) -> DataFrame:
+    """docs with repeated passages taken out of `text`, the rest of each text left as it is; all
+    other columns stay. Rows that repeat a doc_id are taken for copies of one document."""
+    spans = stored(repeated_passages(docs, length, seed).where("n_removed > 0 and doc_id is not null")
+                   .select("doc_id", F.col("spans").alias(_SPANS)).dropDuplicates(["doc_id"]), "spans")
+    return (docs.withColumn("text", F.col("text").cast("string")).join(spans, "doc_id", "left")
+            .select(*[F.col(f"`{c}`") for c in docs.columns], _SPANS)
+            .mapInArrow(_cut_texts, docs.withColumn("text", F.col("text").cast("string")).schema))
