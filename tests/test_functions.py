@@ -52,12 +52,12 @@ def test_haversine(frame):
 
 def test_url_host(frame):
     cases = {
-        "www.example.co.uk?utm_source=mail": "www.example.co.uk",
-        "http://blog.example.com/2018/01/tips": "blog.example.com",
-        "https://www.example.org/2018/01/01/blog": "www.example.org",
-        "android-app://m.example.net/": "m.example.net",
-        "docs.example.org/2021/01/01/index.js?utm_source=mail": "docs.example.org",
-        "https://m.example.net/": "m.example.net",
+        "http://trips.test:8080/map": "trips.test:8080",
+        "HTTP://trips.test/map": "HTTP:",
+        "https://a.b.trips.test": "a.b.trips.test",
+        "android-app://rides.test/open/1": "rides.test",
+        "trips.test?x=1/2": "trips.test",
+        "https://?x": "",
     }
     df = frame("u string", [(u,) for u in cases])
     assert column(df, fn.url_host("u")) == list(cases.values())
@@ -65,22 +65,21 @@ def test_url_host(frame):
 
 def test_url_path(frame):
     cases = {
-        "www.example.co.uk?utm_source=mail": "",
-        "http://blog.example.com/2018/01/tips/": "2018/01/tips/",
-        "http://blog.example.com/2018/01/tips/?utm_source=x": "2018/01/tips/",
-        "https://www.example.org/2018/01/01/blog": "2018/01/01/blog",
-        "example.org": "example.org",
+        "http://trips.test:8080/map#here": "map#here",
+        "trips.test/a/b?from=1?to=2": "a/b",
+        "https://trips.test/": "",
+        "trips.test?zone=4": "",
+        "trips.test": "trips.test",
     }
     df = frame("u string", [(u,) for u in cases])
     assert column(df, fn.url_path("u")) == list(cases.values())
 
 
 def test_url_parameter(frame):
-    df = frame("u string", [("http://example.com/milky?utm_medium=organic",),
-                            ("http://example.com/milky?utm_medium=organic&utm_source=feed",),
-                            ("http://x.org/?utm_source=",)])
-    assert column(df, fn.url_parameter("u", "utm_medium")) == ["organic", "organic", None]
-    assert column(df, fn.url_parameter("u", "utm_source")) == [None, "feed", None]
+    df = frame("u string", [("trips.test/map?zone=7",), ("trips.test/map?zone=7&day=monday",),
+                            ("trips.test/map?day=&zone=",), (None,)])
+    assert column(df, fn.url_parameter("u", "zone")) == ["7", "7", None, None]
+    assert column(df, fn.url_parameter("u", "day")) == [None, "monday", None, None]
 
 
 def test_slugify(frame):
@@ -107,8 +106,9 @@ def test_row_fingerprint_collides_only_without_delimiter(frame):
 
 
 def test_encode_base_id(frame):
-    df = frame("b string", [("B00021",), ("B00009",), ("B00010",), ("Bx",), (None,)])
-    assert column(df, fn.encode_base_id("b")) == ["s/15", "a/9", "e/A", None, None]
+    df = frame("b string", [("B00021",), ("B00009",), ("B00010",), ("Bx",), (None,), ("B" + "0" * 200 + "7",),
+                            ("B6000000001",), ("B" + "9" * 30,)])
+    assert column(df, fn.encode_base_id("b")) == ["s/15", "a/9", "e/A", None, None, "s/7", "e/165A0BC01", None]
 
 
 def test_vendor_name(frame):

@@ -119,15 +119,19 @@ def test_money_is_exact(frame):
     assert exact.agg(reports.money_sum(exact, "x")).head()[0] == D("99.95")
     wide = df.withColumn("x", F.col("x").cast("decimal(38,9)"))
     assert wide.agg(reports.money_sum(wide, "x")).head()[0] == D("99.95")
+    small = frame("x double", [(0.000004,)] * 3 + [(-1.5,)])
+    assert small.agg(reports.exact_sum(small, "x")).head()[0] == D("-1.499988")
+    floats = frame("x float", [(0.1,)] * 10)
+    assert floats.agg(reports.exact_sum(floats, "x")).head()[0] == D("1.000000")
     means = df.where("g = 1").agg(reports.exact_mean(df, "x", 2)).head()[0]
     assert round(means, 2) == D("0.10")
     assert df.where("g = 2").agg(reports.exact_mean(df, "x", 2)).head()[0] is None
 
 
-@pytest.mark.parametrize("bad", [float("nan"), float("inf"), 1e300])
+@pytest.mark.parametrize("bad", [float("nan"), float("inf"), 1e300, 0.0000004, 1e10])
 def test_money_that_is_no_number_is_an_error(frame, bad):
     df = frame("x double", [(1.0,), (bad,)])
-    with pytest.raises(Exception, match="CAST_OVERFLOW|CAST_INVALID_INPUT"):
+    with pytest.raises(Exception, match="is no number of at most 6 decimals|CAST_OVERFLOW|CAST_INVALID_INPUT"):
         df.agg(reports.money_sum(df, "x")).collect()
 
 
@@ -206,3 +210,30 @@ def test_reports_job(spark, fact, tmp_path):
     jobs.build_reports(spark, str(tmp_path / "fact"), str(tmp_path / "out"))
     assert spark.read.parquet(str(tmp_path / "out" / "monthly_zone_revenue")).count() == 3
     assert len(list((tmp_path / "out" / "dim_vendors").glob("part-*"))) == 1
+
+
+def test_staging_keeps_all_digits_or_fails(frame):
+    df = frame("x double, s string", [(1.2345, "1.2345"), (None, None)])
+    number = staging.exact_number
+    assert row_set(df.select(number("x", "decimal(18,4)"), number("s", "decimal(18,4)"))) == {
+        (D("1.2345"), D("1.2345")), (None, None)}
+    fine = frame("x double", [(0.000004,)])
+    with pytest.raises(Exception, match="x does not fit"):
+        fine.select(number("x", "decimal(18,4)")).collect()
+    assert fine.select(number("x", "decimal(38,9)")).head()[0] == D("0.000004000")
+
+
+def test_mart_of_trips_equals_mart_of_fact(spark, frame):
+    columns = ", ".join(f"{c} decimal(18,4)" for c in [*reports.MONEY_COLUMNS, "trip_distance"])
+    trips = frame(f"pickup_location_id int, pickup_datetime timestamp, service_type string, "
+                  f"passenger_count int, trip_id string, {columns}", [
+        (zone, datetime(2020, 1 + i % 2, 3), "Green", i % 3 or None, str(i), *[D(i)] * 9)
+        for i, zone in enumerate([1, 2, 2, 3, 9, None, 1, 2])])
+    dim = frame("location_id int, zone string", [(1, "A"), (2, "A"), (3, "Unknown Zone")])
+    fact = trips.join(dim, trips.pickup_location_id == dim.location_id, "left").withColumnRenamed("zone", "pickup_zone")
+    exact = reports.monthly_zone_revenue(fact)
+    direct = reports.monthly_zone_revenue_of_trips(trips, dim)
+    rounded = lambda df: {tuple(round(v, 6) if isinstance(v, float) else v for v in r)
+                          for r in df.withColumn("avg_monthly_trip_distance", F.col(
+                              "avg_monthly_trip_distance").cast("double")).select(*exact.columns).collect()}
+    assert rounded(exact) == rounded(direct)

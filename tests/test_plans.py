@@ -24,10 +24,23 @@ def test_dedup_limits_each_key_before_the_shuffle(spark):
     assert "row_number(), 1, Final" in above and "row_number(), 1, Partial" in below
 
 
-def test_min_by_combines_before_the_shuffle(spark):
+def test_min_by_limits_each_key_before_the_shuffle(spark):
     df = spark.range(100).withColumn("k", F.col("id") % 3)
-    _, below = physical(dedup.keep_min_by(df, ["k"], "id")).split("Exchange hashpartitioning", 1)
-    assert "partial_min_by" in below
+    plan = physical(dedup.keep_min_by(df, ["k"], "id"))
+    assert "row_number(), 1, Partial" in plan.split("Exchange hashpartitioning", 1)[1]
+    assert "SortAggregate" not in plan
+
+
+def test_monthly_mart_joins_the_pickup_zone_only(spark):
+    """Two feeds of three tables with one lookup each, and the zones: nothing the mart does not use."""
+    plan = physical(QUERIES["monthly_zone_revenue"](spark, SF_DIR))
+    assert plan.count("FileScan") <= 10 and "payment_type_description" not in plan
+
+
+def test_counts_side_by_side_are_one_shuffle(spark):
+    a = spark.range(10).toDF("x")
+    plan = physical(quality.equal_rowcount(a, a, ["x"]))
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
 
 
 def test_reports_aggregate_before_the_shuffle(spark):

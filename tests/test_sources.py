@@ -11,7 +11,7 @@ from tripflow.operators import incremental
 from tripflow.plans import jobs
 from tripflow.schemas import declared
 from tripflow.session import work_dir, work_root
-from tripflow.sources import audit, readers, writers
+from tripflow.sources import audit, catalog, readers, writers
 
 SCHEMA = declared("id int, at timestamp, amount double")
 TEXT = "id,at,amount\n1,2024-01-01 10:00:00,2.5\n2,2024-01-02 11:30:00,\n"
@@ -129,6 +129,32 @@ def test_work_root_comes_from_the_session(spark):
 
 # --- incremental ---
 
+def test_insert_new_knows_rows_without_a_time(frame):
+    rows = frame("k string, at timestamp", [("a", None), ("b", datetime(2024, 1, 1))])
+    assert rows_of(incremental.insert_new(rows, rows, "k", within="at")) == []
+
+
+def test_relations_of_other_databases(spark, tmp_path):
+    for place in ("yard_one", "yard_two"):
+        spark.sql(f"CREATE DATABASE {place}")
+        spark.range(2).withColumn("place", F.lit(place)).write.saveAsTable(f"{place}.cabs")
+    spark.range(1).createOrReplaceTempView("cabs_view")
+    try:
+        found = catalog.relations_by_pattern(spark, "cab%", database="yard%")
+        assert {k: v.first().place for k, v in found.items()} == {
+            "yard_one.cabs": "yard_one", "yard_two.cabs": "yard_two"}
+        assert list(catalog.relations_by_prefix(spark, "CABS")) == ["cabs_view"]
+        none = spark.range(0)
+        assert catalog.table_or(spark, "no_such_table", none) is none
+        assert catalog.table_or(spark, "yard_one.cabs", none).count() == 2
+        assert not writers.create_table_if_absent(none, "yard_one.cabs")
+        assert writers.create_table_if_absent(spark.range(3), "yard_one.vans")
+    finally:
+        for place in ("yard_one", "yard_two"):
+            spark.sql(f"DROP DATABASE {place} CASCADE")
+        spark.catalog.dropTempView("cabs_view")
+
+
 def test_insert_new(frame):
     target = frame("k string, at int", [("a", 1), ("b", 2)])
     batch = frame("k string, at int", [("b", 2), ("c", 3), ("c", 3), ("d", 4)])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -106,6 +107,16 @@ def test_session_measures_merge(frame):
     assert {(r.n, r.top) for r in merged.collect()} == {(2, 9), (1, 1)}
 
 
+def test_session_measures_need_a_merge(frame):
+    df = frame("k int, ts timestamp, v int", [(1, at("00:58:00"), 4), (1, at("01:01:00"), 9), (1, at("01:02:00"), 2)])
+    plain = {"n": F.count("v"), "s": F.sum("v"), "low": F.min("v"), "top": F.max("v")}
+    row = windows.session(df, "ts", "5 minutes", ["k"], plain).first()
+    assert (row.n, row.s, row.low, row.top) == (3, 15, 2, 9)
+    for measure in (F.avg("v"), F.count_distinct("v"), F.sum("v") / F.count("v"), F.max("v") - F.min("v")):
+        with pytest.raises(ValueError, match="merge"):
+            windows.session(df, "ts", "5 minutes", ["k"], {"m": measure})
+
+
 def hourly(df):
     return jobs.trips_and_revenue(df.withColumn("amount", F.lit(1.0)), "ts", "10 seconds", "k", "amount")
 
@@ -155,6 +166,61 @@ def test_upsert_is_idempotent_and_corrects(spark, landing, frame):
         sinks.read_upserted(spark, landing.out + "-none", keys)
 
 
+def test_a_later_run_replaces_rows(spark, landing, frame):
+    """Runs on new checkpoints count their batches from 0 again, also across compactions."""
+    schema, keys = "k string, n int", ["k"]
+    now = lambda: row_set(sinks.read_upserted(spark, landing.out, keys))
+    for n in range(3):
+        sinks.write_batch(frame(schema, [("a", n), ("b", n)]), n, landing.out, "1_x")
+    assert now() == {("a", 2), ("b", 2)}
+    sinks.write_batch(frame(schema, [("a", 10)]), 0, landing.out, "2_y")
+    assert now() == {("a", 10), ("b", 2)}
+    for _ in range(2):
+        sinks.compact(spark, landing.out, keys)
+        assert now() == {("a", 10), ("b", 2)}
+    sinks.write_batch(frame(schema, [("a", 20), ("c", 20)]), 0, landing.out, "3_z")
+    sinks.write_batch(frame(schema, [("a", 3), ("d", 3)]), 3, landing.out, "1_x")  # the old run goes on
+    assert now() == {("a", 20), ("b", 2), ("c", 20), ("d", 3)}
+    sinks.compact(spark, landing.out, keys)
+    sinks.write_batch(frame(schema, [("e", 1)]), 1, landing.out, "3_z")
+    sinks.compact(spark, landing.out, keys)
+    assert now() == {("a", 20), ("b", 2), ("c", 20), ("d", 3), ("e", 1)}
+    # what the base before had folded is gone, what the last one folded is still there
+    assert sinks._batches(spark, landing.out) == [("3_z", 1)]
+
+
+def test_late_rows_are_counted_beyond_the_kept_progress(spark, landing):
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    late = sinks.LateRows()
+    spark.streams.addListener(late)
+    try:
+        for i in range(6):
+            landing.land("14:00:01" if i % 2 else f"14:0{i + 1}:30")
+        rows = sources.file_stream(spark, landing.path, SCHEMA, max_files=1)
+        counted = jobs.trips_per_window(sources.with_event_time(rows, "ts"), "ts", "10 seconds", "k")
+        query = landing.append(counted)
+        deadline = time.time() + 20
+        while late.dropped[str(query.id)] < 2 and time.time() < deadline:
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(late)
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert late.dropped[str(query.id)] >= 2 > sinks.rows_dropped_late(query)
+
+
+def test_periodic_trigger(landing):
+    landing.land("09:00:00", "09:00:01")
+    query = sinks.upsert_sink(hourly(landing.stream()), landing.out, landing.checkpoint, every="1 second")
+    try:
+        query.processAllAvailable()
+        assert state(landing) == {("09:00:00", 1): 2}
+        landing.land("09:00:02")
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert state(landing) == {("09:00:00", 1): 3}
+
+
 def test_compaction_keeps_added_columns(spark, landing, frame):
     keys = ["k"]
     sinks.write_batch(frame("k int, a int", [(1, 1)]), 0, landing.out)

@@ -42,9 +42,9 @@ def test_pivot_options(frame):
         agg.pivot("n", [1], cmp="~")
 
 
-UNPIVOT = [(123, datetime(2017, 1, 1), "active", "tier 1", "name 1"),
-           (234, datetime(2017, 2, 1), "active", "tier 3", "name 3"),
-           (567, datetime(2017, 3, 1), "churned", "tier 2", "name 2")]
+UNPIVOT = [(7, datetime(2020, 5, 4), "open", "gold", "Ada"),
+           (8, datetime(2021, 6, 5), "shut", "iron", "Bo"),
+           (9, datetime(2022, 7, 6), "open", "iron", "Cy")]
 
 
 def test_unpivot(frame):
@@ -53,7 +53,7 @@ def test_unpivot(frame):
                              value_name="val")
     assert result.columns == ["customer_id", "created_at", "prop", "val"]
     assert result.count() == 6
-    assert (123, datetime(2017, 1, 1), "status", "active") in row_set(result)
+    assert (7, datetime(2020, 5, 4), "status", "open") in row_set(result)
 
 
 def test_unpivot_booleans_and_mixed_case(frame):
@@ -87,8 +87,8 @@ def test_nullcheck(frame):
 def tables(frame):
     return {
         "t1": frame("id int, name string, favorite_number string",
-                    [(1, "drew", "pi"), (2, "bob", "e"), (3, "alice", "4")]),
-        "t2": frame("id int, favorite_color string, favorite_number int", [(1, "green", 7), (2, "pink", 13)]),
+                    [(11, "ada", "x"), (12, "bo", "y"), (13, "cy", "5")]),
+        "t2": frame("id int, favorite_color string, favorite_number int", [(11, "teal", 3), (12, "plum", 8)]),
     }
 
 
@@ -97,12 +97,12 @@ def test_union_relations(tables):
     assert result.columns == ["src", "id", "name", "favorite_number", "favorite_color"]
     assert dict(result.dtypes)["favorite_number"] == "string"
     assert row_set(result) == {
-        ("t1", 1, "drew", "pi", None), ("t1", 2, "bob", "e", None), ("t1", 3, "alice", "4", None),
-        ("t2", 1, None, "7", "green"), ("t2", 2, None, "13", "pink")}
+        ("t1", 11, "ada", "x", None), ("t1", 12, "bo", "y", None), ("t1", 13, "cy", "5", None),
+        ("t2", 11, None, "3", "teal"), ("t2", 12, None, "8", "plum")}
 
 
 def test_union_options(tables):
-    assert sets.union_relations(tables, where="id = 1").count() == 2
+    assert sets.union_relations(tables, where="id = 11").count() == 2
     assert sets.union_relations(tables, include=["ID"], source_column_name=None).columns == ["id"]
     excluded = sets.union_relations(tables, exclude=["Name", "favorite_color"], source_column_name=None,
                                     column_override={"id": "bigint"})
@@ -115,7 +115,7 @@ def test_union_options(tables):
     swapped = {"t2": tables["t2"], "t1": tables["t1"]}
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         sets.union_relations(swapped).collect()
-    assert (1, None) in row_set(sets.union_relations(swapped, include=["id", "favorite_number"],
+    assert (11, None) in row_set(sets.union_relations(swapped, include=["id", "favorite_number"],
                                                      source_column_name=None, try_casts=True))
 
 
@@ -154,13 +154,13 @@ def test_group_by_first(frame):
 def test_values_and_bounded_lists(frame):
     df = frame("c string, v int", [("a", 1), ("b", 1), ("b", 2), ("c", 3)])
     assert [r[0] for r in rows_of(agg.column_values(df, "c"))] == ["b", "a", "c"]
-    assert agg.column_value_list(df, "c", where="v < 3") == ["b", "a"]
-    assert agg.column_value_list(df, "c", where="v > 9", default=["none"]) == ["none"]
+    assert agg.column_value_list(df, "c", max_records=9, where="v < 3") == ["b", "a"]
+    assert agg.column_value_list(df, "c", max_records=9, where="v > 9", default=["none"]) == ["none"]
     with pytest.raises(ValueError):
         agg.column_value_list(df, "c", max_records=2)
     assert agg.single_value(df.where("v > 9"), default=0) == 0
     assert agg.single_value(df.agg(F.max("v"))) == 3
-    assert agg.results_as_dict(df.orderBy("v", "c").limit(2)) == {"c": ["a", "b"], "v": [1, 1]}
+    assert agg.results_as_dict(df.orderBy("v", "c").limit(2), max_rows=9) == {"c": ["a", "b"], "v": [1, 1]}
     with pytest.raises(ValueError):
         agg.results_as_dict(df, max_rows=2)
 

@@ -29,8 +29,9 @@ def vendor_name(vendor_id: Column | str) -> Column:
 
 
 def encode_base_id(base: Column | str) -> Column:
-    """Dispatch-base code: one letter, then a number. Multiples of 7 become `s/<hex>`, other
-    multiples of 3 `a/<hex>`, the rest `e/<hex>`; NULL when the tail is not a number."""
-    number = F.substring(as_col(base), 2, 100).try_cast("int")
+    """Dispatch-base code: one letter, then a number of any length. Multiples of 7 become
+    `s/<hex>`, other multiples of 3 `a/<hex>`, the rest `e/<hex>`; NULL when what follows the letter
+    is no number of 64 bits."""
+    number = F.substr(as_col(base), F.lit(2)).try_cast("bigint")
     tag = F.when(number % 7 == 0, "s/").when(number % 3 == 0, "a/").otherwise("e/")
     return F.concat(tag, F.hex(number))

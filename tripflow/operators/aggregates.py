@@ -69,10 +69,10 @@ def column_values(df: DataFrame, column: str, order_by: list[Column] | None = No
     return ordered.limit(max_records) if max_records is not None else ordered
 
 
-def column_value_list(df: DataFrame, column: str, max_records: int = 1000, default: list | None = None,
+def column_value_list(df: DataFrame, column: str, max_records: int, default: list | None = None,
                       **options) -> list:
-    """The values as a Python list, for `pivot`. Fails above `max_records` distinct values: a wider
-    pivot is a mistake."""
+    """The values as a Python list, for `pivot`. The caller says how many distinct values are still
+    no mistake; more are an error, not a shorter list."""
     rows = column_values(df, column, max_records=max_records + 1, **options).head(max_records + 1)
     if len(rows) > max_records:
         raise ValueError(f"{column} has more than {max_records} distinct values")
@@ -85,8 +85,9 @@ def single_value(df: DataFrame, default=None):
     return default if not row or row[0][0] is None else row[0][0]
 
 
-def results_as_dict(df: DataFrame, max_rows: int = 10_000) -> dict[str, list]:
-    """Columns of a small configuration table as lists."""
+def results_as_dict(df: DataFrame, max_rows: int) -> dict[str, list]:
+    """Columns of a configuration table as lists. The caller says how many rows the driver may take;
+    more are an error."""
     rows = df.head(max_rows + 1)
     if len(rows) > max_rows:
         raise ValueError(f"more than {max_rows} rows; this helper is for configuration tables")
@@ -117,7 +118,8 @@ def skew_check(df: DataFrame, keys: list[str], k: int = 5) -> DataFrame:
 
 def column_profile(df: DataFrame, bucket: Column, measure: Column) -> DataFrame:
     """Rows, share of all rows and mean measure per value bucket."""
-    total = df.agg(F.count("*").alias("n")).scalar()
-    return (df.groupBy(bucket.alias("bucket"))
-            .agg(F.count("*").alias("n_rows"), F.avg(measure).alias("avg_measure"))
-            .withColumn("share", F.col("n_rows") / total))
+    buckets = df.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n_rows"),
+                                                     F.avg(measure).alias("avg_measure"))
+    # the total comes from the buckets; both read the same grouped rows
+    total = buckets.agg(F.sum("n_rows").alias("n")).scalar()
+    return buckets.withColumn("share", F.col("n_rows") / total)

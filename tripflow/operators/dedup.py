@@ -20,7 +20,6 @@ def keep_first(df: DataFrame, keys: list[str], order_by: list[Column | str]) ->
 
 
 def keep_min_by(df: DataFrame, keys: list[str], order: Column | str) -> DataFrame:
-    """Same result as an aggregate, combined map-side; one order expression, NULL first."""
-    row = F.struct(*[F.col(c) for c in df.columns])
-    best = F.min_by(row, F.struct(as_col(order))).alias("_row")
-    return df.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(best).select("_row.*")
+    """The row of each key that is smallest by one expression, NULL first. An aggregate over whole
+    rows would sort them twice, so this is `keep_first` as well."""
+    return keep_first(df, keys, [as_col(order).asc_nulls_first()])

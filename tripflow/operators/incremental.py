@@ -18,11 +18,13 @@ def insert_new(target: DataFrame, batch: DataFrame, key: str, dedup_batch: bool
 
     Equal new rows inside one batch are all inserted, unless `dedup_batch`. `within` names a column
     that the key is made from (such as the pickup time): the target is then read only between the
-    batch's smallest and largest value, which skips its older files and changes no result.
+    batch's smallest and largest value or where it is NULL, which skips its older files and changes no
+    result. The batch is read for its bounds too, so pass a stored one.
     """
     if within:
         low, high = F.min(within).alias("low"), F.max(within).alias("high")
-        target = target.where(F.col(within).between(batch.agg(low).scalar(), batch.agg(high).scalar()))
+        inside = F.col(within).between(batch.agg(low).scalar(), batch.agg(high).scalar())
+        target = target.where(inside | F.col(within).isNull())
     known = target.select(F.col(key).alias("_known"))
     fresh = batch.join(known, F.col(key) == F.col("_known"), "left_anti")
     return fresh.dropDuplicates([key]) if dedup_batch else fresh

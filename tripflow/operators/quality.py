@@ -167,18 +167,27 @@ def recency(df: DataFrame, column: str, datepart: str, interval: int, now: datet
             .withColumn("threshold", threshold).where("most_recent < threshold"))
 
 
-def _paired_counts(a: DataFrame, b: DataFrame, group_by: list[str], names: tuple[str, str]) -> DataFrame:
-    """Row counts of two tables, full-joined on the group; NULL groups do not pair up."""
-    def counts(df: DataFrame, suffix: str, name: str) -> DataFrame:
-        return df.groupBy(F.lit(1).alias(f"_one_{suffix}"),
-                          *[_col(c).alias(f"{c}_{suffix}") for c in group_by]).agg(
-            F.count("*").alias(name))
+def _counts_side_by_side(ours: DataFrame, theirs: DataFrame, group_by: list[str], our_count: str,
+                         their_count: str) -> DataFrame:
+    """Rows per group in either table, from one grouped pass over both.
 
-    left, right = counts(a, "a", names[0]), counts(b, "b", names[1])
-    condition = reduce(lambda x, y: x & y, [F.col(f"{c}_a") == F.col(f"{c}_b")
-                                            for c in ["_one", *group_by]])
-    # grouped by a constant, so that an empty table gives no row rather than a zero
-    return left.join(right, condition, "full").drop("_one_a", "_one_b")
+    A group of one table only has no count for the other, and a table without rows has none at all.
+    Groups with a NULL never belong together, so they keep their table as part of the key.
+    """
+    def marked(df: DataFrame, mine: bool) -> DataFrame:
+        return df.select(F.lit(mine).alias("_mine"), *[_col(c).alias(f"_key_{i}") for i, c in enumerate(group_by)])
+
+    keys = [f"_key_{i}" for i in range(len(group_by))]
+    rows = marked(ours, True).unionByName(marked(theirs, False))
+    any_null = reduce(lambda x, y: x | y, [F.col(k).isNull() for k in keys], F.lit(False))
+    grouped = (rows.groupBy(F.when(any_null, F.col("_mine")).alias("_apart"), *keys)
+               .agg(F.count_if("_mine").alias("_ours"), F.count_if(~F.col("_mine")).alias("_theirs")))
+    ours_there, theirs_there = F.col("_ours") > 0, F.col("_theirs") > 0
+    return grouped.select(
+        *[F.when(ours_there, F.col(k)).alias(f"{c}_a") for k, c in zip(keys, group_by)],
+        F.when(ours_there, F.col("_ours")).alias(our_count),
+        *[F.when(theirs_there, F.col(k)).alias(f"{c}_b") for k, c in zip(keys, group_by)],
+        F.when(theirs_there, F.col("_theirs")).alias(their_count))
 
 
 def equal_rowcount(df: DataFrame, compare: DataFrame, group_by: list[str] | None = None,
@@ -187,18 +196,18 @@ def equal_rowcount(df: DataFrame, compare: DataFrame, group_by: list[str] | None
 
     Fails by the sum of `diff_count`. A group on one side only has no difference and passes.
     """
-    pairs = _paired_counts(_filtered(df, where), compare, group_by or [], ("count_a", "count_b"))
-    return pairs.withColumn("diff_count", F.abs(F.col("count_a") - F.col("count_b")))
+    counts = _counts_side_by_side(_filtered(df, where), compare, group_by or [], "count_a", "count_b")
+    return counts.withColumn("diff_count", F.abs(F.col("count_a") - F.col("count_b")))
 
 
 def fewer_rows_than(df: DataFrame, compare: DataFrame, group_by: list[str] | None = None,
                     where: Condition = None) -> DataFrame:
     """As `equal_rowcount`; fails by the surplus, or by one where counts are equal."""
-    pairs = _paired_counts(_filtered(df, where), compare, group_by or [],
-                           ("count_our_model", "count_comparison_model"))
-    ours, theirs = F.col("count_our_model"), F.col("count_comparison_model")
-    delta = F.when(ours > theirs, ours - theirs).when(ours == theirs, 1).otherwise(0)
-    return pairs.withColumn("row_count_delta", delta.cast("bigint"))
+    counts = _counts_side_by_side(_filtered(df, where), compare, group_by or [],
+                                  "count_our_model", "count_comparison_model")
+    surplus = F.col("count_our_model") - F.col("count_comparison_model")
+    return counts.withColumn("row_count_delta", F.when(surplus >= 0, F.greatest(surplus, F.lit(1)))
+                             .otherwise(0).cast("bigint"))
 
 
 def equality(df: DataFrame, compare: DataFrame, compare_columns: list[str] | None = None,

@@ -24,12 +24,17 @@ def with_payment_text(trips: DataFrame, payment_types: DataFrame) -> DataFrame:
                                "payment_type_description")
 
 
+def first_trips(unioned: DataFrame) -> DataFrame:
+    """One row per vendor, pickup second, zone and service."""
+    return keep_first(unioned, TRIP_KEY, DUPLICATE_ORDER)
+
+
 def unique_trips(unioned: DataFrame, payment_types: DataFrame) -> DataFrame:
-    """One row per vendor, pickup second, zone and service, with its key and payment text.
+    """The first trips with their key and payment text.
 
     Duplicates go first: the key is then hashed and the lookup joined for surviving rows only.
     """
-    first = keep_first(unioned, TRIP_KEY, DUPLICATE_ORDER)
+    first = first_trips(unioned)
     return with_payment_text(first, payment_types).withColumn("trip_id", surrogate_key(TRIP_KEY))
 
 

@@ -13,19 +13,30 @@ from ..functions import hours_between
 from ..schemas import MONEY_COLUMNS
 
 MONEY = "decimal(18,2)"
-_UNIT = Decimal("0.0001")
+#: Decimal digits of doubles that sums take in.
+SCALE = 6
+#: Beyond this a double no longer holds every whole number.
+_MOST_UNITS = float(1 << 53)
 
 
-def exact_sum(df: DataFrame, column: str) -> Column:
+def exact_sum(df: DataFrame, column: str, scale: int = SCALE) -> Column:
     """Sum as a decimal that does not depend on the order of the rows, unlike a sum of doubles.
 
-    Doubles are added up as whole ten-thousandths, which is fast and exact; a value that is not a
-    number or out of range is an error, and so is an overflow of the sum.
+    Doubles are added up as whole units of `scale` digits, which is fast and exact. A value with
+    more digits, one that is no number or too large to be counted in such units is an error, and so
+    is an overflow of the sum; nothing is rounded away. Decimals are added up as they are.
     """
-    value = F.col(column)
-    if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)):
-        return F.sum(F.rint(value / float(_UNIT)).cast("bigint")).cast("decimal(20,0)") * _UNIT
-    return F.sum(value)
+    value, kind = F.col(column), df.schema[column].dataType
+    if isinstance(kind, T.FloatType):  # by its shortest decimal, not by the nearest double
+        value = value.cast("string").cast("double")
+    elif not isinstance(kind, T.DoubleType):
+        return F.sum(value)
+    unit = float(10 ** scale)
+    units = F.rint(value * unit)
+    fits = (units / unit == value) & (F.abs(units) <= _MOST_UNITS)
+    problem = F.concat(F.lit(f"{column} is no number of at most {scale} decimals: "), value.cast("string"))
+    whole = F.when(value.isNull() | fits, units).otherwise(F.raise_error(problem).cast("double"))
+    return F.sum(whole.cast("bigint")).cast("decimal(20,0)") * Decimal(10) ** -scale
 
 
 def money_sum(df: DataFrame, column: str, result_type: str = MONEY) -> Column:
@@ -108,6 +119,26 @@ def monthly_zone_revenue(fact: DataFrame) -> DataFrame:
                  F.avg("trip_distance").alias("avg_monthly_trip_distance")))
 
 
+def monthly_zone_revenue_of_trips(trips: DataFrame, dim: DataFrame) -> DataFrame:
+    """The monthly mart straight from unique trips: sums per zone id first, names after, so that
+    only the pickup zone is looked up, and for groups rather than trips."""
+    month = F.to_date(F.date_trunc("month", "pickup_datetime")).alias("revenue_month")
+    means = {"passenger_count": "avg_monthly_passenger_count", "trip_distance": "avg_monthly_trip_distance"}
+    per_id = trips.groupBy("pickup_location_id", month, "service_type").agg(
+        *[F.sum(c).alias(f"revenue_monthly_{c}") for c in MONEY_COLUMNS],
+        F.count("*").alias("total_monthly_trips"),
+        *[F.sum(c).alias(f"_sum_{c}") for c in means], *[F.count(c).alias(f"_n_{c}") for c in means])
+    zones = dim.select(F.col("location_id").alias("pickup_location_id"), F.col("zone").alias("_zone"))
+    return (per_id.join(zones, "pickup_location_id", "left")
+            .groupBy(F.coalesce("_zone", F.lit("Unknown Zone")).alias("pickup_zone"), "revenue_month",
+                     "service_type")
+            .agg(*[F.sum(f"revenue_monthly_{c}").cast("decimal(28,4)").alias(f"revenue_monthly_{c}")
+                   for c in MONEY_COLUMNS],
+                 F.sum("total_monthly_trips").alias("total_monthly_trips"),
+                 *[(F.sum(f"_sum_{c}") / F.nullif(F.sum(f"_n_{c}"), F.lit(0))).cast("double").alias(name)
+                   for c, name in means.items()]))
+
+
 def rarest_zone(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """The zone with the fewest pickups. Trips are counted per id before the join."""
     per_id = trips.groupBy("pickup_location_id").agg(F.count("*").alias("n"))

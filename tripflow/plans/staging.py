@@ -43,9 +43,19 @@ GREEN = Feed("Green", "lpep_pickup_datetime", "lpep_dropoff_datetime", 50, True,
 YELLOW = Feed("Yellow", "tpep_pickup_datetime", "tpep_dropoff_datetime", 100, False, YELLOW_FEED)
 
 
+def exact_number(name: str, data_type: str) -> Column:
+    """A number as a decimal type that holds all its digits; one with more digits is an error."""
+    value = F.col(name)
+    number = value.cast(data_type)
+    same = number.cast("double") == value.cast("double")
+    problem = F.concat(F.lit(f"{name} does not fit {data_type}: "), value.cast("string"))
+    return F.when(value.isNull() | same, number).otherwise(F.raise_error(problem).cast(data_type))
+
+
 def stage_trips(raw: DataFrame, feed: Feed, numeric: str = NUMERIC) -> DataFrame:
     """Common names and exact types; rows without a vendor go. Identifiers that are not numbers
-    become NULL, all other bad values are errors."""
+    become NULL, all other bad values are errors, also numbers with more digits than `numeric`
+    holds: pass a wider type for such feeds."""
     def to(name: str, data_type: str, alias: str) -> Column:
         return F.col(name).cast(data_type).alias(alias)
 
@@ -54,6 +64,9 @@ def stage_trips(raw: DataFrame, feed: Feed, numeric: str = NUMERIC) -> DataFrame
 
     amounts = ["fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount",
                "improvement_surcharge", "total_amount"]
+    def exact(name: str) -> Column:
+        return exact_number(name, numeric).alias(name)
+
     return raw.where(F.col("VendorID").isNotNull()).select(
         to("unique_row_id", "string", "unique_row_id"),
         to("filename", "string", "file_name"),
@@ -65,11 +78,11 @@ def stage_trips(raw: DataFrame, feed: Feed, numeric: str = NUMERIC) -> DataFrame
         to(feed.dropoff, "timestamp", "dropoff_datetime"),
         to("store_and_fwd_flag", "string", "store_and_fwd_flag"),
         to("passenger_count", "int", "passenger_count"),
-        to("trip_distance", numeric, "trip_distance"),
+        exact("trip_distance"),
         *([number_or_null("trip_type", "trip_type")] if feed.has_trip_type else []),
-        *[to(name, numeric, name) for name in amounts],
+        *[exact(name) for name in amounts],
         number_or_null("payment_type", "payment_type"),
-        to("congestion_surcharge", numeric, "congestion_surcharge"))
+        exact("congestion_surcharge"))
 
 
 def _decimals(values: list[str]) -> list[Column]:

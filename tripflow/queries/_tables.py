@@ -96,7 +96,8 @@ def _exact(expression: Column, scale: int = 4) -> Column:
 # --- trip feeds: Spark ---
 
 def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both feeds as loaded: identifiers and codes as text, amounts as doubles."""
+    """Both feeds as loaded: identifiers and codes as text, amounts as doubles of at most four
+    decimals, without the noise of a product."""
     c = F.col
     line = c("l_linenumber")
     file_date = F.date_add("o_orderdate", F.when(line == 7, 3).otherwise(0))
@@ -116,11 +117,11 @@ def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "PULocationID": c("pickup_nation").cast("string"),
         "DOLocationID": c("dropoff_nation").cast("string"),
         "passenger_count": line,
-        "trip_distance": c("l_quantity") * 2.1,
+        "trip_distance": F.round(c("l_quantity") * 2.1, 4),
         "fare_amount": c("l_extendedprice"),
-        "extra": c("l_tax") * 50,
+        "extra": F.round(c("l_tax") * 50, 4),
         "mta_tax": mta_tax,
-        "tip_amount": c("l_discount") * 100,
+        "tip_amount": F.round(c("l_discount") * 100, 4),
         "tolls_amount": (c("l_partkey") % 4).cast("double"),
         "improvement_surcharge": F.lit(0.3),
         "total_amount": F.floor("o_totalprice") / 1000,
@@ -222,6 +223,7 @@ trips AS (
     FROM raw_all)"""
 
 
+# fixed values: the accepted ranges and codes are those of `plans/staging.py`
 def _staged_sql(feed: str, prefix: str, max_distance: int) -> str:
     trip_type = "TRY_CAST(trip_type AS BIGINT) AS trip_type," if feed == "green" else ""
     return f"""stg_{feed} AS (

@@ -109,14 +109,18 @@ FROM fct GROUP BY ALL"""
 
 
 def monthly_mart(fact):
-    mart = reports.monthly_zone_revenue(fact)
+    return rounded_means(reports.monthly_zone_revenue(fact))
+
+
+def rounded_means(mart):
     return mart.withColumns({c: F.round(F.col(c).cast("double"), 6)
                              for c in mart.columns if c.startswith("avg_")})
 
 
 @query("monthly_zone_revenue", MART_SQL)
 def monthly_zone_revenue(spark, sf_dir):
-    return monthly_mart(t.fact(spark, sf_dir))
+    trips = marts.first_trips(t.unioned(spark, sf_dir))
+    return rounded_means(reports.monthly_zone_revenue_of_trips(trips, marts.dim_zones(t.zones(spark, sf_dir))))
 
 
 @query("count_by_service", f"WITH {t.TRIPS_SQL} SELECT service_type, count(*) AS n_trips "
@@ -181,7 +185,7 @@ def pivot_custom(spark, sf_dir):
 FROM customer GROUP BY c_mktsegment""")
 def pivot_from_values(spark, sf_dir):
     customers = t.table(spark, sf_dir, "customer")
-    keys = agg.column_value_list(customers, "c_nationkey", where="c_nationkey < 3")
+    keys = agg.column_value_list(customers, "c_nationkey", max_records=3, where="c_nationkey < 3")
     return customers.groupBy("c_mktsegment").agg(
         *agg.pivot("c_nationkey", sorted(keys), agg="max", prefix="n_", then_value=F.col("c_acctbal"),
                    else_value=0.0))

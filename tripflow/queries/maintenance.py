@@ -14,21 +14,30 @@ from .aggregates import MART_SQL, monthly_mart
 
 
 @query("merge_insert_only", f"""WITH {t.RAW_SQL}, {t.RAW_GREEN_SQL},
-first AS (SELECT * FROM raw_green WHERE month(lpep_pickup_datetime) <= 8),
-second AS (SELECT * FROM raw_green WHERE month(lpep_pickup_datetime) >= 6)
+timed AS (SELECT * REPLACE (CASE WHEN month(lpep_pickup_datetime) <> 7 OR RatecodeID <> '3'
+              THEN lpep_pickup_datetime END AS lpep_pickup_datetime),
+              month(lpep_pickup_datetime) AS load_month FROM raw_green),
+first AS (SELECT * FROM timed WHERE load_month <= 8),
+second AS (SELECT * FROM timed WHERE load_month >= 6)
 SELECT unique_row_id, filename, lpep_pickup_datetime FROM first UNION ALL
 SELECT unique_row_id, filename, lpep_pickup_datetime FROM second
 WHERE unique_row_id NOT IN (SELECT unique_row_id FROM first)""")
 def merge_insert_only(spark, sf_dir):
-    raw = t.raw_green(spark, sf_dir).select("unique_row_id", "filename", "lpep_pickup_datetime")
     month = F.month("lpep_pickup_datetime")
-    path = work_dir(spark, "merged")
+    # some rows that both loads hold have no time
+    timed = F.when((month != 7) | (F.col("RatecodeID") != "3"), F.col("lpep_pickup_datetime"))
+    raw = t.raw_green(spark, sf_dir).select("unique_row_id", "filename", month.alias("load_month"),
+                                            timed.alias("lpep_pickup_datetime"))
+    path, loads = work_dir(spark, "merged"), [work_dir(spark, "load") for _ in range(2)]
+    for load, wanted in zip(loads, ["load_month <= 8", "load_month >= 6"]):
+        writers.convert_to_parquet(raw.where(wanted).drop("load_month"), load)
+    raw = raw.drop("load_month")
     # overlapping loads; the second load runs twice and must add nothing the second time
-    writers.append_rows(raw.where(month <= 8), path)
+    writers.append_rows(readers.read_parquet(spark, loads[0], raw.schema), path)
     for _ in range(2):
         stored = readers.read_parquet(spark, path, raw.schema)
-        new = incremental.insert_new(stored, raw.where(month >= 6), "unique_row_id",
-                                     within="lpep_pickup_datetime")
+        new = incremental.insert_new(stored, readers.read_parquet(spark, loads[1], raw.schema),
+                                     "unique_row_id", within="lpep_pickup_datetime")
         # written aside first: a table cannot be appended to while its old files are read
         batch = work_dir(spark, "batch")
         writers.convert_to_parquet(new, batch)

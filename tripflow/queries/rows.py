@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import boundary_diff
 from ..operators import dedup, generators, sets
 from ..plans import marts
+from ..schemas import SOURCE_COLUMN
 from ..sources.catalog import relations_by_prefix
 from . import _tables as t
 from ._registry import query
@@ -39,8 +42,8 @@ def union_services(spark, sf_dir):
     return t.unioned(spark, sf_dir)
 
 
-@query("union_relations", """
-SELECT 'customer' AS _dbt_source_relation, c_custkey AS id, c_name AS name, c_nationkey AS nationkey,
+@query("union_relations", f"""
+SELECT 'customer' AS {SOURCE_COLUMN}, c_custkey AS id, c_name AS name, c_nationkey AS nationkey,
        c_acctbal AS acctbal, c_mktsegment AS segment FROM customer UNION ALL
 SELECT 'supplier', s_suppkey, s_name, s_nationkey, s_acctbal, NULL FROM supplier""")
 def union_relations(spark, sf_dir):
@@ -71,15 +74,18 @@ def union_where(spark, sf_dir):
                                 source_column_name=None, where="nationkey = 3")
 
 
-@query("union_by_prefix", """
-SELECT 'trade_customer' AS _dbt_source_relation, c_custkey AS id, c_name AS name,
+@query("union_by_prefix", f"""
+SELECT 'trade_customer' AS {SOURCE_COLUMN}, c_custkey AS id, c_name AS name,
        c_nationkey AS nationkey, c_acctbal AS acctbal, c_mktsegment AS segment FROM customer UNION ALL
 SELECT 'trade_supplier', s_suppkey, s_name, s_nationkey, s_acctbal, NULL FROM supplier""")
 def union_by_prefix(spark, sf_dir):
+    # names of this call alone, so that nothing else in the session's catalog matches
+    tag = f"trade{uuid.uuid4().hex}_"
     for name, df in _parties(spark, sf_dir).items():
-        df.createOrReplaceTempView(f"trade_{name}")
-    t.table(spark, sf_dir, "nation").createOrReplaceTempView("trade_nation")
-    return sets.union_relations(relations_by_prefix(spark, "TRADE_", exclude="%nation"))
+        df.createOrReplaceTempView(f"{tag}{name}")
+    t.table(spark, sf_dir, "nation").createOrReplaceTempView(f"{tag}nation")
+    found = relations_by_prefix(spark, tag.upper(), exclude="%nation")
+    return sets.union_relations({f"trade_{k.removeprefix(tag)}": v for k, v in found.items()})
 
 
 @query("set_difference", """

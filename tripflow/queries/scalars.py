@@ -48,12 +48,14 @@ def parse_ts(spark, sf_dir):
 
 @query("encode_base_id", """SELECT o_orderkey, base,
     CASE WHEN n % 7 = 0 THEN 's/' WHEN n % 3 = 0 THEN 'a/' ELSE 'e/' END || to_hex(n) AS base_id
-FROM (SELECT o_orderkey, base, TRY_CAST(substr(base, 2) AS INTEGER) AS n FROM (
-    SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'Bx' ELSE 'B' END
-           || lpad(CAST(o_custkey AS VARCHAR), 5, '0') AS base FROM orders))""")
+FROM (SELECT o_orderkey, base, TRY_CAST(substr(base, 2) AS BIGINT) AS n FROM (
+    SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'Bx' ELSE 'B' END || lpad(
+        CAST(o_custkey AS VARCHAR), CASE WHEN o_custkey % 2 = 0 THEN 5 ELSE 130 END, '0') AS base
+    FROM orders))""")
 def encode_base_id(spark, sf_dir):
     base = F.concat(F.when(F.col("o_orderstatus") == "P", "Bx").otherwise("B"),
-                    F.lpad(F.col("o_custkey").cast("string"), 5, "0"))
+                    F.when(F.col("o_custkey") % 2 == 0, F.lpad(F.col("o_custkey").cast("string"), 5, "0"))
+                    .otherwise(F.lpad(F.col("o_custkey").cast("string"), 130, "0")))
     return (t.table(spark, sf_dir, "orders").select("o_orderkey", base.alias("base"))
             .withColumn("base_id", fn.encode_base_id("base")))
 
@@ -188,8 +190,11 @@ def url_host(spark, sf_dir):
     return t.table(spark, sf_dir, "pages").select("page_id", fn.url_host("url").alias("host"))
 
 
-@query("url_path", f"""SELECT page_id, split_part(right(bare, length(bare)
-    - coalesce(nullif(strpos(bare, '/'), 0), strpos(bare, '?') - 1)), '?', 1) AS path
+# what stands between the first slash and the question mark; without a slash nothing if there is a
+# query, else the whole text
+@query("url_path", f"""SELECT page_id, CASE
+    WHEN bare LIKE '%/%' THEN split_part(substr(bare, strpos(bare, '/') + 1), '?', 1)
+    WHEN bare LIKE '%?%' THEN '' ELSE bare END AS path
 FROM (SELECT page_id, {_BARE_URL} AS bare FROM pages)""")
 def url_path(spark, sf_dir):
     return t.table(spark, sf_dir, "pages").select("page_id", fn.url_path("url").alias("path"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import functions as F
@@ -67,9 +68,10 @@ def scan_glob(spark, sf_dir):
 @query("external_table", _ORDERS_SQL + " WHERE o_orderstatus = 'F'")
 def external_table(spark, sf_dir):
     path = _orders_csv(spark, sf_dir, "external")
-    readers.external_table(spark, "orders_external", path, _ORDER_SCHEMA, "csv", {
+    name = f"orders_external_{uuid.uuid4().hex}"
+    readers.external_table(spark, name, path, _ORDER_SCHEMA, "csv", {
         "header": "true", "timestampFormat": "yyyy-MM-dd HH:mm:ss"})
-    return spark.sql("SELECT * FROM orders_external WHERE o_orderstatus = 'F'")
+    return spark.sql(f"SELECT * FROM {name} WHERE o_orderstatus = 'F'")
 
 
 @query("json_records", """SELECT CAST(event_id AS VARCHAR) AS event_id, event_type,
@@ -144,7 +146,7 @@ def write_table(spark, sf_dir):
 @query("ctas", _ORDERS_SQL)
 def ctas(spark, sf_dir):
     path = work_dir(spark, "ctas")
-    return writers.create_table_as(_orders(spark, sf_dir), "orders_materialized", path=path)
+    return writers.create_table_as(_orders(spark, sf_dir), f"orders_{uuid.uuid4().hex}", path=path)
 
 
 def _lines_by_day(spark, sf_dir) -> str:
@@ -168,14 +170,26 @@ def partitioned_table(spark, sf_dir):
     return rows.select("l_suppkey").distinct()
 
 
-@query("storage_audit")
-def storage_audit(spark, sf_dir):
-    csv = _orders_csv(spark, sf_dir, "csv-gz", compression="gzip")
+def _storage(spark, sf_dir):
+    csv = work_dir(spark, "csv-gz")
+    _orders(spark, sf_dir).repartition(3).write.option("compression", "gzip").csv(csv)
     parquet = work_dir(spark, "parquet")
     writers.convert_to_parquet(_orders(spark, sf_dir), parquet, files=4)
     return audit.storage_audit(spark, {"csv": csv, "parquet": parquet}, "part-*")
 
 
+@query("storage_audit")
+def storage_audit(spark, sf_dir):
+    return _storage(spark, sf_dir)
+
+
+@query("storage_file_counts", "SELECT 'csv' AS tree, CAST(3 AS BIGINT) AS n_files, count(*) > 0 AS has_bytes "
+                              "FROM orders UNION ALL SELECT 'parquet', 4, count(*) > 0 FROM orders")
+def storage_file_counts(spark, sf_dir):
+    """What the audit says that does not hang on the writer's version."""
+    return _storage(spark, sf_dir).select("tree", "n_files", (F.col("total_bytes") > 0).alias("has_bytes"))
+
+
 @query("text_line_count", "SELECT count(*) AS n_lines FROM orders")
 def text_line_count(spark, sf_dir):
     path = work_dir(spark, "text-gz")
@@ -200,3 +214,24 @@ def load_with_lineage(spark, sf_dir):
     loaded = readers.with_lineage(source, row_fingerprint(["o_orderkey", "o_custkey"]))
     return loaded.select("unique_row_id", "o_orderkey",
                          F.col("filename").startswith("part-").alias("has_file"))
+
+
+@query("seed_csv", """SELECT c_custkey, n_name, n_regionkey FROM customer
+JOIN nation ON c_nationkey = n_nationkey""")
+def seed_csv(spark, sf_dir):
+    """A lookup kept as a CSV file with typed columns."""
+    path = work_dir(spark, "seed")
+    t.table(spark, sf_dir, "nation").coalesce(1).write.option("header", True).csv(path)
+    nations = readers.read_seed(spark, path, t.SCHEMAS["nation"])
+    customers = t.table(spark, sf_dir, "customer")
+    return (customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+            .select("c_custkey", "n_name", "n_regionkey"))
+
+
+@query("write_table_if_absent", _ORDERS_SQL)
+def write_table_if_absent(spark, sf_dir):
+    name = f"orders_{uuid.uuid4().hex}"
+    writers.create_table_if_absent(_orders(spark, sf_dir), name)
+    # the table is there now, so this second write must change nothing
+    writers.create_table_if_absent(_orders(spark, sf_dir).where("o_orderstatus = 'F'"), name)
+    return spark.table(name)

@@ -212,10 +212,31 @@ def stream_resume(spark, sf_dir):
 
 @query("stream_dedup", "SELECT event_id, user_id, event_type FROM events")
 def stream_dedup(spark, sf_dir):
-    """Every record is replayed once; the copy is dropped by id."""
-    replayed = _stream(spark, sf_dir).withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1))))
-    unique = jobs.without_replays(replayed, "event_id").select("event_id", "user_id", "event_type")
-    return _run_append(spark, unique, "dedup")
+    """All records, and all of them again in a later batch; the copies are dropped by id."""
+    landing, path, checkpoint = (work_dir(spark, p) for p in ("landing", "dedup", "checkpoint"))
+    for _ in range(2):
+        t.event_rows(spark, sf_dir).write.mode("append").parquet(landing)
+        rows = sources.with_event_time(sources.file_stream(spark, landing, _EVENTS), "ts", "60 days")
+        unique = jobs.without_replays(rows, "event_id").select("event_id", "user_id", "event_type")
+        sinks.append_sink(unique, path, checkpoint).awaitTermination()
+    return readers.read_parquet(spark, path, unique.schema)
+
+
+@query("stream_replay", """SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, event_type,
+    count(*) AS num_trips, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS total_revenue
+FROM events GROUP BY ALL""")
+def stream_replay(spark, sf_dir):
+    """The whole topic three times, each on a new checkpoint and with a compaction after the second:
+    the first two runs have wrong amounts, which the last one replaces by key."""
+    keys, path = ["window_start", "event_type"], work_dir(spark, "replayed")
+    for run in range(3):
+        rows = _cents(_stream(spark, sf_dir))
+        rows = rows.withColumn("value", F.col("value") if run == 2 else F.lit(run).cast("decimal(18,2)"))
+        result = jobs.trips_and_revenue(rows, "ts", "1 day", "event_type", "value")
+        sinks.upsert_sink(result, path, work_dir(spark, "checkpoint")).awaitTermination()
+        if run == 1:
+            sinks.compact(spark, path, keys)
+    return sinks.read_upserted(spark, path, keys)
 
 
 _PARITY_SQL = _bucket_sql("1 HOUR", "count(*) AS batch_trips, count(*) AS stream_trips", "event_type")

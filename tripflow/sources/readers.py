@@ -96,6 +96,12 @@ def read_pages(spark: SparkSession, path: str, record_schema: T.StructType,
             .select(*[f.name for f in fields], F.inline(F.col(record_list))))
 
 
+def read_seed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Lookup table kept as CSV with a header, with typed columns and of any size. Spark sees the
+    size of the file and broadcasts small ones."""
+    return read_csv(spark, path, schema)
+
+
 MAX_INLINE_SEED = 1000
 
 
@@ -103,7 +109,7 @@ def seed(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFr
     """Small lookup table held in code or configuration.
 
     The rows become literals of the plan, so that Spark knows how small the table is and broadcasts
-    it. Larger lookups belong in a file, whose size Spark can see.
+    it. Larger lookups belong in a file: see `read_seed`.
     """
     if not 0 < len(rows) <= MAX_INLINE_SEED:
         raise ValueError(f"a seed has 1 to {MAX_INLINE_SEED} rows, not {len(rows)}")

@@ -22,6 +22,19 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
 
 
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob, from one listing."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop_path)
+    return [status.getPath().toString() for status in found or []]
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a file, or a folder with all it holds."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{path}/_SUCCESS")
 
@@ -31,6 +44,14 @@ def convert_to_parquet(df: DataFrame, path: str, files: int | None = None) -> No
     (df.repartition(files) if files else df).write.mode("overwrite").parquet(path)
 
 
+def create_table_if_absent(df: DataFrame, name: str, file_format: str = "parquet") -> bool:
+    """Write a catalog table unless there is one of that name. Returns whether it wrote."""
+    if df.sparkSession.catalog.tableExists(name):
+        return False
+    df.write.format(file_format).saveAsTable(name)
+    return True
+
+
 def write_if_absent(df: DataFrame, path: str, files: int | None = None) -> bool:
     """Write once: skip when the target is complete. Returns whether it wrote."""
     if is_complete(df.sparkSession, path):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -28,6 +29,19 @@ def hop(df: DataFrame, ts: str, size: str, slide: str, keys: list[str],
     return _windowed(df, F.window(ts, size, slide), keys, measures)
 
 
+# how the results of two parts of a session make the result of the whole
+_JOINED = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
+
+
+def _joins(name: str, measure: Column) -> Callable[[str], Column]:
+    """The way to combine a plain sum, count, min or max; any other measure has to say its own."""
+    call = re.match(r"Column<'(sum|count|min|max)\(", str(measure))
+    # a column's text does not tell whether it is distinct
+    if not call or measure._jc.node().isDistinct():
+        raise ValueError(f"`merge` must say how {name} of two parts of a session combines")
+    return _JOINED[call[1]]
+
+
 def session(df: DataFrame, ts: str, gap: str, keys: list[str], measures: dict[str, Column],
             merge: dict[str, Callable[[str], Column]] | None = None,
             chunk: str = "1 hour") -> DataFrame:
@@ -36,9 +50,11 @@ def session(df: DataFrame, ts: str, gap: str, keys: list[str], measures: dict[st
     On a stream this is Spark's session window. On a table that window would bring all rows of a
     key to one task, so sessions are first built per key and time chunk. Only the sessions that
     come within a gap of a chunk's edge, at most two per key and chunk, can go on in another chunk;
-    those are linked in a second step. `merge` says how a measure of two parts combines; the
-    default, a sum, fits counts and sums.
+    those are linked in a second step. `merge` says how a measure of two parts combines; plain
+    sums, counts, minima and maxima need none, and any other measure without one is an error, on
+    streams as well.
     """
+    combine = {name: (merge or {}).get(name) or _joins(name, measure) for name, measure in measures.items()}
     if df.isStreaming:
         return _windowed(df, F.session_window(ts, gap), keys, measures)
 
@@ -55,10 +71,9 @@ def session(df: DataFrame, ts: str, gap: str, keys: list[str], measures: dict[st
     opens = F.col("window_start") > F.lag("window_end").over(by_start)
     numbered = (parts.withColumn("_opens", F.coalesce(opens, F.lit(True)).cast("int"))
                 .withColumn("_session", F.sum("_opens").over(by_start)))
-    combine = merge or {}
     return (numbered.groupBy(*keys, "_inside", "_session")
             .agg(F.min("window_start").alias("window_start"), F.max("window_end").alias("window_end"),
-                 *[combine.get(name, F.sum)(name).alias(name) for name in measures])
+                 *[combine[name](name).alias(name) for name in measures])
             .select("window_start", "window_end", *keys, *measures))
 
 
