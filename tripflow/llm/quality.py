@@ -105,7 +105,8 @@ def distance(one: Column, other: Column) -> Column:
     share = lambda h: F.transform(h, lambda x: x / F.nullif(total(h), F.lit(0.0)))
     part = lambda p, m: F.when(p > 0, p * F.log2(p / m)).otherwise(0.0)
     terms = F.zip_with(share(one), share(other), lambda p, q: part(p, (p + q) / 2) + part(q, (p + q) / 2))
-    return F.sqrt(F.greatest(F.aggregate(terms, F.lit(0.0), lambda a, x: a + x) / 2, F.lit(0.0)))
+    found = F.sqrt(F.greatest(F.aggregate(terms, F.lit(0.0), lambda a, x: a + x) / 2, F.lit(0.0)))
+    return F.when((total(one) > 0) & (total(other) > 0), found)
 
 
 def base_failed() -> Column:

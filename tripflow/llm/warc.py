@@ -9,9 +9,10 @@ longer records are shuffled, sorted by number and fed one after the other to a r
 must agree with the stated one after every chunk. No step holds a whole payload of an archive.
 
 Archives are plain WARC/1.1 files written and read by Spark's text source, in the folder a caller
-names, which may be in any store that Spark reaches. The record separator with the next record's
-first line is the line separator when reading; the writer cuts a chunk wherever a payload holds that
-separator, so that it cannot be taken for one. Block lengths are checked against Content-Length.
+names, which may be in any store that Spark reaches. The end of a record with the next one's first line is
+the line separator when reading; the writer cuts a payload inside every `WARC/1.1` that it holds, so
+that neither a chunk nor its borders can be taken for one. Block lengths are checked against
+Content-Length.
 
 Among pages with equal payloads of at least `least_bytes` the one with the largest page_id is
 stored, the others refer to it.
@@ -35,6 +36,7 @@ from .work import ready
 
 _VERSION = "WARC/1.1\r\n"
 _SEPARATOR = "\r\n\r\n" + _VERSION
+_MARK = b"WARC/1.1"
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 _DATE = "1970-01-01T00:00:00Z"
 _BATCH_BYTES = 8 << 20
@@ -42,17 +44,17 @@ _BATCH_BYTES = 8 << 20
 
 def cuts(payload: bytes, chunk_bytes: int) -> list[int]:
     """Where a payload is cut: after every `chunk_bytes`, never inside a character, and inside
-    every separator."""
-    marks, at = [], payload.find(_SEPARATOR.encode())
+    every version line."""
+    marks, at = [], payload.find(_MARK)
     while at >= 0:
-        marks.append(at + 6)
-        at = payload.find(_SEPARATOR.encode(), at + 6)
+        marks.append(at + 2)
+        at = payload.find(_MARK, at + 2)
     marks.append(len(payload))
     out, start = [], 0
     for mark in marks:
         while mark - start > chunk_bytes:
             stop = start + chunk_bytes
-            while stop > start + 1 and payload[stop] & 0xC0 == 0x80:
+            while stop > max(start + 1, start + chunk_bytes - 3) and payload[stop] & 0xC0 == 0x80:
                 stop -= 1
             out.append(stop)
             start = stop
