@@ -401,9 +401,9 @@ def test_divergence_rejects_other_distributions(docs):
     rnd = random.Random(9)
     common = COMMON_WORDS["en"].split()
     clean = lambda: " ".join(rnd.choice(common) if rnd.random() < 0.4 else
-                             "".join(rnd.choice("abcdefghi") for _ in range(5)) for _ in range(150))
+                             "".join(rnd.choice("abcdefghi") for _ in range(5)) for _ in range(250))
     rows = [(i, clean()) for i in range(30)]
-    odd = {100: clean().upper(), 101: " | ".join(clean().split()), 102: " ".join(
+    odd = {100: clean().upper(), 101: " ||| ".join(clean().split()), 102: " ".join(
         "".join(rnd.choice("0123456789") for _ in range(6)) for _ in range(150))}
     df = docs([*rows, *odd.items()])
     kept = {r.doc_id for r in quality_rules(df).collect() if r.kept}

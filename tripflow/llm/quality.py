@@ -126,8 +126,8 @@ def references(found: DataFrame, least_words: int = 1000) -> DataFrame:
     return by_lang.unionByName(pooled).where(F.col("all_words") >= least_words)
 
 
-def judged(found: DataFrame, known: DataFrame, least_chars: int = 200, least_words: int = 100,
-           most_class_distance: float = 0.25, most_word_distance: float = 0.5) -> DataFrame:
+def judged(found: DataFrame, known: DataFrame, least_chars: int = 500, least_words: int = 200,
+           most_class_distance: float = 0.25, most_word_distance: float = 0.3) -> DataFrame:
     """Features with base_failed, the two distances (null where not compared) and kept."""
     doubles = lambda c: F.transform(c, lambda x: x.cast("double"))
     verdict = ((F.coalesce("class_distance", F.lit(0.0)) <= most_class_distance)

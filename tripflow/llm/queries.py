@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_dir
+from . import sql
 from .bpe import decode_documents, encode_documents
 from .classifier import quality_scores
 from .lm import automaton_scores
@@ -25,7 +26,7 @@ from .warc import read_archives, write_archives
 __all__ = ["ORACLES", "QUERIES"]
 
 
-@query("op1_warc_chunks")
+@query("op1_warc_chunks", sql.WARC)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "archives")
     write_archives(table(spark, sf_dir, "pages"), path)
@@ -79,12 +80,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return automaton_scores(table(spark, sf_dir, "documents"))
 
 
-@query("op6_grid_order_join")
+@query("op6_grid_order_join", sql.NEAR_VECTORS)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
 
-@query("op7_divergence_rules")
+@query("op7_divergence_rules", sql.RULES)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
 
@@ -100,12 +101,12 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-@query("op9_seed_and_extend")
+@query("op9_seed_and_extend", sql.PASSAGES)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-@query("op10_minhash_near_dedup")
+@query("op10_minhash_near_dedup", sql.NEAR_DUPLICATES)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
