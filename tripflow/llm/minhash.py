@@ -8,17 +8,18 @@ star around its smallest document, not n * n / 2 pairs. Edges are confirmed on t
 sets, and confirmed links make components.
 
 A star can miss a link between two of its leaves. Buckets whose documents are still in different
-components after the stars are therefore compared in full, in chunks: inside a task, as signature
-matrices, and only pairs that the signatures leave open are emitted and confirmed. Equal shingle
-sets are one document for all of this, so copies cost nothing after the first shuffle.
+components after the stars are therefore compared in chunks, inside tasks: signatures rule out most
+pairs, the rest are tried on their full sets, and only the links that join components come out.
+Equal shingle sets are one document for all of this, so copies cost nothing after the first shuffle.
 
 With 25 bands of 5 bins a pair at similarity 0.85 fails to meet with probability 4e-7, one at 0.8
 with 5e-5.
 
 Nulls, empty texts and texts without a word have an empty set and link with nothing. A text with
 fewer words than a shingle has one shingle, the whole sequence. Rows that repeat a doc_id are one
-document with several texts: it has the links of each, and each row comes back. Rows without a doc_id come back as they are, linked
-with nothing, their component null. Other columns are not read. No rows in, no rows out.
+document with several texts: it has the links of each, and each row comes back. Rows without a
+doc_id come back as they are, linked with nothing, their component null. Other columns are not read.
+No rows in, no rows out.
 """
 
 from __future__ import annotations
@@ -126,34 +127,75 @@ def _sets(size: int):
     return run
 
 
-def _open_pairs(percent: int):
-    """Pairs of one chunk pair that are in different components and that signatures and set
-    sizes do not rule out (five deviations of the estimate)."""
+def _missing_links(percent: int):
+    """Links between the components of one chunk pair of a bucket, as few as join them.
+
+    Set sizes and signatures (five deviations of the estimate) rule pairs out; the others are tried
+    on their full sets, the likeliest first, until the two are in one component. A pair that meets
+    in several bands is tried in the first of them.
+    """
     least = percent / 100
 
     def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
         ids = table["doc_id"].to_numpy()
-        parts = table["component"].to_numpy()
-        sizes = table["n_shingles"].to_numpy().astype(np.float64)
-        side = table["side"].to_numpy()
+        label = np.unique(table["component"].to_numpy(), return_inverse=True)[1]
+        side, band = table["side"].to_numpy(), table["band"][0].as_py()
         signs = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint8).reshape(len(ids), -1)
+        places = np.array(table["buckets"].to_pylist(), np.int64).reshape(len(ids), -1)[:, :band]
+        sets = [v.to_numpy().view(U64) for v in (s.values for s in table["shingles"])]
+        sizes = np.array([len(s) for s in sets], np.float64)
+
+        def linked(a: int, b: int) -> bool:
+            one, two = sets[a], sets[b]
+            common = np.count_nonzero(two[np.minimum(np.searchsorted(two, one), len(two) - 1)] == one)
+            return 100 * common >= percent * (len(one) + len(two) - common)
+
+        # side 0 is to be held against side 1, side 2 against itself
         left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
-        out_a, out_b = [], []
+        links = []
         for a in left:
-            b = right[(parts[right] != parts[a]) & (ids[right] > ids[a] if side[a] == 2 else True)]
+            b = right[(label[right] != label[a]) & ((side[a] != 2) | (ids[right] > ids[a]))]
             small, large = np.minimum(sizes[b], sizes[a]), np.maximum(sizes[b], sizes[a])
             b, small = b[small >= least * large], small[small >= least * large]
             agree = (signs[b] == signs[a]).mean(axis=1)
             margin = 5 * np.sqrt(least * (1 - least) / np.clip(small, 1, signs.shape[1]))
-            b = b[agree >= least - margin]
-            out_a.append(np.full(len(b), ids[a]))
-            out_b.append(ids[b])
-        a = np.concatenate(out_a) if out_a else np.empty(0, np.int64)
-        b = np.concatenate(out_b) if out_b else np.empty(0, np.int64)
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+            likely = (agree >= least - margin) & ~(places[b] == places[a]).any(axis=1)
+            b = b[likely][np.argsort(-agree[likely], kind="stable")]
+            while len(b):
+                if linked(a, b[0]):
+                    links.append((int(ids[a]), int(ids[b[0]])))
+                    label[label == label[b[0]]] = label[a]
+                    b = b[label[b] != label[a]]
+                else:
+                    b = b[1:]
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()),
+                         "b": pa.array([x for _, x in links], pa.int64())})
     return run
 
 
+def _links_between(stars: DataFrame, full: DataFrame, sets: DataFrame, parts: DataFrame,
+                   percent: int) -> DataFrame:
+    """Links (a, b) that join components within buckets. A bucket is compared in chunks of a bounded
+    number of documents, each pair of chunks in a task of its own."""
+    placed = stored(stars.join(parts.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn(
+        "component", F.coalesce("component", "doc_id")), "placed")
+    mixed = (placed.groupBy("band", "bucket")
+             .agg(F.min("component").alias("c0"), F.max("component").alias("c1"),
+                  F.count("*").alias("n")).where("c0 <> c1 and n > 2").drop("c0", "c1"))
+    chunks = F.ceil(F.col("n") / _CHUNK).cast("int")
+    cast = (placed.join(mixed, ["band", "bucket"])
+            .join(full.select("doc_id", "signature", "buckets"), "doc_id").join(sets, "doc_id")
+            .withColumn("chunk", F.pmod(F.xxhash64("doc_id"), chunks).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
+            .select("band", "bucket", "doc_id", "component", "signature", "buckets", "shingles",
+                    F.least("chunk", "other").alias("c0"), F.greatest("chunk", "other").alias("c1"),
+                    F.when(F.col("chunk") == F.col("other"), 2)
+                    .when(F.col("chunk") < F.col("other"), 0).otherwise(1).alias("side")))
+    return (cast.groupBy("band", "bucket", "c0", "c1")
+            .applyInArrow(_missing_links(percent), "a long, b long").distinct())
+
+
 def _confirmed(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Edges (a, b) whose full sets have 100 * intersection >= percent * union."""
     one = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
@@ -188,35 +230,18 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
     entries = stored(full.select("doc_id", F.posexplode("buckets").alias("band", "bucket")), "entries")
     shared = (entries.groupBy("band", "bucket")
               .agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).where("a <> z"))
-    stars = entries.join(shared.drop("z"), ["band", "bucket"])
-    edges = stored(stars.where("doc_id <> a").select("a", F.col("doc_id").alias("b")).distinct(), "stars")
+    stars = stored(entries.join(shared.drop("z"), ["band", "bucket"]), "stars")
+    edges = stored(stars.where("doc_id <> a").select("a", F.col("doc_id").alias("b")).distinct(), "edges")
     wanted = edges.select(F.col("a").alias("doc_id")).union(edges.select("b")).distinct()
-    sets = stored(texts.join(wanted, "doc_id", "left_semi")
+    # a merge join at every size: the share of documents that have partners follows the corpus
+    sets = stored(texts.join(wanted.hint("merge"), "doc_id", "left_semi")
                   .mapInArrow(_sets(size), "doc_id long, shingles array<long>"), "sets")
     links = stored(_confirmed(edges, sets, percent), "links")
     parts = stored(components(links), "parts")
-
-    # buckets that hold several components after the stars
-    placed = stars.join(parts.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn(
-        "component", F.coalesce("component", "doc_id"))
-    mixed = (placed.groupBy("band", "bucket")
-             .agg(F.min("component").alias("c0"), F.max("component").alias("c1"),
-                  F.count("*").alias("n")).where("c0 <> c1 and n > 2").drop("c0", "c1"))
-    chunks = F.ceil(F.col("n") / _CHUNK).cast("int")
-    cast = (placed.join(mixed, ["band", "bucket"])
-            .join(full.select("doc_id", "n_shingles", "signature"), "doc_id")
-            .withColumn("chunk", F.pmod(F.xxhash64("doc_id"), chunks).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
-            .select("band", "bucket", "doc_id", "component", "n_shingles", "signature",
-                    F.least("chunk", "other").alias("c0"), F.greatest("chunk", "other").alias("c1"),
-                    F.when(F.col("chunk") == F.col("other"), 2)
-                    .when(F.col("chunk") < F.col("other"), 0).otherwise(1).alias("side")))
-    rest = (cast.groupBy("band", "bucket", "c0", "c1")
-            .applyInArrow(_open_pairs(percent), "a long, b long").distinct()
-            .join(edges, ["a", "b"], "left_anti"))
-    more = stored(_confirmed(rest, sets, percent), "more")
+    more = stored(_links_between(stars, full, sets, parts, percent), "more-links")
     if not more.isEmpty():
-        parts = stored(components(links.unionByName(more)), "parts")
+        known = parts.select(F.col("id").alias("a"), F.col("component").alias("b"))
+        parts = stored(components(known.unionByName(more)), "parts")
 
     groups = (heads.join(parts.withColumnRenamed("id", "head"), "head", "left")
               .select("set_key", "n_shingles", F.coalesce("component", "head").alias("component")))
