@@ -7,9 +7,9 @@ from either is rejected. A histogram of a short text says little, so each compar
 length, below which it passes. Before that, two base rules reject texts of too few words and texts
 that mostly repeat their own three-word windows.
 
-References are summed over all documents that pass the base rules, per listed language; documents
-of other or no language are compared by character class with the reference of all. The five rows of
-references are the only table that is broadcast.
+References are summed over the documents that pass the base rules, per listed language, and then
+once more over the nearer half of them; documents of other or no language are compared by character
+class with the reference of all. The five rows of references are all that is broadcast.
 
 Per document everything is array functions on its own row, so nothing but the small table of
 features is written and only sums per language are shuffled.
@@ -113,32 +113,53 @@ def base_failed() -> Column:
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
+def _doubles(name: str) -> Column:
+    return F.transform(name, lambda x: x.cast("double"))
+
+
 def references(found: DataFrame, least_words: int = 1000) -> DataFrame:
     """Summed histograms of the documents that pass the base rules: one row per listed language and
-    one of all; without those of fewer than `least_words` words."""
-    good = found.where(~base_failed())
+    one of all; without those of fewer than `least_words` words.
+
+    Sums of everything are taken first, and those that count over the half of the documents that is
+    nearest to them, so that even a third of odd documents leaves no mark.
+    """
+    good = (found.where(~base_failed())
+            .withColumn("ref", F.explode(F.array_distinct(F.array("lang", F.lit(_ANY)))))
+            .withColumn("common", F.when(F.col("ref") != _ANY, F.col("common"))))
     classes, common = len(CLASSES) + 2, len(next(iter(COMMON_WORDS.values())).split()) + 1
-    sums = [F.array(*[F.sum(F.col("chars")[i].cast("double")) for i in range(classes)]).alias("all_chars"),
-            F.array(*[F.sum(F.get("common", F.lit(i)).cast("double")) for i in range(common)])
-            .alias("all_common"), F.sum("n_words").alias("all_words")]
-    by_lang = good.where(F.col("lang") != _ANY).groupBy("lang").agg(*sums)
-    pooled = good.groupBy(F.lit(_ANY).alias("lang")).agg(*sums)
-    return by_lang.unionByName(pooled).where(F.col("all_words") >= least_words)
+
+    def sums(rows: DataFrame, chars: Column, words: Column) -> DataFrame:
+        return rows.groupBy("ref").agg(
+            F.array(*[F.sum(F.when(chars, F.col("chars")[i].cast("double"))) for i in range(classes)])
+            .alias("all_chars"),
+            F.array(*[F.sum(F.when(words, F.get("common", F.lit(i)).cast("double"))) for i in range(common)])
+            .alias("all_common"), F.sum("n_words").alias("all_words"))
+
+    first = sums(good, F.lit(True), F.lit(True))
+    near = (good.join(F.broadcast(first), "ref")
+            .withColumn("dc", distance(_doubles("chars"), F.col("all_chars")))
+            .withColumn("dw", distance(_doubles("common"), F.col("all_common")))
+            .select(*good.columns, "dc", "dw"))
+    middle = near.groupBy("ref").agg(F.percentile_approx("dc", 0.5, 10_000).alias("mc"),
+                                     F.percentile_approx("dw", 0.5, 10_000).alias("mw"))
+    core = near.join(F.broadcast(middle), "ref")
+    return (sums(core, F.col("dc") <= F.col("mc"), F.col("dw") <= F.col("mw"))
+            .where(F.col("all_words") >= least_words).withColumnRenamed("ref", "lang"))
 
 
 def judged(found: DataFrame, known: DataFrame, least_chars: int = 500, least_words: int = 200,
            most_class_distance: float = 0.25, most_word_distance: float = 0.3) -> DataFrame:
     """Features with base_failed, the two distances (null where not compared) and kept."""
-    doubles = lambda c: F.transform(c, lambda x: x.cast("double"))
     verdict = ((F.coalesce("class_distance", F.lit(0.0)) <= most_class_distance)
                & (F.coalesce("word_distance", F.lit(0.0)) <= most_word_distance))
     return (found.join(F.broadcast(known), "lang", "left")
             .withColumn("base_failed", base_failed())
             .withColumn("class_distance", F.when(F.col("word_chars") >= least_chars,
-                                                 distance(doubles("chars"), F.col("all_chars"))))
+                                                 distance(_doubles("chars"), F.col("all_chars"))))
             .withColumn("word_distance", F.when(
                 (F.col("n_words") >= least_words) & (F.col("lang") != _ANY),
-                distance(doubles("common"), F.col("all_common"))))
+                distance(_doubles("common"), F.col("all_common"))))
             .withColumn("kept", ~F.col("base_failed") & verdict))
 
 
@@ -156,8 +177,8 @@ def quality_rules(docs: DataFrame, **limits: float) -> DataFrame:
 
 
 def passing(docs: DataFrame, **limits: float) -> DataFrame:
-    """The rows of docs that the rules keep, all columns as they are. The texts are read a second
-    time rather than shuffled to meet their verdicts."""
+    """The rows of docs that the rules keep, all columns as they are. Rows are stored beside their
+    features, rather than shuffled to meet their verdicts; the references read the features alone."""
     ready(docs.sparkSession)
-    known = stored(references(stored(features(docs), "rule-features")), "rule-references")
-    return judged(features(docs, carry=True), known, **limits).where("kept").select("row.*")
+    found = stored(features(docs, carry=True), "rule-features")
+    return judged(found, references(found), **limits).where("kept").select("row.*")

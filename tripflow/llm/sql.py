@@ -67,6 +67,9 @@ def _listed(lang: str) -> str:
 _COUNT = "length(t) - length(regexp_replace(t, '%s', '', 'g'))"
 _SYMBOLS = "[#*$%&|<>]"
 
+_DISTANCE = """sqrt(greatest(sum(CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END
+    + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2, 0))"""
+
 RULES = rf"""WITH d AS (SELECT doc_id, CASE WHEN lang IN ({', '.join(f"'{x}'" for x in COMMON_WORDS)})
            THEN lang ELSE '*' END AS lang, {_TEXT} AS t, {_WORDS % _TEXT} AS w FROM documents),
 windows AS (SELECT doc_id, s, array_to_string(w[s:s + 2], ' ') AS k
@@ -90,14 +93,23 @@ bars AS (SELECT doc_id, lang, base_failed, n_words, 'chars' AS kind, unnest(rang
            unnest(list_append(found, n_words - CAST(list_sum(found) AS BIGINT))) FROM words WHERE lang <> '*'),
 totals AS (SELECT lang, sum(n_words) AS n FROM words WHERE NOT base_failed AND lang <> '*' GROUP BY lang UNION ALL
     SELECT '*', sum(n_words) FROM words WHERE NOT base_failed),
-refs AS (SELECT lang, kind, i, CAST(sum(v) AS DOUBLE) AS v FROM bars WHERE NOT base_failed AND lang <> '*' GROUP BY 1, 2, 3
-    UNION ALL SELECT '*', kind, i, CAST(sum(v) AS DOUBLE) FROM bars WHERE NOT base_failed AND kind = 'chars' GROUP BY 2, 3),
-shares AS (SELECT doc_id, b.kind, b.v / nullif(sum(b.v) OVER (PARTITION BY doc_id, b.kind), 0) AS p,
-           r.v / sum(r.v) OVER (PARTITION BY doc_id, b.kind) AS q
-    FROM bars b JOIN refs r ON b.lang = r.lang AND b.kind = r.kind AND b.i = r.i
+rbars AS (SELECT doc_id, lang AS ref, base_failed, kind, i, v FROM bars WHERE lang <> '*' UNION ALL
+    SELECT doc_id, '*', base_failed, kind, i, v FROM bars WHERE kind = 'chars'),
+all_refs AS (SELECT ref, kind, i, CAST(sum(v) AS DOUBLE) AS v FROM rbars WHERE NOT base_failed GROUP BY 1, 2, 3),
+all_shares AS (SELECT b.doc_id, ref, kind,
+           b.v / nullif(sum(b.v) OVER (PARTITION BY b.doc_id, ref, kind), 0) AS p,
+           r.v / sum(r.v) OVER (PARTITION BY b.doc_id, ref, kind) AS q
+    FROM rbars b JOIN all_refs r USING (ref, kind, i) WHERE NOT b.base_failed),
+all_distances AS (SELECT doc_id, ref, kind, {_DISTANCE} AS distance FROM all_shares GROUP BY 1, 2, 3),
+middle AS (SELECT ref, kind, quantile_disc(distance, 0.5) AS m FROM all_distances GROUP BY 1, 2),
+refs AS (SELECT ref, kind, i, CAST(sum(v) AS DOUBLE) AS v FROM rbars
+    JOIN all_distances USING (doc_id, ref, kind) JOIN middle USING (ref, kind)
+    WHERE NOT base_failed AND distance <= m GROUP BY 1, 2, 3),
+shares AS (SELECT b.doc_id, b.kind, b.v / nullif(sum(b.v) OVER (PARTITION BY b.doc_id, b.kind), 0) AS p,
+           r.v / sum(r.v) OVER (PARTITION BY b.doc_id, b.kind) AS q
+    FROM bars b JOIN refs r ON b.lang = r.ref AND b.kind = r.kind AND b.i = r.i
     JOIN totals ON totals.lang = b.lang AND totals.n >= 1000),
-distances AS (SELECT doc_id, kind, sqrt(greatest(sum(CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END
-    + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2, 0)) AS distance FROM shares GROUP BY 1, 2)
+distances AS (SELECT doc_id, kind, {_DISTANCE} AS distance FROM shares GROUP BY 1, 2)
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
        CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
        CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
