@@ -10,7 +10,7 @@ result is the one sequence whose neighbours all fit, which is what the merges pr
 
 Text is cut into pieces by a pattern first. A piece that is itself a token is that token, as in the
 reference library, even where merges would not reach it. Pieces repeat, so a task remembers the ids
-of the pieces it has met, up to a bound.
+of the pieces it has met, as bytes, up to a bound; pieces that are met again stay longest.
 
 Null and empty texts have no ids and decode to no bytes. Rows without a doc_id and repeated rows
 are encoded like any other. No rows in, no rows out.
@@ -19,17 +19,18 @@ are encoded like any other. No rows in, no rows out.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .work import ready
 
-#: Remembered pieces and pairs of a task; both are forgotten when full.
-_PIECES, _PAIRS = 500_000, 500_000
+#: Pieces a task remembers in each of two generations, the longest of them, and remembered pairs.
+_PIECES, _LONGEST, _PAIRS = 300_000, 64, 300_000
 _FREE = 1 << 62
 
 
@@ -43,6 +44,27 @@ def read_ranks(path: str) -> list[bytes]:
     return tokens
 
 
+class _Pieces(dict):
+    """Piece → its ids as bytes. A full generation becomes the old one, from which pieces that are
+    met again come back; the rest of it is forgotten with the next change."""
+
+    def __init__(self, encode: Callable[[bytes], list[int]]):
+        self.encode = encode
+        self.old: dict[str, bytes] = {}
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.old.get(piece)
+        if ids is None:
+            numbers = self.encode(piece.encode("utf-8", "surrogatepass"))
+            ids = b"".join([n.to_bytes(4, "little") for n in numbers])
+        if len(piece) <= _LONGEST:
+            if len(self) >= _PIECES:
+                self.old = dict(self)
+                self.clear()
+            self[piece] = ids
+        return ids
+
+
 class Bpe:
     def __init__(self, tokens: list[bytes], pattern: str):
         import ahocorasick
@@ -51,7 +73,7 @@ class Bpe:
         self.tokens = tokens
         self.rank = {token: number for number, token in enumerate(tokens)}
         self.cut = regex.compile(pattern).findall
-        self.pieces: dict[str, list[int]] = {}
+        self.pieces = _Pieces(self.encode_piece)
         self.fits: dict[tuple[int, int], bool] = {}
         self.shorter = self._shorter_prefixes()
         self.halves: list[tuple[int, int] | None] = [None] * len(tokens)
@@ -147,19 +169,12 @@ class Bpe:
                 token = out.pop()
                 at -= len(tokens[token])
 
+    def encode_packed(self, text: str) -> bytes:
+        """The ids of a text as little-endian 32-bit numbers."""
+        return b"".join(map(self.pieces.__getitem__, self.cut(text)))
+
     def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        pieces = self.pieces
-        for piece in self.cut(text):
-            ids = pieces.get(piece)
-            if ids is None:
-                if len(pieces) >= _PIECES:
-                    pieces.clear()
-                ids = self.encode_piece(piece.encode("utf-8", "surrogatepass"))
-                if len(piece) <= 64:
-                    pieces[piece] = ids
-            out += ids
-        return out
+        return np.frombuffer(self.encode_packed(text), "<i4").tolist()
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -174,9 +189,12 @@ def _encode(path: str, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _loaded(path, pattern)
         for batch in batches:
-            ids = [bpe.encode(text or "") for text in batch["text"].to_pylist()]
+            packed = [bpe.encode_packed(text or "") for text in batch["text"].to_pylist()]
+            offsets = np.zeros(len(packed) + 1, np.int32)
+            np.cumsum([len(p) // 4 for p in packed], out=offsets[1:])
+            ids = pa.array(np.frombuffer(b"".join(packed), "<i4"), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
+                [batch["doc_id"], pa.ListArray.from_arrays(pa.array(offsets), ids)], ["doc_id", "ids"])
     return run
 
 
@@ -184,7 +202,8 @@ def _decode(path: str, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _loaded(path, pattern)
         for batch in batches:
-            data = [bpe.decode(ids) for ids in batch["ids"].to_pylist()]
+            ids, ends = batch["ids"].flatten().to_numpy(), np.cumsum(batch["ids"].value_lengths().to_numpy())
+            data = [bpe.decode(part.tolist()) for part in np.split(ids, ends[:-1])] if len(ends) else []
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(data, pa.binary())],
                                              [*batch.schema.names, "decoded"])
     return run
