@@ -102,7 +102,9 @@ def features(docs: DataFrame, carry: bool = False) -> DataFrame:
 def distance(one: Column, other: Column) -> Column:
     """Jensen-Shannon distance of two histograms of counts; null if one is empty or null."""
     total = lambda h: F.aggregate(h, F.lit(0.0), lambda a, x: a + x)
-    share = lambda h: F.transform(h, lambda x: x / F.nullif(total(h), F.lit(0.0)))
+    # the total is a lambda's variable, so that it is summed up once and not for every bar
+    share = lambda h: F.flatten(F.transform(F.array(total(h)), lambda t: F.transform(
+        h, lambda x: x / F.nullif(t, F.lit(0.0)))))
     part = lambda p, m: F.when(p > 0, p * F.log2(p / m)).otherwise(0.0)
     terms = F.zip_with(share(one), share(other), lambda p, q: part(p, (p + q) / 2) + part(q, (p + q) / 2))
     found = F.sqrt(F.greatest(F.aggregate(terms, F.lit(0.0), lambda a, x: a + x) / 2, F.lit(0.0)))
