@@ -5,11 +5,13 @@ from __future__ import annotations
 import hashlib
 import json
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tests.conftest import row_set
 from tests.llm.conftest import ODD
 from tripflow.llm import vectors, warc
 from tripflow.llm.classifier import (Model, held_out, quality_scores, score_documents, text_features,
@@ -49,7 +51,10 @@ def test_archives_round_trip(spark, pages, tmp_path):
             (13, "u", "😀" * 3000), (14, "u", "Content-Length: 5\r\n\r\nWARC/1.1"), (15, "u", "WARC/1.1\r\nWARC-Type: response\r\n\r\n"),
             (16, "u", "z" * 1024 + "WARC/1.1\r\n" * 3)]
     path = str(tmp_path / "archives")
-    write_archives(pages(rows), path, chunk_bytes=1024, records_per_file=5)
+    write_archives(pages(rows), path, chunk_bytes=1024, records_per_file=5, compression="none")
+    packed = str(tmp_path / "packed")
+    write_archives(pages(rows), packed, chunk_bytes=1024, records_per_file=5)
+    assert row_set(read_archives(spark, packed)) == row_set(read_archives(spark, path))
     found = {r.page_id: r for r in read_archives(spark, path).collect()}
     payloads = {d: (h or "").encode() for d, _, h in rows}
     assert set(found) == set(payloads)
@@ -62,12 +67,12 @@ def test_archives_round_trip(spark, pages, tmp_path):
     assert max(r.top for r in chunks) <= 1024 and {r.page_id: r.n for r in chunks}[13] == 12
     texts = "".join(f.read_bytes().decode() for f in sorted((tmp_path / "archives").glob("part-*")))
     assert texts.startswith("WARC/1.1\r\n") and texts.endswith("\r\n\r\n")
-    assert "WARC-Segment-Origin-ID: <urn:page:13>" in texts
+    assert "WARC-Segment-Origin-ID: <urn:page:13:" in texts
 
 
 def test_damaged_archives_are_noticed(spark, pages, tmp_path):
     path = tmp_path / "archives"
-    write_archives(pages([(1, "u", "one"), (2, "u", "y" * 3000)]), str(path), chunk_bytes=1000)
+    write_archives(pages([(1, "u", "one"), (2, "u", "y" * 3000)]), str(path), chunk_bytes=1000, compression="none")
     files = [f for f in path.glob("part-*") if f.stat().st_size]
     whole = {f: f.read_bytes() for f in files}
 
@@ -89,8 +94,19 @@ def test_damaged_archives_are_noticed(spark, pages, tmp_path):
 def test_archives_of_nothing(spark, pages, tmp_path):
     write_archives(pages([]), str(tmp_path / "none"))
     assert read_archives(spark, str(tmp_path / "none")).count() == 0
-    with pytest.raises(Exception, match="page without page_id"):
-        write_archives(pages([(None, "u", "x")]), str(tmp_path / "bad"))
+
+
+def test_archives_of_repeated_and_unnamed_pages(spark, pages, tmp_path):
+    one, two = "a" * 3000, "b" * 3000
+    rows = [(1, "u", one), (1, "u", one), (1, "u", two), (2, "u", two), (None, "u", one), (None, None, one),
+            (None, "u", "x"), (0, "u", one)]
+    write_archives(pages(rows), str(tmp_path / "odd"), chunk_bytes=1000)
+    found = [tuple(r) for r in read_archives(spark, str(tmp_path / "odd")).collect()]
+    digest = {t: hashlib.sha1(t.encode()).hexdigest() for t in (one, two, "x")}
+    kept = lambda d, t: (d, len(t), digest[t], "response", None)
+    assert Counter(found) == Counter([
+        kept(1, one), kept(1, one), (1, 3000, digest[two], "revisit", 2), kept(2, two), kept(None, one),
+        kept(None, one), kept(None, "x"), (0, 3000, digest[one], "revisit", 1)])
 
 
 # --- components ---

@@ -17,9 +17,10 @@ Content-Length.
 Among pages with equal payloads of at least `least_bytes` the one with the largest page_id is
 stored, the others refer to it.
 
-Null html is the empty payload. Rows without a page_id are not addressable, which is an error. A
-page_id on several rows stands for as many records; the first chunk's identifier then names any of
-them, and each row comes back. Other columns are not read. No rows in, no records out.
+Null html is the empty payload. Every row is a record of its own, with an identifier that holds its
+page_id and its place in the run, so rows that repeat a page_id, or have none, come back one by one.
+Rows without a page_id are always stored, and nothing refers to them. Other columns are not read. No
+rows in, no records out.
 """
 
 from __future__ import annotations
@@ -67,20 +68,16 @@ def _header(fields: list[tuple[str, object]]) -> bytes:
     return (_VERSION + "".join(f"{k}: {v}\r\n" for k, v in fields) + "\r\n").encode()
 
 
-def _name(page_id: int) -> str:
-    return f"<urn:page:{page_id}>"
-
-
 def _records(chunk_bytes: int):
-    def rows(page_id: int, url: str | None, html: str | None, refers_to: int | None,
+    def rows(name: str, url: str | None, html: str | None, refers_to: int | None,
              digest: str | None) -> Iterator[bytes]:
         uri = " ".join((url or "").split())
         common = [("WARC-Date", _DATE), ("WARC-Target-URI", uri)]
         if refers_to is not None:
             yield _header([
-                ("WARC-Type", "revisit"), ("WARC-Record-ID", _name(page_id)), *common,
+                ("WARC-Type", "revisit"), ("WARC-Record-ID", f"<{name}>"), *common,
                 ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
-                ("WARC-Refers-To", _name(refers_to)), ("WARC-Payload-Digest", f"sha1:{digest}"),
+                ("WARC-Refers-To", f"<urn:page:{refers_to}>"), ("WARC-Payload-Digest", f"sha1:{digest}"),
                 ("Content-Length", 0)]) + b"\r\n"
             return
         payload = encode(html)
@@ -90,12 +87,12 @@ def _records(chunk_bytes: int):
             running.update(chunk)
             block = (_HTTP.encode() if number == 1 else b"") + chunk
             fields = [("WARC-Type", "response" if number == 1 else "continuation"),
-                      ("WARC-Record-ID", _name(page_id) if number == 1 else f"<urn:page:{page_id}:{number}>"),
+                      ("WARC-Record-ID", f"<{name}>" if number == 1 else f"<{name}:{number}>"),
                       *common]
             if number == 1:
                 fields.append(("Content-Type", "application/http; msgtype=response"))
             else:
-                fields.append(("WARC-Segment-Origin-ID", _name(page_id)))
+                fields.append(("WARC-Segment-Origin-ID", f"<{name}>"))
             if len(stops) > 1:
                 fields.append(("WARC-Segment-Number", number))
                 if number == len(stops):
@@ -105,13 +102,13 @@ def _records(chunk_bytes: int):
             start = stop
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        from pyspark import TaskContext
+        part, count, held, size = TaskContext.get().partitionId(), 0, [], 0
         for batch in batches:
             columns = [batch[c].to_pylist() for c in ("page_id", "url", "html", "refers_to", "digest")]
-            for record in zip(*columns):
-                if record[0] is None:
-                    raise ValueError("a page without page_id cannot be archived")
-                for row in rows(*record):
+            for page_id, *record in zip(*columns):
+                count += 1
+                for row in rows(f"urn:page:{'' if page_id is None else page_id}:{part}.{count}", *record):
                     held.append(row)
                     size += len(row)
                     if size >= _BATCH_BYTES:
@@ -123,8 +120,11 @@ def _records(chunk_bytes: int):
 
 
 def write_archives(pages: DataFrame, path: str, chunk_bytes: int = 1 << 18,
-                   least_bytes: int = 1000, records_per_file: int = 20_000) -> None:
-    """Write pages(page_id, url, html) as WARC files below `path`."""
+                   least_bytes: int = 1000, records_per_file: int = 5_000,
+                   compression: str = "gzip") -> None:
+    """Write pages(page_id, url, html) as WARC files below `path`, compressed as a whole file each
+    or plain (`none`). A compressed file is read by one task, so files have a bounded number of
+    records."""
     ready(pages.sparkSession)
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
     marked = pages.select(
@@ -136,16 +136,17 @@ def write_archives(pages: DataFrame, path: str, chunk_bytes: int = 1 << 18,
                                                   F.min("page_id").alias("other"))
               .where("refers_to <> other").drop("other"))
     revisits = (long.join(copied, ["digest", "bytes"]).where("page_id <> refers_to")
-                .select("page_id", "refers_to").distinct())
-    (marked.join(revisits, "page_id", "left")
+                .select("page_id", "digest", "refers_to").distinct())
+    (marked.join(revisits, ["page_id", "digest"], "left")
      .mapInArrow(_records(chunk_bytes), "value binary")
      # the bytes as they are: the text source writes them unchanged
      .select(F.col("value").cast("string").alias("value"))
-     .write.option("lineSep", "\r\n").option("maxRecordsPerFile", records_per_file).text(path))
+     .write.option("lineSep", "\r\n").option("maxRecordsPerFile", records_per_file)
+     .option("compression", compression).text(path))
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """The chunk rows of archives: page_id, chunk, type, refers_to, so_far, last, payload."""
+    """The chunk rows of archives: record, page_id, chunk, type, refers_to, so_far, last, payload."""
     lines = spark.read.option("lineSep", _SEPARATOR).text(path).where(F.length("value") > 0)
     data = F.col("value").cast("binary")
     head = F.substring_index("value", "\r\n\r\n", 1)
@@ -154,7 +155,9 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     split = lines.select(data.alias("data"), head.alias("head")).withColumn(
         "head_bytes", F.octet_length("head") + 4)
     named = split.select(
-        page(field("WARC-Record-ID")).cast("long").alias("page_id"),
+        F.when(field("WARC-Type") == "continuation", field("WARC-Segment-Origin-ID"))
+        .otherwise(field("WARC-Record-ID")).alias("record"),
+        F.nullif(page(field("WARC-Record-ID")), F.lit("")).cast("long").alias("page_id"),
         F.coalesce(F.nullif(field("WARC-Segment-Number"), F.lit("")).cast("int"), F.lit(1)).alias("chunk"),
         field("WARC-Type").alias("type"),
         F.nullif(page(field("WARC-Refers-To")), F.lit("")).cast("long").alias("refers_to"),
@@ -165,28 +168,28 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     # what follows the block is the end of the record: nothing, or the separator at a file's end
     rest = F.octet_length("data") - F.col("head_bytes") - F.col("length")
     checked = named.withColumn("length", F.when((rest >= 0) & (rest <= 4), F.col("length")).otherwise(
-        F.raise_error(F.concat(F.lit("broken record of page "), F.col("page_id"))).cast("int")))
+        F.raise_error(F.concat(F.lit("broken record "), F.col("record"))).cast("int")))
     skip = F.when(F.col("type") == "response", F.lit(len(_HTTP))).otherwise(0)
-    return checked.select("page_id", "chunk", "type", "refers_to", "so_far", "last",
+    return checked.select("record", "page_id", "chunk", "type", "refers_to", "so_far", "last",
                           F.substring("data", F.col("head_bytes") + skip + 1, F.col("length") - skip)
                           .alias("payload"))
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per record, from chunk rows in order; only the running digest is kept."""
-    page, size, running, expected, so_far = None, 0, None, 0, None
+    name, size, running, expected, so_far = None, 0, None, 0, None
     for batch in batches:
         names, sizes, digests = [], [], []
-        for number, stated, last, this, payload in zip(*(batch[c].to_pylist() for c in (
-                "chunk", "so_far", "last", "page_id", "payload"))):
+        for number, stated, last, this, page, payload in zip(*(batch[c].to_pylist() for c in (
+                "chunk", "so_far", "last", "record", "page_id", "payload"))):
             if number == 1:
-                page, size, running, expected = this, 0, hashlib.sha1(), 1
-            if this != page or number != expected:
-                raise ValueError(f"chunk {expected} of page {page} is missing")
+                name, size, running, expected = this, 0, hashlib.sha1(), 1
+            if this != name or number != expected:
+                raise ValueError(f"chunk {expected} of {name} is missing")
             running.update(payload)
             size, expected, so_far = size + len(payload), expected + 1, running.hexdigest()
             if so_far != stated:
-                raise ValueError(f"chunk {number} of page {page} is damaged")
+                raise ValueError(f"chunk {number} of {name} is damaged")
             if last:
                 names.append(page)
                 sizes.append(size)
@@ -206,18 +209,19 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     plain = single.select(
         "page_id", F.octet_length("payload").cast("long").alias("payload_bytes"),
         F.when(digest == F.col("so_far"), digest).otherwise(
-            F.raise_error(F.concat(F.lit("damaged payload of page "), F.col("page_id"))))
+            F.raise_error(F.concat(F.lit("damaged payload of "), F.col("record"))))
         .alias("payload_digest"))
     chunked = (rows.where("type = 'continuation' or (type = 'response' and not last)")
-               .repartition("page_id").sortWithinPartitions("page_id", "chunk")
+               .repartition("record").sortWithinPartitions("record", "chunk")
                .mapInArrow(_digests, "page_id long, payload_bytes long, payload_digest string"))
     stored = plain.unionByName(chunked)
-    revisits = rows.where("type = 'revisit'").select("page_id", "refers_to", "so_far")
-    referred = stored.select(F.col("page_id").alias("refers_to"), "payload_bytes", "payload_digest")
-    checked = revisits.join(referred.distinct(), "refers_to", "left").select(
+    revisits = rows.where("type = 'revisit'").select("record", "page_id", "refers_to", "so_far")
+    referred = stored.select(F.col("page_id").alias("refers_to"), F.col("payload_digest").alias("so_far"),
+                             "payload_bytes", "payload_digest").distinct()
+    checked = revisits.join(referred, ["refers_to", "so_far"], "left").select(
         "page_id", "payload_bytes",
         F.when(F.col("payload_digest") == F.col("so_far"), F.col("payload_digest")).otherwise(
-            F.raise_error(F.concat(F.lit("broken reference of page "), F.col("page_id"))))
+            F.raise_error(F.concat(F.lit("broken reference of "), F.col("record"))))
         .alias("payload_digest"), F.lit("revisit").alias("record_type"), "refers_to")
     return stored.select("page_id", "payload_bytes", "payload_digest",
                          F.lit("response").alias("record_type"),
