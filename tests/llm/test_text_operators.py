@@ -265,6 +265,21 @@ def test_encoder_falls_back():
     assert encoder.ids(text) == fast
 
 
+def test_added_tokens_are_those_of_an_unmodified_tokenizer(spark, tmp_path):
+    from tokenizers import Tokenizer
+    from tripflow.llm.queries import op3
+    plain = Tokenizer.from_file(JSON)
+    rows = [*family(3, 10), (300, "<|endoftext|>"), (301, "a  <|endoftext|> 12<|endoftext|>b "),
+            (302, "<|endoftext|"), (303, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    expected = {d: [*plain.encode(t or "", add_special_tokens=False).ids, 0] for d, t in rows}
+    assert expected[300] == [50256, 0] and expected[301].count(50256) == 2
+    found = {r.doc_id: (r.length, r.ids_crc32) for r in op3(spark, str(tmp_path)).collect()}
+    assert found == {d: (len(i), zlib.crc32(np.array(i, "<u4").tobytes())) for d, i in expected.items()}
+    encoder = Encoder(JSON, added_tokens=True)
+    assert all(encoder.ids(t or "") == expected[d][:-1] for d, t in rows)
+
+
 # --- byte-level BPE ---
 
 def test_bpe_equals_tiktoken():

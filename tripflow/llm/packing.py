@@ -13,8 +13,8 @@ A document is its token ids and one end id. Only documents longer than `capacity
 of `capacity` tokens, the first piece holding the remainder.
 
 Null and empty texts are the end id alone. Rows without a doc_id and repeated rows are documents of
-their own. Other columns are not read. No rows in, no rows out. Strings that name special tokens
-are ordinary text.
+their own. Other columns are not read. No rows in, no rows out. Strings that name added tokens are
+ordinary text, unless `added_tokens` gives them the ids that `tokenizers` gives by default.
 """
 
 from __future__ import annotations
@@ -46,10 +46,11 @@ class Encoder:
     """Ids of a byte-level vocabulary file of `tokenizers`.
 
     The merges run in tiktoken on the same vocabulary, which gives the same ids several times
-    faster; a text its pattern engine gives up on goes to `tokenizers` itself.
+    faster; a text its pattern engine gives up on goes to `tokenizers` itself. With `added_tokens`,
+    so does a text that holds the content of an added token.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added_tokens: bool = False):
         import public_tokenizers
         import tiktoken
         from tokenizers import Tokenizer
@@ -63,9 +64,12 @@ class Encoder:
         self.fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN,
                                       mergeable_ranks=ranks, special_tokens={})
         self.slow = Tokenizer.from_file(path)
-        self.slow.encode_special_tokens = True
+        self.slow.encode_special_tokens = not added_tokens
+        self.added = sorted(special) if added_tokens else []
 
     def ids(self, text: str) -> list[int]:
+        if any(content in text for content in self.added):
+            return self.slow.encode(text, add_special_tokens=False).ids
         try:
             return self.fast.encode_ordinary(text)
         except (KeyboardInterrupt, SystemExit):
@@ -74,9 +78,9 @@ class Encoder:
             return self.slow.encode(text, add_special_tokens=False).ids
 
 
-def _pieces(path: str, capacity: int, end_id: int, with_ids: bool):
+def _pieces(path: str, capacity: int, end_id: int, with_ids: bool, added_tokens: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder = Encoder(path, added_tokens)
         for batch in batches:
             names, piece, start, length, sums, tokens = [], [], [], [], [], []
             for name, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
@@ -184,14 +188,15 @@ def _place(places: _Places):
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0,
-                   with_ids: bool = False) -> DataFrame:
+                   with_ids: bool = False, added_tokens: bool = False) -> DataFrame:
     """docs(doc_id, text) → a row per piece: doc_id, piece, start, length, ids_crc32, sequence_id,
-    offset; and the token ids themselves `with_ids`."""
+    offset; and the token ids themselves `with_ids`. `added_tokens` are read as `tokenizers` does by
+    default, otherwise as text."""
     ready(docs.sparkSession)
     schema = _PIECE + (", ids array<int>" if with_ids else "")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                         F.col("text").cast("string").alias("text"))
-    pieces = stored(texts.mapInArrow(_pieces(tokenizer, capacity, end_id, with_ids), schema), "pieces")
+    pieces = stored(texts.mapInArrow(_pieces(tokenizer, capacity, end_id, with_ids, added_tokens), schema), "pieces")
     salted = pieces.withColumn(
         "salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(_SALTS)).cast("int"))
     counts = stored(salted.groupBy("length", "salt").agg(F.count("*").alias("n")), "lengths")

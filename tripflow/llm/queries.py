@@ -41,7 +41,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_bin_slack_packing")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
-    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                          added_tokens=True)
 
 
 #: The tools that turns are read as calls of, and what their arguments must be.
