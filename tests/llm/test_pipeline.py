@@ -77,6 +77,18 @@ def test_stages(spark, tables):
     assert whole.columns == packed.columns and whole.count() == packed.count()
 
 
+def test_rules_reject_separators_between_words(spark, frame):
+    rnd = random.Random(9)
+    common = COMMON_WORDS["en"].split()
+    clean = lambda n: [rnd.choice(common) if rnd.random() < 0.4 else
+                       "".join(rnd.choice("abcdefghi") for _ in range(13)) for _ in range(n)]
+    digits = lambda n: ["".join(rnd.choice("0123456789") for _ in range(6)) for _ in range(n)]
+    rows = [(i, " ".join(clean(250))) for i in range(30)] + [(30 + i, " ".join(clean(60 + 10 * i))) for i in range(10)]
+    odd = [(100 + n, " | ".join(clean(n))) for n in (60, 90, 110, 150, 250)] + [(400, " ".join(digits(150)))]
+    docs = frame("doc_id long, text string, lang string", [(d, t, "en") for d, t in [*rows, *odd]])
+    assert {r.doc_id for r in corpus_pipeline.quality_rules(spark, docs, "").collect()} == {d for d, _ in rows}
+
+
 def test_stages_of_odd_rows(spark, tables):
     long = "word other third " * 200
     rows = [(d, t, None, None, None, None, None) for d, t in ODD]
