@@ -331,6 +331,32 @@ def test_the_sample_is_bounded(frame):
     assert len(seen[0]) == 40 and sum(map(len, seen[1])) <= 2000 and len(seen[1]) > 1
 
 
+def test_what_does_not_fit_the_sample_is_left_out(frame, monkeypatch):
+    import tripflow.llm.classifier as c
+    rows = junk_and_prose(200, 3)
+    free = [r[0] for r in frame("doc_id long", [(d,) for d, _, _ in rows]).where(~held_out(F.col("doc_id"), 5)).collect()]
+    texts = {d: t for d, t, _ in rows}
+    seen = []
+
+    class Spy(Model):
+        def fit(self, texts, *args):
+            seen.append(texts)
+    monkeypatch.setattr(c, "Model", Spy)
+    df = lambda t: frame("doc_id long, text string", [*t])
+    labels = frame("doc_id long, quality int", [(d, q) for d, _, q in rows] + [(d, 1) for d in range(1000, 4000)])
+    total = sum(len(texts[d]) for d in free)
+    # wherever a text beyond the limit stands in the sample, the others are taken
+    for long in free[:3]:
+        train(df((texts | {long: "x" * (total + 1)}).items()), labels, sample_chars=total)
+        assert sorted(seen[-1]) == sorted(texts[d] for d in free if d != long)
+    # labels of documents that are not there use up nothing
+    train(df(texts.items()), labels, sample_rows=len(free))
+    assert len(seen[-1]) == len(free)
+    # rows of one doc_id stay within the limits
+    train(df([*texts.items(), *[(free[0], "again")] * 500]), labels, sample_rows=300)
+    assert len(seen[-1]) == len(free) - 1
+
+
 def test_scores_of_odd_rows(docs, frame):
     none = frame("doc_id long, quality int", [])
     found = quality_scores(docs(ODD), none).collect()

@@ -6,9 +6,9 @@ a space), hashed into buckets. Each bucket has a learned vector; a text is the
 mean of its features' vectors, and a linear layer with softmax gives the class probabilities. Both
 are trained by stochastic gradient descent in numpy, text by text, over a bounded sample.
 
-Training takes labelled rows whose doc_id is not held out, at most `sample_rows` of them in the
+Training takes labelled documents whose doc_id is not held out, at most `sample_rows` of them in the
 order of a hash of the doc_id, and at most `sample_chars` characters, which bounds the driver's
-work whatever the size of the corpus. Scoring reads every whole text. Since the layer is linear,
+work whatever the size of the corpus. Rows of a doc_id go together, and one that does not fit is left out. Scoring reads every whole text. Since the layer is linear,
 a bucket's vector acts on the score as one number, so scoring looks up one number per feature.
 
 The text is the only input of a score. Null, empty and wordless texts have no features; their score
@@ -165,19 +165,19 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5, sample_rows: int =
     marked = (labels.where("quality is not null and doc_id is not null")
               .where(~held_out(F.col("doc_id"), folds))
               .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
-              .agg(F.round(F.avg("quality")).cast("int").alias("quality"))
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows))
+              .agg(F.round(F.avg("quality")).cast("int").alias("quality")))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                         F.col("text").cast("string").alias("text"))
-    sized = texts.join(F.broadcast(marked), "doc_id").withColumn("chars", F.length("text"))
-    names = sized.select("doc_id", "quality", "chars").collect()  # at most sample_rows
-    names.sort(key=lambda r: (r["doc_id"], r["chars"] or 0))
+    sized = (texts.groupBy("doc_id").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"))
+             .join(marked, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows))
+    names = sized.select("doc_id", "quality", "n", "chars").collect()  # at most sample_rows
+    names.sort(key=lambda r: r["doc_id"])
     names = [names[i] for i in np.random.default_rng(seed).permutation(len(names))]
-    chosen, chars = {}, 0
+    chosen, taken, chars = {}, 0, 0
     for row in names:
-        chars += row["chars"] or 0
-        if chars > sample_chars:
-            break
+        if taken + row["n"] > sample_rows or chars + (row["chars"] or 0) > sample_chars:
+            continue
+        taken, chars = taken + row["n"], chars + (row["chars"] or 0)
         chosen[row["doc_id"]] = row["quality"]
     if not chosen:
         model.fit([], np.empty(0, np.int64), epochs, rate, seed)
