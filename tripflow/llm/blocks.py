@@ -12,6 +12,7 @@ asked once per block, so no range grows with the most frequent key, and nothing
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from .words import U64, encode, hash_words, number_words, starts_of
 from .work import stored
 
-SCHEMA = "block_id long, doc_ids array<long>, sizes binary, ids binary, words binary, n_words long"
+SCHEMA = "block_id long, doc_ids array<long>, sizes binary, ids binary, words binary, n_words long, digests binary"
 MESSAGE = "range int, block_id long, payload binary"
 
 #: Text bytes and documents that close a block; the last document is never cut.
@@ -61,6 +62,8 @@ class Block:
         self.block_id = row["block_id"]
         #: as given, null where a row had no id
         self.doc_ids = row["doc_ids"]
+        #: 16 bytes per document, null where they were not asked for
+        self.digests = row["digests"]
         #: for comparisons; rows without an id come last
         self.order = np.array([_NOWHERE if d is None else d for d in self.doc_ids], np.int64)
         (self.sizes,) = unpack(row["sizes"], np.int32)
@@ -72,7 +75,7 @@ class Block:
         self.hashes = self.word_hashes[self.ids]
 
 
-def _cut(lower: bool):
+def _cut(lower: bool, digests: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         block_id = TaskContext.get().partitionId() << 32
@@ -85,9 +88,11 @@ def _cut(lower: bool):
                 "block_id": [block_id], "doc_ids": [list(names)],
                 "sizes": [pack(sizes.astype(np.int32))], "ids": [pack(ids)],
                 "words": [zstandard.ZstdCompressor(level=1).compress(b" ".join(words))],
-                "n_words": [len(ids)]}, schema=pa.schema({
+                "n_words": [len(ids)],
+                "digests": [b"".join(hashlib.md5(t).digest() for t in held) if digests else None]}, schema=pa.schema({
                     "block_id": pa.int64(), "doc_ids": pa.list_(pa.int64()), "sizes": pa.binary(),
-                    "ids": pa.binary(), "words": pa.binary(), "n_words": pa.int64()}))
+                    "ids": pa.binary(), "words": pa.binary(), "n_words": pa.int64(),
+                    "digests": pa.binary()}))
 
         total = 0
         for batch in batches:
@@ -105,11 +110,11 @@ def _cut(lower: bool):
     return run
 
 
-def cut_blocks(docs: DataFrame, lower: bool, label: str) -> DataFrame:
-    """The stored block table of docs(doc_id, text)."""
+def cut_blocks(docs: DataFrame, lower: bool, label: str, digests: bool = False) -> DataFrame:
+    """The stored block table of docs(doc_id, text); with the MD5 of each text, if asked for."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                         F.col("text").cast("string").alias("text"))
-    return stored(texts.mapInArrow(_cut(lower), SCHEMA), label)
+    return stored(texts.mapInArrow(_cut(lower, digests), SCHEMA), label)
 
 
 def each_block(work: Callable[[Block], Iterator[pa.RecordBatch]]):

@@ -35,8 +35,8 @@ from .words import U64, Prefix, encode, whole_windows, window_hashes
 from .work import ready, stored
 
 _SPAN = "struct<start: int, stop: int, source_doc: bigint, source_start: int>"
-_RESULT = f"doc_id long, n_words long, n_removed long, kept_text string, spans array<{_SPAN}>"
-_SPANS = "__spans"
+_RESULT = f"doc_id long, n_words long, n_removed long, kept_text string, spans array<{_SPAN}>, digest binary"
+_SPANS, _DIGEST = "__spans", "__digest"
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
@@ -200,7 +200,7 @@ def _cut_out(block: Block, at: np.ndarray, doc: np.ndarray, start: np.ndarray,
             {"start": int(at[h]) - base, "stop": int(at[t]) - base + length,
              "source_doc": None if doc[h] == unnamed else int(doc[h]), "source_start": int(start[h])})
     words = block.words
-    names, sizes, removed, texts, found = [], [], [], [], []
+    names, sizes, removed, texts, found, digests = [], [], [], [], [], []
     held = 0
 
     def rows() -> pa.RecordBatch:
@@ -208,8 +208,8 @@ def _cut_out(block: Block, at: np.ndarray, doc: np.ndarray, start: np.ndarray,
             [pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()),
              pa.array(texts, pa.string()), pa.array(found, pa.list_(pa.struct(
                  {"start": pa.int32(), "stop": pa.int32(), "source_doc": pa.int64(),
-                  "source_start": pa.int32()})))],
-            ["doc_id", "n_words", "n_removed", "kept_text", "spans"])
+                  "source_start": pa.int32()}))), pa.array(digests, pa.binary())],
+            ["doc_id", "n_words", "n_removed", "kept_text", "spans", "digest"])
 
     for i, name in enumerate(block.doc_ids):
         own = slice(block.starts[i], block.starts[i + 1])
@@ -219,6 +219,7 @@ def _cut_out(block: Block, at: np.ndarray, doc: np.ndarray, start: np.ndarray,
         removed.append(int(block.sizes[i]) - len(left))
         texts.append(b" ".join(map(words.__getitem__, left.tolist())).decode("utf-8", "replace"))
         found.append(spans.get(i, []))
+        digests.append(block.digests[16 * i:16 * i + 16] if block.digests else None)
         held += len(texts[-1])
     yield rows()
 
@@ -230,10 +231,14 @@ def repeated_passages(docs: DataFrame, length: int = 20, seed: int = 8) -> DataF
     doc_id, or further ahead in the same document. `kept_text` joins the other words by one space;
     `spans` are the removed repeats as word ranges, each with its earliest source.
     """
+    return _passages(docs, length, seed, False).drop("digest")
+
+
+def _passages(docs: DataFrame, length: int, seed: int, digests: bool) -> DataFrame:
     if not 1 <= seed <= length:
         raise ValueError("a seed has 1 to `length` words")
     spark = ready(docs.sparkSession)
-    blocks = cut_blocks(docs, False, "passage-blocks")
+    blocks = cut_blocks(docs, False, "passage-blocks", digests)
     words = blocks.agg(F.sum("n_words")).first()[0] or 0
     ranges = range_count(words * 2 // (length - seed + 2))
     shared = stored(blocks.mapInArrow(_ask_anchors(seed, length, ranges), MESSAGE)
@@ -270,9 +275,14 @@ def _cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def without_passages(docs: DataFrame, length: int = 20, seed: int = 8) -> DataFrame:
     """docs with repeated passages taken out of `text`, the rest of each text left as it is; all
-    other columns stay. Rows that repeat a doc_id are taken for copies of one document."""
-    spans = stored(repeated_passages(docs, length, seed).where("n_removed > 0 and doc_id is not null")
-                   .select("doc_id", F.col("spans").alias(_SPANS)).dropDuplicates(["doc_id"]), "spans")
-    return (docs.withColumn("text", F.col("text").cast("string")).join(spans, "doc_id", "left")
+    other columns stay. Spans come back to the rows by doc_id, null or not, and MD5 of the text, on
+    which they depend alone, so rows that share a doc_id are cut each by its own."""
+    spans = stored(_passages(docs, length, seed, True).where("n_removed > 0")
+                   .select(F.col("doc_id").alias("__doc_id"), F.col("digest").alias(_DIGEST),
+                           F.col("spans").alias(_SPANS)).dropDuplicates(["__doc_id", _DIGEST]), "spans")
+    texts = docs.withColumn("text", F.col("text").cast("string"))
+    own = F.unhex(F.md5(F.col("text").cast("binary")))
+    same = (F.col("doc_id").cast("long").eqNullSafe(F.col("__doc_id"))) & (F.col("__own") == F.col(_DIGEST))
+    return (texts.withColumn("__own", own).join(spans, same, "left")
             .select(*[F.col(f"`{c}`") for c in docs.columns], _SPANS)
-            .mapInArrow(_cut_texts, docs.withColumn("text", F.col("text").cast("string")).schema))
+            .mapInArrow(_cut_texts, texts.schema))
