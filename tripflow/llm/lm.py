@@ -8,10 +8,9 @@ failure arc to h' with weight log10 of m / (c(h) + m), taken for every other wor
 one unit of probability). The root's arc for w weighs log10 of (c(w) + a) / (N + a * (V + 1)), a
 word never seen counting as c = 0.
 
-Scoring. A text is read once from left to right, starting in the state of the text's begin. After
-each word the automaton is in the longest state that is an end of what was read, so the state in
-front of every word of a block follows from counts alone; the weights of the arcs taken are then
-added up per text. All positions of a block are evaluated together as arrays.
+Scoring. No state, arc or failure-arc records are built and nothing walks them: the weights the
+automaton would take follow from the counts of the n-grams that end at each position, interpolated
+order by order over all positions of a block as arrays and added up per text.
 
 Scale. Counts of all n-grams are exact and cover all training texts; no table of them is broadcast
 or brought to one place. Each block of documents sends its distinct n-grams with its own counts
