@@ -19,7 +19,7 @@ from tripflow.llm.bpe import Bpe, decode_documents, encode_documents, read_ranks
 from tripflow.llm.lm import automaton_scores
 from tripflow.llm.minhash import near_duplicates
 from tripflow.llm.packing import Encoder, fullest, pack_documents, plan_bins
-from tripflow.llm.quality import COMMON_WORDS, distance, passing, quality_rules
+from tripflow.llm.quality import COMMON_WORDS, distance, medians, passing, quality_rules
 from tripflow.llm.substring import repeated_passages, without_passages
 
 JSON, RANKS = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "byte_bpe_multi_50k.tiktoken"))
@@ -412,6 +412,29 @@ def test_distance(frame):
     assert values[3] == pytest.approx(math.sqrt(js))
 
 
+def test_medians_are_exact(frame):
+    rnd = random.Random(5)
+    groups = {("en", "dc"): [0.2 + rnd.random() / 1e6 for _ in range(30_001)], ("en", "dw"): [0.0, 1.0, None],
+              ("*", "dc"): [rnd.random() for _ in range(25_000)], ("de", "dc"): [None], ("de", "dw"): [0.5, 0.5, 0.1, 1.0]}
+    df = frame("ref string, kind string, value double", [(*k, v) for k, vs in groups.items() for v in vs])
+    found = {(r.ref, r.kind): r.middle for r in medians(df).collect()}
+    known = {k: sorted(v for v in vs if v is not None) for k, vs in groups.items()}
+    assert found == {k: vs[(len(vs) - 1) // 2] for k, vs in known.items() if vs}
+
+
+def test_references_are_of_the_nearer_half(docs, monkeypatch):
+    """The median in use is the one that counts all values, not an estimate."""
+    from tripflow.llm import quality
+    rnd = random.Random(6)
+    rows = [(i, " ".join(rnd.choice(["the", "Of", "and,", "x1", "word"]) + rnd.choice("abcdef")
+                         for _ in range(60))) for i in range(101)]
+    seen = []
+    monkeypatch.setattr(quality, "medians", lambda values: seen.append(values) or medians(values))
+    quality_rules(docs(rows)).collect()
+    kinds = Counter((r.ref, r.kind) for v in seen for r in v.collect())
+    assert kinds == {(ref, kind): 101 for ref in ("en", "*") for kind in ("dc", "dw")}
+
+
 def test_divergence_rejects_other_distributions(docs):
     rnd = random.Random(9)
     common = COMMON_WORDS["en"].split()

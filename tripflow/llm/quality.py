@@ -21,7 +21,7 @@ rows in, no rows out.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .work import ready, stored
@@ -119,6 +119,25 @@ def _doubles(name: str) -> Column:
     return F.transform(name, lambda x: x.cast("double"))
 
 
+def medians(values: DataFrame, bins: int = 1 << 16) -> DataFrame:
+    """values(ref, kind, value between 0 and 1) → (ref, kind, middle), the exact lower median.
+
+    Bins are counted first, and values only in the bin that holds the median, so what a group brings
+    together is a row per bin, then one per distinct value of one bin.
+    """
+    key = ["ref", "kind"]
+    binned = values.where("value is not null").withColumn("bin", F.floor(F.col("value") * bins))
+    up_to = lambda by: Window.partitionBy(*key).orderBy(by).rowsBetween(Window.unboundedPreceding, 0)
+    counts = (binned.groupBy(*key, "bin").agg(F.count("*").alias("n"))
+              .withColumn("upto", F.sum("n").over(up_to("bin")))
+              .withColumn("rank", F.ceil(F.sum("n").over(Window.partitionBy(*key)) / 2)))
+    held = (counts.where("upto >= rank and upto - n < rank")
+            .select(*key, "bin", (F.col("rank") - F.col("upto") + F.col("n")).alias("rank")))
+    inner = (binned.join(F.broadcast(held), [*key, "bin"]).groupBy(*key, "rank", "value")
+             .agg(F.count("*").alias("n")).withColumn("upto", F.sum("n").over(up_to("value"))))
+    return inner.where("upto >= rank and upto - n < rank").select(*key, F.col("value").alias("middle"))
+
+
 def references(found: DataFrame, least_words: int = 1000) -> DataFrame:
     """Summed histograms of the documents that pass the base rules: one row per listed language and
     one of all; without those of fewer than `least_words` words.
@@ -142,10 +161,13 @@ def references(found: DataFrame, least_words: int = 1000) -> DataFrame:
     near = (good.join(F.broadcast(first), "ref")
             .withColumn("dc", distance(_doubles("chars"), F.col("all_chars")))
             .withColumn("dw", distance(_doubles("common"), F.col("all_common")))
-            .select(*good.columns, "dc", "dw"))
-    middle = near.groupBy("ref").agg(F.percentile_approx("dc", 0.5, 10_000).alias("mc"),
-                                     F.percentile_approx("dw", 0.5, 10_000).alias("mw"))
-    core = near.join(F.broadcast(middle), "ref")
+            .select("ref", "chars", "common", "n_words", "dc", "dw"))
+    near = stored(near, "rule-distances")  # read for the bins, the values and the sums
+    values = near.select("ref", F.explode(F.array(*[F.struct(F.lit(c).alias("kind"), F.col(c).alias("value"))
+                                                    for c in ("dc", "dw")])).alias("x")).select("ref", "x.*")
+    middle = medians(values).groupBy("ref").agg(*[F.max(F.when(F.col("kind") == d, F.col("middle"))).alias(m)
+                                                  for d, m in (("dc", "mc"), ("dw", "mw"))])
+    core = near.join(F.broadcast(middle), "ref", "left")
     return (sums(core, F.col("dc") <= F.col("mc"), F.col("dw") <= F.col("mw"))
             .where(F.col("all_words") >= least_words).withColumnRenamed("ref", "lang"))
 
