@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..session import work_dir
 from . import sql
 from .bpe import decode_documents, encode_documents
+from .centroids import cluster_vectors
 from .classifier import quality_scores
 from .lm import automaton_scores
 from .minhash import near_duplicates
@@ -20,8 +21,12 @@ from .quality import quality_rules
 from .registry import ORACLES, QUERIES, query, table
 from .substring import repeated_passages
 from .toolcalls import link_tool_calls
+from .url_labels import labelled_urls
+from .urls import judge_urls
+from .urls import train as train_urls
 from .vectors import near_vectors
 from .warc import read_archives, write_archives
+from .whitening import whiten
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -111,3 +116,23 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_minhash_near_dedup", sql.NEAR_DUPLICATES)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
+@query("op11_sharded_lloyd", sql.CENTROIDS)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
+#: Rules (host and path) that go before the model; fixed by the query's contract.
+URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"),
+             ("com/fr/", "allow"), ("com/de/", "block")]
+
+
+@query("op12_url_filter")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"), URL_RULES, train_urls(labelled_urls(spark)))
+
+
+@query("op13_sturm_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))

@@ -118,3 +118,35 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 FROM words LEFT JOIN distances c USING (doc_id)
 LEFT JOIN distances x ON x.doc_id = words.doc_id AND x.kind = 'words'
 WHERE c.kind IS NULL OR c.kind = 'chars'"""
+
+
+def _assigned(step: int) -> str:
+    return f"""a{step} AS (SELECT vec_id, cluster, distance FROM (
+    SELECT vec_id, cluster, sum((v.x - c.x) * (v.x - c.x)) AS distance
+    FROM v JOIN c{step} c USING (d) GROUP BY vec_id, cluster)
+    QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY distance, cluster) = 1)"""
+
+
+def _moved(step: int) -> str:
+    return f"""c{step + 1} AS (SELECT c.cluster, c.d, coalesce(m.x, c.x) AS x FROM c{step} c LEFT JOIN (
+    SELECT cluster, d, (s - ((s % n) + n) % n) // n AS x FROM (
+        SELECT cluster, d, sum(x) AS s, count(*) AS n FROM v JOIN a{step} USING (vec_id) GROUP BY cluster, d)) m
+    ON c.cluster = m.cluster AND c.d = m.d)"""
+
+
+_ROUNDS = 3
+
+CENTROIDS = f"""WITH kept AS (SELECT vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda e: CAST(floor(64 * e) AS BIGINT)) AS e
+    FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64),
+v AS (SELECT vec_id, unnest(e) AS x, unnest(range(64)) AS d FROM kept),
+first AS (SELECT vec_id, row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS cluster FROM kept
+          QUALIFY cluster < 16),
+c0 AS (SELECT cluster, d, x FROM v JOIN first USING (vec_id)),
+{", ".join(f"{_assigned(s)}, {_moved(s)}" for s in range(_ROUNDS))}, {_assigned(_ROUNDS)},
+parts AS (SELECT cluster, sum(distance) AS cluster_inertia FROM a{_ROUNDS} GROUP BY cluster),
+digests AS (SELECT cluster, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY d)) AS centroid_sha256
+            FROM c{_ROUNDS} GROUP BY cluster)
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+       CAST(cluster_inertia AS BIGINT) AS cluster_inertia,
+       CAST((SELECT sum(distance) FROM a{_ROUNDS}) AS BIGINT) AS inertia, centroid_sha256
+FROM a{_ROUNDS} JOIN parts USING (cluster) JOIN digests USING (cluster)"""
