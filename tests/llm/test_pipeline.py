@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tempfile
 
 import pytest
 
@@ -97,6 +98,55 @@ def test_stages_of_odd_rows(spark, tables):
     assert [r.doc_id for r in out[-1].collect()] == [None, None]
 
 
+def test_one_row_of_each_group_of_texts_stays(spark, frame):
+    """Rows that share a doc_id are judged by their own texts; equal rows are copies."""
+    rnd = random.Random(3)
+    x, u, z, v = (" ".join(f"w{rnd.randint(0, 10**6)}" for _ in range(60)) for _ in range(4))
+    near = x.replace(x.split()[30], "other")
+    schema = "doc_id long, text string, row_key string, Digest string, row_name int, n int"
+    table = lambda rows: frame(schema, [(*r, "k", "d", 1, 2) for r in rows])
+    stage = lambda rows: sorted((tuple(r)[:2] for r in corpus_pipeline.minhash_near_dedup(
+        spark, table(rows), "").collect()), key=str)
+    assert stage([(3, x), (7, u), (7, x)]) == [(3, x), (7, u)]
+    assert stage([(9, z), (9, z)]) == [(9, z)]
+    assert stage([(9, z), (9, z), (9, None), (9, "")]) == sorted([(9, z), (9, None), (9, "")], key=str)
+    assert stage([(1, x), (2, near), (4, u), (None, x), (None, x), (5, None)]) == [
+        (1, x), (4, u), (5, None), *[(None, x)] * 2]
+    assert stage([(2, x), (2, near), (2, u), (1, v), (6, v), (6, x)]) in (
+        sorted([(a, b) for a, b in r], key=str) for r in (
+            [(2, x), (2, u), (1, v)], [(2, near), (2, u), (1, v)], [(6, x), (2, u), (1, v)]))
+    assert stage([((1 << 63) - 1, x), ((1 << 63) - 1, u), (0, x)]) in (
+        [(0, x), ((1 << 63) - 1, u)], [((1 << 63) - 1, x), ((1 << 63) - 1, u)])
+    assert stage([]) == []
+
+
+def test_private_tables_go(spark, tables, tmp_path):
+    import os
+    from tripflow.session import work_root
+    rows, labels, _ = corpus()
+    docs = spark.read.parquet(f"{tables(rows, labels)}/documents.parquet")
+    before = set(os.listdir(work_root(spark)))
+    corpus_pipeline.minhash_near_dedup(spark, docs, "").collect()
+    new = {n.rsplit("-", 1)[0] for n in set(os.listdir(work_root(spark))) - before}
+    assert new == {"near-duplicates"}
+
+
+def test_names_of_extra_columns_do_not_clash(spark, frame):
+    rows, labels, _ = corpus()
+    extra = ["quality_score", "rest", "absent", "block_id", "row", "kept", "row_key", "spans", "gaps", "Doc", "chars"]
+    schema = SCHEMA.replace(", row string, kept string", "") + "".join(f", {c} string" for c in extra)
+    docs = frame(schema, [(*r[:5], *extra) for r in rows])
+    model = frame("doc_id long, quality int, toxic int", labels)
+    folder = f"{tempfile.mkdtemp()}"
+    model.write.parquet(f"{folder}/labels.parquet")
+    out = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stored(stage(spark, out, folder), f"test-{name}")
+        assert out.columns == docs.columns
+        assert [tuple(r) for r in out.select(*extra).distinct().collect()] == [tuple(extra)]
+    assert corpus_pipeline.STAGES[-1][1](spark, out, folder).count() > 0
+
+
 def test_stages_of_nothing(spark, tables):
     folder = tables([], [])
     out = run_stages(spark, spark.read.parquet(f"{folder}/documents.parquet"), folder)

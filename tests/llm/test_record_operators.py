@@ -292,11 +292,14 @@ def test_features_are_those_of_the_words():
 
 def test_long_texts_go_in_slices(monkeypatch):
     import tripflow.llm.classifier as c
-    text = "some words here " * 50
-    whole = np.concatenate(list(text_features(text, (3, 4), 16)))
-    monkeypatch.setattr(c, "_SLICE", 100)
-    parts = list(text_features(text, (3, 4), 16))
-    assert len(parts) == 8 and len(set(whole.tolist()) - set(np.concatenate(parts).tolist())) == 0
+    texts = ["some words here " * 50, "x" * 999 + " yy " + "z" * 205, " \n a\tb" * 40, "", "ab " * 67, " " * 300, "é" * 100]
+    whole = [sorted(np.concatenate(list(text_features(t, (1, 3, 4), 16))).tolist()) for t in texts]
+    for size in (1, 2, 3, 7, 100):
+        monkeypatch.setattr(c, "_SLICE", size)
+        for text, wanted in zip(texts, whole):
+            parts = list(text_features(text, (1, 3, 4), 16))
+            assert len(parts) == max(1, -(-len(text) // size))
+            assert sorted(np.concatenate(parts).tolist()) == wanted
 
 
 def test_classifier_on_held_out_rows(frame):

@@ -2,7 +2,8 @@
 
 A block holds a bounded amount of text: for each document its word numbers, and the block's own
 list of words. Blocks are rows of a stored table, so later steps read numbers instead of cutting
-the text again.
+the text again. A block can also hold what the words leave out: the white space between them, where it
+is not one space, and the documents' other columns; it then is the documents themselves.
 
 Questions such as "how often does this n-gram occur anywhere?" go through one exchange. A block
 sends each distinct key once, packed by key range into messages; one task per range answers every
@@ -12,7 +13,6 @@ asked once per block, so no range grows with the most frequent key, and nothing
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .words import U64, encode, hash_words, number_words, starts_of
 from .work import stored
 
-SCHEMA = "block_id long, doc_ids array<long>, sizes binary, ids binary, words binary, n_words long, digests binary"
+SCHEMA = "block_id long, doc_ids array<long>, sizes binary, ids binary, words binary, n_words long, gaps binary, rest binary"
 MESSAGE = "range int, block_id long, payload binary"
 
 #: Text bytes and documents that close a block; the last document is never cut.
@@ -62,8 +62,7 @@ class Block:
         self.block_id = row["block_id"]
         #: as given, null where a row had no id
         self.doc_ids = row["doc_ids"]
-        #: 16 bytes per document, null where they were not asked for
-        self.digests = row["digests"]
+        self.gaps, self.rest = row.get("gaps"), row.get("rest")
         #: for comparisons; rows without an id come last
         self.order = np.array([_NOWHERE if d is None else d for d in self.doc_ids], np.int64)
         (self.sizes,) = unpack(row["sizes"], np.int32)
@@ -75,46 +74,120 @@ class Block:
         self.hashes = self.word_hashes[self.ids]
 
 
-def _cut(lower: bool, digests: bool):
+def odd_gaps(texts: list[bytes], sizes: np.ndarray) -> bytes:
+    """The white space of texts where it is not what a join by one space would put there.
+
+    A text of n words has gaps 0 to n; they are numbered through, text by text.
+    """
+    places, found, first = [], [], 0
+    for text, n in zip(texts, sizes.tolist()):
+        points = np.frombuffer(text, np.uint8)
+        space = np.zeros(len(points) + 2, np.int8)
+        space[1:-1] = (points == 32) | ((points >= 9) & (points <= 13))
+        edges = np.flatnonzero(np.diff(space))
+        starts, stops = edges[::2], edges[1::2]  # runs of white space
+        leads = len(starts) > 0 and starts[0] == 0
+        # runs between words follow each other; only a run at the start is gap 0
+        number = np.arange(len(starts)) + (0 if leads else 1)
+        plain = (stops - starts == 1) & (number > 0) & (number < n)
+        plain[plain] = points[starts[plain]] == 32
+        for at, start, stop in zip(number[~plain].tolist(), starts[~plain].tolist(), stops[~plain].tolist()):
+            places.append(first + at)
+            found.append(text[start:stop])
+        first += n + 1
+    lengths = np.fromiter(map(len, found), np.int32, len(found))
+    return pack(np.array(places, np.int64), lengths, np.frombuffer(b"".join(found), np.uint8))
+
+
+class Texts:
+    """The texts of a block that holds its gaps, whole or without some of their words."""
+
+    def __init__(self, block: Block):
+        self.block = block
+        self.places, lengths, points = unpack(block.gaps, np.int64, np.int32, np.uint8)
+        spaces, ends = points.tobytes(), starts_of(lengths).tolist()
+        self.found = [spaces[a:b] for a, b in zip(ends, ends[1:])]
+
+    def text(self, at: int, gone: np.ndarray) -> bytes:
+        """One text without the words marked as gone and the white space after each of them."""
+        block = self.block
+        own = slice(int(block.starts[at]), int(block.starts[at + 1]))
+        n, first = own.stop - own.start, own.start + at
+        low, high = np.searchsorted(self.places, [first, first + n + 1]).tolist()
+        gaps = dict(zip((self.places[low:high] - first).tolist(), self.found[low:high]))
+        kept = np.flatnonzero(~gone[own])
+        words = list(map(block.words.__getitem__, block.ids[own][kept].tolist()))
+        # words followed by something else than one space close a piece
+        odd = np.flatnonzero(np.isin(kept + 1, [*gaps, n]))
+        out, start = [gaps.get(0, b"")], 0
+        for k in odd.tolist():
+            out += [b" ".join(words[start:k + 1]), gaps.get(int(kept[k]) + 1, b"")]
+            start = k + 1
+        if start < len(words):
+            out += [b" ".join(words[start:]), b" "]
+        return b"".join(out)
+
+    def rows(self) -> pa.RecordBatch:
+        """The other columns, as the struct `rest`, and whether the text was null, as `absent`."""
+        return pa.ipc.open_stream(self.block.rest).read_next_batch()
+
+
+def _cut(lower: bool, carry: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         block_id = TaskContext.get().partitionId() << 32
         held: list[bytes] = []
         names: list[int | None] = []
+        rest: list[pa.RecordBatch] = []
 
         def block() -> pa.RecordBatch:
             ids, sizes, words = number_words(held, lower)
+            carried = None
+            if carry:
+                carried = pa.BufferOutputStream()
+                whole = pa.Table.from_batches(rest).combine_chunks().to_batches(max_chunksize=None)[0]
+                with pa.ipc.new_stream(carried, whole.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                    out.write_batch(whole)
+                carried = carried.getvalue().to_pybytes()
             return pa.RecordBatch.from_pydict({
                 "block_id": [block_id], "doc_ids": [list(names)],
                 "sizes": [pack(sizes.astype(np.int32))], "ids": [pack(ids)],
                 "words": [zstandard.ZstdCompressor(level=1).compress(b" ".join(words))],
                 "n_words": [len(ids)],
-                "digests": [b"".join(hashlib.md5(t).digest() for t in held) if digests else None]}, schema=pa.schema({
+                "gaps": [odd_gaps(held, sizes) if carry else None], "rest": [carried]}, schema=pa.schema({
                     "block_id": pa.int64(), "doc_ids": pa.list_(pa.int64()), "sizes": pa.binary(),
                     "ids": pa.binary(), "words": pa.binary(), "n_words": pa.int64(),
-                    "digests": pa.binary()}))
+                    "gaps": pa.binary(), "rest": pa.binary()}))
 
         total = 0
         for batch in batches:
-            for name, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
+            first = 0
+            for at, (name, text) in enumerate(zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist())):
                 names.append(name)
                 held.append(encode(text))
                 total += len(held[-1])
                 if total >= BLOCK_BYTES or len(held) >= BLOCK_DOCS:
+                    if carry:
+                        rest.append(batch.slice(first, at + 1 - first).select(["rest", "absent"]))
                     yield block()
-                    block_id, total = block_id + 1, 0
+                    block_id, total, first = block_id + 1, 0, at + 1
                     names.clear()
                     held.clear()
+                    rest.clear()
+            if carry and first < batch.num_rows:
+                rest.append(batch.slice(first).select(["rest", "absent"]))
         if held:
             yield block()
     return run
 
 
-def cut_blocks(docs: DataFrame, lower: bool, label: str, digests: bool = False) -> DataFrame:
-    """The stored block table of docs(doc_id, text); with the MD5 of each text, if asked for."""
+def cut_blocks(docs: DataFrame, lower: bool, label: str, carry: bool = False) -> DataFrame:
+    """The stored block table of docs(doc_id, text); with all that `Texts` needs, if asked for."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                        F.col("text").cast("string").alias("text"))
-    return stored(texts.mapInArrow(_cut(lower, digests), SCHEMA), label)
+                        F.col("text").cast("string").alias("text"),
+                        *([F.struct(*rest).alias("rest"), F.col("text").isNull().alias("absent")] if carry else []))
+    return stored(texts.mapInArrow(_cut(lower, carry), SCHEMA), label)
 
 
 def each_block(work: Callable[[Block], Iterator[pa.RecordBatch]]):

@@ -34,7 +34,7 @@ from .work import ready
 _FACTOR = U64(0x9E3779B97F4A7C15)
 _STEP = 0xD1342543DE82EF95
 _INVERSE = pow(_STEP, -1, 1 << 64)
-#: Characters worked on at a time; longer texts go through in slices that overlap.
+#: Characters worked on at a time; longer texts go through in slices, with the same features.
 _SLICE = 1 << 20
 
 
@@ -44,24 +44,41 @@ def held_out(doc_id: Column, folds: int) -> Column:
 
 
 def _letters(text: str) -> np.ndarray:
-    """Code points, every white-space character as a space, with a space at both ends."""
-    points = np.frombuffer(f" {text} ".encode("utf-32-le", "surrogatepass"), np.uint32)
+    """Code points, every white-space character as a space."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     return np.where((points >= 9) & (points <= 13), 32, points).astype(U64)
 
 
 def text_features(text: str, grams: Sequence[int], bits: int) -> Iterator[np.ndarray]:
-    """Bucket numbers of all features of a text, slice by slice."""
+    """Bucket numbers of all features of a text, slice by slice.
+
+    What a slice leaves open goes on in the next one: the last characters, which begin n-grams, the
+    hash so far of a word that is cut, and the word before it. So the features do not depend on where slices end.
+    """
+    shift, space = U64(64 - bits), np.array([32], U64)
+    tail = np.empty(0, U64)  # the characters before this slice that its n-grams can start at
+    word, length, before = 0, 0, None  # an unfinished word, and the last finished one
     for at in range(0, max(len(text), 1), _SLICE):
-        yield _slice_features(text, at, grams, bits)
-
-
-def _slice_features(text: str, at: int, grams: Sequence[int], bits: int) -> np.ndarray:
-    reach = max(grams, default=0)
-    points = _letters(text[at:at + _SLICE + reach] if at or len(text) > _SLICE else text)
-    space = points == 32
-    shift, out = U64(64 - bits), []
-    # words: differences of prefix sums, moved to a common power
-    edges = np.flatnonzero(space[1:] != space[:-1]) + 1
+        points = _letters(text[at:at + _SLICE])
+        points = np.concatenate([*([] if at else [space]), points, *([space] if at + _SLICE >= len(text) else [])])
+        out = list(_grams(tail, points, grams))
+        tail = np.concatenate([tail, points])[-max(max(grams, default=1) - 1, 1):]
+        words, word, length = _words(points, word, length)
+        words ^= words >> U64(32)
+        # a word that repeats the one before it makes the same pair whatever it is
+        row = words if before is None else np.concatenate([before, words])
+        pairs = row[:-1] * U64(_STEP) + row[1:] + U64(2)
+        pairs[row[1:] == row[:-1]] = 1
+        pairs ^= pairs >> U64(32)
+        before = row[-1:] if len(row) else before
+        yield np.concatenate([(values * _FACTOR) >> shift for values in (words, pairs, *out)]).astype(np.int64)
+
+
+def _words(points: np.ndarray, word: int, length: int) -> tuple[np.ndarray, int, int]:
+    """Hashes of the words that end here, and the hash and length of one that goes on; a first word
+    may have begun before. Differences of prefix sums, moved to a common power."""
+    inside = np.concatenate([[False], points != 32, [False]])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
     starts, stops = edges[::2], edges[1::2]
     n = len(points)
     powers = np.full(n, _STEP, U64)
@@ -71,28 +88,33 @@ def _slice_features(text: str, at: int, grams: Sequence[int], bits: int) -> np.n
     inverse = np.full(n, _INVERSE, U64)
     inverse[0] = 1
     words = (sums[stops] - sums[starts]) * np.cumprod(inverse)[starts]
-    words ^= words >> U64(32)
-    out.append((words * _FACTOR) >> shift)
-    # word pairs; a word that repeats the one before it makes the same pair whatever it is
-    pairs = words[:-1] * U64(_STEP) + words[1:] + U64(2)
-    pairs[words[1:] == words[:-1]] = 1
-    pairs ^= pairs >> U64(32)
-    out.append((pairs * _FACTOR) >> shift)
-    marks = np.cumsum(space, dtype=np.int32)
+    if length and len(starts) and starts[0] == 0:
+        words[0] = U64((word + int(words[0]) * pow(_STEP, length, 1 << 64)) % (1 << 64))
+        length += int(stops[0])
+    elif length:  # it ended with the slice before
+        words, length = np.concatenate([np.array([word], U64), words]), 0
+        starts, stops = np.append(-1, starts), np.append(0, stops)
+    if len(stops) and stops[-1] == n:
+        return words[:-1], int(words[-1]), length if starts[-1] == 0 and length else int(stops[-1] - starts[-1])
+    return words, 0, 0
+
+
+def _grams(tail: np.ndarray, points: np.ndarray, grams: Sequence[int]) -> Iterator[np.ndarray]:
+    """Hashes of the n-grams that end in these points and have no space but at their ends."""
     for size in grams:
-        if n < size:
+        row = np.concatenate([tail[len(tail) - min(size - 1, len(tail)):], points])
+        if len(row) < size:
             continue
-        value = points[:n - size + 1].copy()
+        marks = np.cumsum(row == 32, dtype=np.int32)
+        value = row[:len(row) - size + 1].copy()
         for step in range(1, size):
             value *= U64(_STEP)
-            value += points[step:step + len(value)]
-        # no space between the first and the last character
-        inner = marks[size - 2:size - 2 + len(value)] == marks[:len(value)]
+            value += row[step:step + len(value)]
+        inner = marks[max(size - 2, 0):max(size - 2, 0) + len(value)] == marks[:len(value)]
         value = value[inner]
         value += U64(size)
         value ^= value >> U64(32)
-        out.append((value * _FACTOR) >> shift)
-    return np.concatenate(out).astype(np.int64)
+        yield value
 
 
 class Model:
@@ -168,8 +190,10 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5, sample_rows: int =
               .agg(F.round(F.avg("quality")).cast("int").alias("quality")))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                         F.col("text").cast("string").alias("text"))
-    sized = (texts.groupBy("doc_id").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"))
-             .join(marked, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows))
+    # only ids and lengths of labelled documents are shuffled
+    sized = (texts.select("doc_id", F.length("text").alias("length")).join(marked, "doc_id")
+             .groupBy("doc_id").agg(F.max("quality").alias("quality"), F.count("*").alias("n"),
+                                    F.sum("length").alias("chars")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows))
     names = sized.select("doc_id", "quality", "n", "chars").collect()  # at most sample_rows
     names.sort(key=lambda r: r["doc_id"])
     names = [names[i] for i in np.random.default_rng(seed).permutation(len(names))]

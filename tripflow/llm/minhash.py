@@ -28,12 +28,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
 from .words import U64, encode, hash_words, mix, number_words, starts_of, window_hashes
-from .work import ready, stored
+from .work import kept_beyond, private_tables, ready, stored, unused
 
 _ATTEMPTS = 4096
 _CHUNK = 512
@@ -251,3 +251,51 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bands: in
                     F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
                     .alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+
+
+def _row_names(docs: DataFrame, repeated: DataFrame) -> DataFrame:
+    """(doc_id, digest, row_name) of the distinct texts under repeated doc_ids: new names beyond all
+    doc_ids, so that each text is a document of its own."""
+    low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
+    first = high + 1 if high < 1 << 62 else low - (1 << 61)
+    texts = (docs.join(repeated.select("doc_id"), "doc_id", "left_semi")
+             .select("doc_id", _digest().alias("digest")).distinct())
+    return texts.withColumn("row_name", F.lit(first) + F.monotonically_increasing_id())
+
+
+def _digest() -> Column:
+    return F.coalesce(F.unhex(F.md5(F.col("text").cast("binary"))), F.lit(b""))
+
+
+def without_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of docs less near duplicates: of each group of linked texts one row stays.
+
+    Groups are of texts. Rows that share a doc_id are documents of their own where their texts differ and
+    copies where they are equal; rows without a doc_id all stay. Which doc_ids repeat is known from
+    the ids alone; where none does, rows go by doc_id.
+    """
+    spark = ready(docs.sparkSession)
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    named = given.where("doc_id is not null")
+    key, digest, name = (unused(docs, c) for c in ("row_key", "row_digest", "row_name"))
+    with private_tables(spark):
+        repeated = stored(named.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1"), "repeated-ids")
+        if repeated.isEmpty():
+            gone = kept_beyond(near_duplicates(given, size, percent).where("not kept").select("doc_id"), "near-duplicates")
+            names = None
+        else:
+            names = kept_beyond(_row_names(named, repeated), "row-names")
+            own = given.withColumn("digest", _digest()).join(names, ["doc_id", "digest"], "left")
+            judged = near_duplicates(own.select(F.coalesce("row_name", "doc_id").alias("doc_id"), "text"), size, percent)
+            gone = kept_beyond(judged.where("not kept").select("doc_id").distinct(), "near-duplicates")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    if names is None:
+        left = docs.withColumn(key, F.col("doc_id").cast("long"))
+        return left.join(gone.withColumnRenamed("doc_id", key), key, "left_anti").select(*columns)
+    names = names.toDF(key, digest, name)
+    rows = docs.withColumn(key, F.col("doc_id").cast("long")).withColumn(digest, _digest())
+    rows = rows.join(names, [key, digest], "left").withColumn(key, F.coalesce(name, key))
+    rows = rows.join(gone.withColumnRenamed("doc_id", key), key, "left_anti")
+    # equal texts of one doc_id are one document on several rows
+    return (rows.where(F.col(name).isNull()).select(*columns)
+            .unionAll(rows.where(F.col(name).isNotNull()).dropDuplicates([name]).select(*columns)))

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .work import ready, stored
+from .work import kept_beyond, private_tables, ready, stored
 
 # Very common words of the languages whose references are kept.
 COMMON_WORDS = {
@@ -172,8 +172,8 @@ def references(found: DataFrame, least_words: int = 1000) -> DataFrame:
             .where(F.col("all_words") >= least_words).withColumnRenamed("ref", "lang"))
 
 
-def judged(found: DataFrame, known: DataFrame, least_chars: int = 500, least_words: int = 200,
-           most_class_distance: float = 0.25, most_word_distance: float = 0.3) -> DataFrame:
+def judged(found: DataFrame, known: DataFrame, least_chars: int = 200, least_words: int = 100,
+           most_class_distance: float = 0.18, most_word_distance: float = 0.3) -> DataFrame:
     """Features with base_failed, the two distances (null where not compared) and kept."""
     verdict = ((F.coalesce("class_distance", F.lit(0.0)) <= most_class_distance)
                & (F.coalesce("word_distance", F.lit(0.0)) <= most_word_distance))
@@ -187,6 +187,12 @@ def judged(found: DataFrame, known: DataFrame, least_chars: int = 500, least_wor
             .withColumn("kept", ~F.col("base_failed") & verdict))
 
 
+def _known(found: DataFrame) -> DataFrame:
+    """The stored references, without the tables it took to find them."""
+    with private_tables(found.sparkSession):
+        return kept_beyond(references(found), "rule-references")
+
+
 def quality_rules(docs: DataFrame, **limits: float) -> DataFrame:
     """docs(doc_id, text, lang) → (doc_id, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, kept, class_distance, word_distance), one row per input row.
@@ -195,7 +201,7 @@ def quality_rules(docs: DataFrame, **limits: float) -> DataFrame:
     """
     ready(docs.sparkSession)
     found = stored(features(docs), "rule-features")
-    return judged(found, references(found), **limits).select(
+    return judged(found, _known(found), **limits).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         "kept", "class_distance", "word_distance")
 
@@ -205,4 +211,4 @@ def passing(docs: DataFrame, **limits: float) -> DataFrame:
     features, rather than shuffled to meet their verdicts; the references read the features alone."""
     ready(docs.sparkSession)
     found = stored(features(docs, carry=True), "rule-features")
-    return judged(found, references(found), **limits).where("kept").select("row.*")
+    return judged(found, _known(found), **limits).where("kept").select("row.*")

@@ -113,8 +113,8 @@ distances AS (SELECT doc_id, kind, {_DISTANCE} AS distance FROM shares GROUP BY
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
        CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
        CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
-       NOT base_failed AND (word_chars < 500 OR coalesce(c.distance, 0) <= 0.25)
-           AND (n_words < 200 OR coalesce(x.distance, 0) <= 0.3) AS kept
+       NOT base_failed AND (word_chars < 200 OR coalesce(c.distance, 0) <= 0.18)
+           AND (n_words < 100 OR coalesce(x.distance, 0) <= 0.3) AS kept
 FROM words LEFT JOIN distances c USING (doc_id)
 LEFT JOIN distances x ON x.doc_id = words.doc_id AND x.kind = 'words'
 WHERE c.kind IS NULL OR c.kind = 'chars'"""

@@ -21,23 +21,21 @@ other. Other columns are not read. No rows in, no rows out.
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from .blocks import (MESSAGE, Block, cut_blocks, each_block, messages, pack, range_count, received,
+from .blocks import (MESSAGE, Block, Texts, cut_blocks, each_block, messages, pack, range_count, received,
                      replies, unpack)
-from .words import U64, Prefix, encode, whole_windows, window_hashes
+from .words import U64, Prefix, whole_windows, window_hashes
 from .work import ready, stored
 
 _SPAN = "struct<start: int, stop: int, source_doc: bigint, source_start: int>"
-_RESULT = f"doc_id long, n_words long, n_removed long, kept_text string, spans array<{_SPAN}>, digest binary"
-_SPANS, _DIGEST = "__spans", "__digest"
-_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+_RESULT = f"doc_id long, n_words long, n_removed long, kept_text string, spans array<{_SPAN}>"
 
 
 def _slide(values: np.ndarray, size: int, least: bool) -> np.ndarray:
@@ -156,7 +154,11 @@ def _sources(told: pa.Table) -> list[np.ndarray]:
             for i, kind in enumerate((np.uint8, np.int64, np.int32))]
 
 
-def _remove(seed: int, length: int):
+#: What becomes of a block and its repeated runs: their first words, and the sources of each.
+_Finish = Callable[[Block, np.ndarray, np.ndarray, np.ndarray, int], Iterator[pa.RecordBatch]]
+
+
+def _remove(seed: int, length: int, finish: _Finish):
     def work(_, blocks: pa.Table, told: pa.Table, sources: pa.Table) -> Iterator[pa.RecordBatch]:
         for row in blocks.to_pylist():
             block = Block(row)
@@ -170,7 +172,7 @@ def _remove(seed: int, length: int):
             key_doc[later > 0], key_start[later > 0] = docs[place[later > 0]], starts[place[later > 0]]
             doc, start = key_doc[runs.key_of], key_start[runs.key_of]
             gone = (doc < runs.doc) | ((doc == runs.doc) & (start < runs.start))
-            yield from _cut_out(block, runs.runs[gone], doc[gone], start[gone], length)
+            yield from finish(block, runs.runs[gone], doc[gone], start[gone], length)
 
     def run(key, blocks: pa.Table, told: pa.Table) -> pa.Table:
         first = told.filter(pa.array([k == 0 for k in told["kind"].to_pylist()], pa.bool_()))
@@ -179,14 +181,18 @@ def _remove(seed: int, length: int):
     return run
 
 
-def _cut_out(block: Block, at: np.ndarray, doc: np.ndarray, start: np.ndarray,
-             length: int) -> Iterator[pa.RecordBatch]:
-    """A row per document: what is left of it, and its maximal repeats."""
-    n = len(block.ids)
+def _covered(n: int, at: np.ndarray, length: int) -> np.ndarray:
+    """Which of n words lie in a run that starts at one of the places."""
     edges = np.zeros(n + 1, np.int32)
     np.add.at(edges, at, 1)
     np.add.at(edges, at + length, -1)
-    gone = np.cumsum(edges)[:n] > 0
+    return np.cumsum(edges)[:n] > 0
+
+
+def _cut_out(block: Block, at: np.ndarray, doc: np.ndarray, start: np.ndarray,
+             length: int) -> Iterator[pa.RecordBatch]:
+    """A row per document: what is left of it, and its maximal repeats."""
+    gone = _covered(len(block.ids), at, length)
     owner = np.searchsorted(block.starts, at, side="right") - 1
     fresh = np.append(True, (np.diff(at) != 1) | (np.diff(doc) != 0) | (np.diff(start) != 1)
                       | (np.diff(owner) != 0))[:len(at)]
@@ -200,16 +206,15 @@ def _cut_out(block: Block, at: np.ndarray, doc: np.ndarray, start: np.ndarray,
             {"start": int(at[h]) - base, "stop": int(at[t]) - base + length,
              "source_doc": None if doc[h] == unnamed else int(doc[h]), "source_start": int(start[h])})
     words = block.words
-    names, sizes, removed, texts, found, digests = [], [], [], [], [], []
-    held = 0
+    names, sizes, removed, texts, found = [], [], [], [], []
 
     def rows() -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
             [pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()),
              pa.array(texts, pa.string()), pa.array(found, pa.list_(pa.struct(
                  {"start": pa.int32(), "stop": pa.int32(), "source_doc": pa.int64(),
-                  "source_start": pa.int32()}))), pa.array(digests, pa.binary())],
-            ["doc_id", "n_words", "n_removed", "kept_text", "spans", "digest"])
+                  "source_start": pa.int32()})))],
+            ["doc_id", "n_words", "n_removed", "kept_text", "spans"])
 
     for i, name in enumerate(block.doc_ids):
         own = slice(block.starts[i], block.starts[i + 1])
@@ -219,8 +224,6 @@ def _cut_out(block: Block, at: np.ndarray, doc: np.ndarray, start: np.ndarray,
         removed.append(int(block.sizes[i]) - len(left))
         texts.append(b" ".join(map(words.__getitem__, left.tolist())).decode("utf-8", "replace"))
         found.append(spans.get(i, []))
-        digests.append(block.digests[16 * i:16 * i + 16] if block.digests else None)
-        held += len(texts[-1])
     yield rows()
 
 
@@ -231,58 +234,46 @@ def repeated_passages(docs: DataFrame, length: int = 20, seed: int = 8) -> DataF
     doc_id, or further ahead in the same document. `kept_text` joins the other words by one space;
     `spans` are the removed repeats as word ranges, each with its earliest source.
     """
-    return _passages(docs, length, seed, False).drop("digest")
+    return _passages(docs, length, seed, False, _cut_out, _RESULT)
 
 
-def _passages(docs: DataFrame, length: int, seed: int, digests: bool) -> DataFrame:
+def _passages(docs: DataFrame, length: int, seed: int, carry: bool, finish: _Finish,
+              schema: str | StructType) -> DataFrame:
     if not 1 <= seed <= length:
         raise ValueError("a seed has 1 to `length` words")
-    spark = ready(docs.sparkSession)
-    blocks = cut_blocks(docs, False, "passage-blocks", digests)
+    ready(docs.sparkSession)
+    blocks = cut_blocks(docs, False, "passage-blocks", carry)
     words = blocks.agg(F.sum("n_words")).first()[0] or 0
     ranges = range_count(words * 2 // (length - seed + 2))
-    shared = stored(blocks.mapInArrow(_ask_anchors(seed, length, ranges), MESSAGE)
+    shared = stored(blocks.drop("gaps", "rest").mapInArrow(_ask_anchors(seed, length, ranges), MESSAGE)
                     .groupBy("range").applyInArrow(_answer_anchors, MESSAGE), "anchors")
-    asked = (blocks.groupBy("block_id").cogroup(shared.groupBy("block_id"))
+    asked = (blocks.drop("gaps", "rest").groupBy("block_id").cogroup(shared.groupBy("block_id"))
              .applyInArrow(_ask_runs(seed, length, ranges), MESSAGE))
     sources = stored(asked.groupBy("range").applyInArrow(_answer_runs, MESSAGE), "sources")
     told = (shared.withColumn("kind", F.lit(0))
             .unionByName(sources.withColumn("kind", F.lit(1))))
     return (blocks.groupBy("block_id").cogroup(told.groupBy("block_id"))
-            .applyInArrow(_remove(seed, length), _RESULT))
-
-
-def _cut_words(text: str, spans: list[dict]) -> str:
-    """A text without the words of the spans and the white space after them."""
-    data, out, at, word = encode(text), [], 0, 0
-    places = [(m.start(), m.end()) for m in _WORD.finditer(data)]
-    for span in sorted(spans, key=lambda s: s["start"]):
-        start, stop = max(span["start"], word), min(span["stop"], len(places))
-        if start < stop:
-            out.append(data[at:places[start][0]])
-            at, word = places[stop][0] if stop < len(places) else len(data), stop
-    return b"".join([*out, data[at:]]).decode("utf-8", "surrogatepass")
-
-
-def _cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = [_cut_words(t, s) if s else t
-                 for t, s in zip(batch["text"].to_pylist(), batch[_SPANS].to_pylist())]
-        names = [c for c in batch.schema.names if c != _SPANS]
+            .applyInArrow(_remove(seed, length, finish), schema))
+
+
+def _rewrite(columns: list[str]) -> _Finish:
+    """A row per document as it was, its text without the repeated words."""
+    def finish(block: Block, at: np.ndarray, doc: np.ndarray, start: np.ndarray,
+               length: int) -> Iterator[pa.RecordBatch]:
+        gone, held = _covered(len(block.ids), at, length), Texts(block)
+        rows = held.rows()
+        absent = rows["absent"].to_pylist()
+        texts = [None if absent[i] else held.text(i, gone).decode("utf-8", "surrogatepass")
+                 for i in range(len(block.doc_ids))]
+        rest = dict(zip((f.name for f in rows["rest"].type), rows["rest"].flatten()))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(texts, pa.string()) if c == "text" else batch[c] for c in names], names)
+            [pa.array(texts, pa.string()) if c == "text" else rest[c] for c in columns], columns)
+    return finish
 
 
 def without_passages(docs: DataFrame, length: int = 20, seed: int = 8) -> DataFrame:
-    """docs with repeated passages taken out of `text`, the rest of each text left as it is; all
-    other columns stay. Spans come back to the rows by doc_id, null or not, and MD5 of the text, on
-    which they depend alone, so rows that share a doc_id are cut each by its own."""
-    spans = stored(_passages(docs, length, seed, True).where("n_removed > 0")
-                   .select(F.col("doc_id").alias("__doc_id"), F.col("digest").alias(_DIGEST),
-                           F.col("spans").alias(_SPANS)).dropDuplicates(["__doc_id", _DIGEST]), "spans")
-    texts = docs.withColumn("text", F.col("text").cast("string"))
-    own = F.unhex(F.md5(F.col("text").cast("binary")))
-    same = (F.col("doc_id").cast("long").eqNullSafe(F.col("__doc_id"))) & (F.col("__own") == F.col(_DIGEST))
-    return (texts.withColumn("__own", own).join(spans, same, "left")
-            .select(*[F.col(f"`{c}`") for c in docs.columns], _SPANS)
-            .mapInArrow(_cut_texts, texts.schema))
+    """docs with repeated passages taken out of `text`, with the white space after them; the rest of
+    each text and all other columns stay. Blocks carry the rows themselves, so no text is looked up
+    again: rows that share a doc_id or have none are cut each by its own repeats."""
+    schema = docs.withColumn("text", F.col("text").cast("string")).schema
+    return _passages(docs, length, seed, True, _rewrite(docs.columns), schema)
