@@ -5,8 +5,9 @@ written as Parquet and read again as the next one's docs. The first four return
 documents, the last a row per piece of a packed sequence.
 
 Nulls, empty texts, repeated rows and empty tables are treated as the operators state: null and
-empty texts fail the first rule; documents without a doc_id are never duplicates of others. Columns
-that documents has besides its own are carried along whatever their names.
+empty texts fail the first rule; documents without a doc_id are never duplicates of others; rows that share a
+doc_id are judged each by its own text, and equal ones are copies. Columns that documents has besides
+its own are carried along whatever their names.
 """
 
 from __future__ import annotations
@@ -16,37 +17,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.llm.classifier import score_documents, train
-from tripflow.llm.minhash import near_duplicates
+from tripflow.llm.minhash import without_near_duplicates
 from tripflow.llm.packing import pack_documents
 from tripflow.llm.quality import passing
 from tripflow.llm.substring import without_passages
-from tripflow.llm.work import ready, stored
+from tripflow.llm.work import kept_beyond, private_tables, ready, unused
 
 #: Documents whose probability of good quality is below this go.
 LEAST_QUALITY = 0.3
-#: Tighter than those of op7, whose limits its SQL holds: words joined by ' | ' are 0.18 to 0.32 from
-#: their language's character classes.
-RULE_LIMITS = {"least_chars": 200, "least_words": 100, "most_class_distance": 0.18}
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the divergence rules keep."""
-    return passing(docs, **RULE_LIMITS)
+    return passing(docs)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score is high enough, by a model trained on the labelled ones."""
     model = train(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet"))
-    scored = score_documents(docs.withColumn("text", F.col("text").cast("string")), model,
-                             name="__quality", keep_text=True)
-    return scored.where(F.col("__quality") >= LEAST_QUALITY).drop("__quality")
+    name = unused(docs, "quality_score")
+    scored = score_documents(docs.withColumn("text", F.col("text").cast("string")), model, name=name, keep_text=True)
+    return scored.where(F.col(name) >= LEAST_QUALITY).drop(name)
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group at similarity 0.8 or more on five-word shingles."""
-    gone = stored(near_duplicates(docs, size=5, percent=80).where("not kept").select("doc_id")
-                  .distinct(), "near-duplicates")
-    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """One row of each group at similarity 0.8 or more on five-word shingles."""
+    return without_near_duplicates(docs, size=5, percent=80)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -77,5 +73,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready(spark)
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with private_tables(spark):  # a stage's own tables go once its result is written
+            docs = kept_beyond(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
