@@ -91,6 +91,21 @@ def test_scan_reads_needed_columns_and_pushes_filters(spark):
     assert "ReadSchema: struct<>" in physical(QUERIES["count_all"](spark, SF_DIR))
 
 
+def test_staging_rules_reach_the_scan(spark, tmp_path):
+    """Bounds on plain columns are pushed, and nothing is converted to be tested."""
+    from tripflow.plans import staging
+    path = str(tmp_path / "feed")
+    (spark.createDataFrame([], staging.GREEN.schema)
+     .withColumns({"unique_row_id": F.lit("id"), "filename": F.lit("f")}).write.parquet(path))
+    plan = physical(staging.stage_feed(spark.read.parquet(path), staging.GREEN))
+    scan = next(line for line in plan.splitlines() if "FileScan" in line)
+    for pushed in ("GreaterThanOrEqual(fare_amount", "LessThan(trip_distance,50.0", "GreaterThanOrEqual(total_amount",
+                   "LessThanOrEqual(passenger_count,6)", "IsNotNull(VendorID)"):
+        assert pushed in scan, pushed
+    rules = next(line for line in plan.splitlines() if "Filter" in line)
+    assert "decimal" not in rules and "raise_error" not in plan
+
+
 def test_outer_join_reuses_the_aggregates_partitioning(spark):
     schema = "at timestamp, zone int, amount double"
     feeds = [spark.createDataFrame([], schema) for _ in range(2)]

@@ -13,35 +13,37 @@ from ..functions import hours_between
 from ..schemas import MONEY_COLUMNS
 
 MONEY = "decimal(18,2)"
-#: Decimal digits of doubles that sums take in.
-SCALE = 6
-#: Beyond this a double no longer holds every whole number.
-_MOST_UNITS = float(1 << 53)
+#: Digits after the point that doubles are rounded to before they are added up.
+SCALE = 9
 
 
-def exact_sum(df: DataFrame, column: str, scale: int = SCALE) -> Column:
+def exact_sum(df: DataFrame, column: str, strict: bool = False) -> Column:
     """Sum as a decimal that does not depend on the order of the rows, unlike a sum of doubles.
 
-    Doubles are added up as whole units of `scale` digits, which is fast and exact. A value with
-    more digits, one that is no number or too large to be counted in such units is an error, and so
-    is an overflow of the sum; nothing is rounded away. Decimals are added up as they are.
+    Each double is rounded to nine digits and counted in units of the last one; whole numbers and
+    the units left over are two sums of longs, fast and exact. With `strict` a value with more digits
+    is an error. One that is no number or reaches 2^63 units, and an overflow of a sum (at nine thousand
+    million rows of one group at the earliest), always is. Decimals are added up as they are.
     """
     value, kind = F.col(column), df.schema[column].dataType
     if isinstance(kind, T.FloatType):  # by its shortest decimal, not by the nearest double
         value = value.cast("string").cast("double")
     elif not isinstance(kind, T.DoubleType):
         return F.sum(value)
-    unit = float(10 ** scale)
-    units = F.rint(value * unit)
-    fits = (units / unit == value) & (F.abs(units) <= _MOST_UNITS)
-    problem = F.concat(F.lit(f"{column} is no number of at most {scale} decimals: "), value.cast("string"))
-    whole = F.when(value.isNull() | fits, units).otherwise(F.raise_error(problem).cast("double"))
-    return F.sum(whole.cast("bigint")).cast("decimal(20,0)") * Decimal(10) ** -scale
-
-
-def money_sum(df: DataFrame, column: str, result_type: str = MONEY) -> Column:
+    unit = 10 ** SCALE
+    units = F.rint(value * float(unit))
+    if strict:
+        problem = F.concat(F.lit(f"{column} is no number of at most {SCALE} decimals: "), value.cast("string"))
+        units = F.when(value.isNull() | (units / float(unit) == value), units).otherwise(
+            F.raise_error(problem).cast("double"))
+    units = units.cast("bigint")
+    whole, rest = F.sum(F.call_function("div", units, F.lit(unit))), F.sum(units % unit)
+    return whole.cast("decimal(19,0)") + rest.cast("decimal(19,0)") * Decimal(1).scaleb(-SCALE)
+
+
+def money_sum(df: DataFrame, column: str, result_type: str = MONEY, strict: bool = False) -> Column:
     """Exact total of a money column. A total beyond the result type is an error."""
-    return exact_sum(df, column).cast(result_type)
+    return exact_sum(df, column, strict).cast(result_type)
 
 
 def exact_mean(df: DataFrame, column: str, digits: int) -> Column:
@@ -132,7 +134,7 @@ def monthly_zone_revenue_of_trips(trips: DataFrame, dim: DataFrame) -> DataFrame
     return (per_id.join(zones, "pickup_location_id", "left")
             .groupBy(F.coalesce("_zone", F.lit("Unknown Zone")).alias("pickup_zone"), "revenue_month",
                      "service_type")
-            .agg(*[F.sum(f"revenue_monthly_{c}").cast("decimal(28,4)").alias(f"revenue_monthly_{c}")
+            .agg(*[F.sum(f"revenue_monthly_{c}").cast("decimal(28,9)").alias(f"revenue_monthly_{c}")
                    for c in MONEY_COLUMNS],
                  F.sum("total_monthly_trips").alias("total_monthly_trips"),
                  *[(F.sum(f"_sum_{c}") / F.nullif(F.sum(f"_n_{c}"), F.lit(0))).cast("double").alias(name)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,19 +45,29 @@ GREEN = Feed("Green", "lpep_pickup_datetime", "lpep_dropoff_datetime", 50, True,
 YELLOW = Feed("Yellow", "tpep_pickup_datetime", "tpep_dropoff_datetime", 100, False, YELLOW_FEED)
 
 
-def exact_number(name: str, data_type: str) -> Column:
-    """A number as a decimal type that holds all its digits; one with more digits is an error."""
+#: Digits after the point that staged numbers are rounded to, as the source model's numeric type does.
+DIGITS = 9
+
+
+def rounded_number(name: str, data_type: str = NUMERIC, strict: bool = False) -> Column:
+    """A number as a decimal, rounded half up to its digits, so that the noise of a double goes.
+
+    With `strict` a double that the decimal does not hold exactly is an error. A number beyond the
+    type's range always is.
+    """
     value = F.col(name)
     number = value.cast(data_type)
+    if not strict:
+        return number
     same = number.cast("double") == value.cast("double")
     problem = F.concat(F.lit(f"{name} does not fit {data_type}: "), value.cast("string"))
     return F.when(value.isNull() | same, number).otherwise(F.raise_error(problem).cast(data_type))
 
 
-def stage_trips(raw: DataFrame, feed: Feed, numeric: str = NUMERIC) -> DataFrame:
+def stage_trips(raw: DataFrame, feed: Feed, numeric: str = NUMERIC, strict: bool = False) -> DataFrame:
     """Common names and exact types; rows without a vendor go. Identifiers that are not numbers
-    become NULL, all other bad values are errors, also numbers with more digits than `numeric`
-    holds: pass a wider type for such feeds."""
+    become NULL. Amounts are rounded to the digits of `numeric`, or must fit them if `strict`; a wider type takes
+    amounts beyond its range, which are errors. All other bad values are errors."""
     def to(name: str, data_type: str, alias: str) -> Column:
         return F.col(name).cast(data_type).alias(alias)
 
@@ -64,8 +76,8 @@ def stage_trips(raw: DataFrame, feed: Feed, numeric: str = NUMERIC) -> DataFrame
 
     amounts = ["fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount",
                "improvement_surcharge", "total_amount"]
-    def exact(name: str) -> Column:
-        return exact_number(name, numeric).alias(name)
+    def amount(name: str) -> Column:
+        return rounded_number(name, numeric, strict).alias(name)
 
     return raw.where(F.col("VendorID").isNotNull()).select(
         to("unique_row_id", "string", "unique_row_id"),
@@ -78,15 +90,11 @@ def stage_trips(raw: DataFrame, feed: Feed, numeric: str = NUMERIC) -> DataFrame
         to(feed.dropoff, "timestamp", "dropoff_datetime"),
         to("store_and_fwd_flag", "string", "store_and_fwd_flag"),
         to("passenger_count", "int", "passenger_count"),
-        exact("trip_distance"),
+        amount("trip_distance"),
         *([number_or_null("trip_type", "trip_type")] if feed.has_trip_type else []),
-        *[exact(name) for name in amounts],
+        *[amount(name) for name in amounts],
         number_or_null("payment_type", "payment_type"),
-        exact("congestion_surcharge"))
-
-
-def _decimals(values: list[str]) -> list[Column]:
-    return [F.lit(v).cast("decimal(18,4)") for v in values]
+        amount("congestion_surcharge"))
 
 
 def file_month_matches(ts: str = "pickup_datetime", file_name: str = "file_name") -> Column:
@@ -94,27 +102,44 @@ def file_month_matches(ts: str = "pickup_datetime", file_name: str = "file_name"
     return month_text(ts) == F.regexp_extract(file_name, FILE_MONTH, 0)
 
 
-def accepted_trip(max_distance: int) -> Column:
-    """The staging filter. A NULL in any tested column drops the row."""
-    low, high = (F.lit(v).cast("decimal(18,4)") for v in TOTAL_AMOUNT)
+def _bound(value: str, half_units: int) -> Column:
+    """A number moved by halves of the last digit, as the double nearest to it."""
+    return F.lit(float(Decimal(value) + half_units * Decimal(5).scaleb(-DIGITS - 1)))
+
+
+def _rounds_between(name: str, low: str, high: str) -> Column:
+    """low <= the number rounded half up <= high, tested on the number as it is, so that the bounds
+    reach the scan. Halves round away from zero."""
+    at_least = F.col(name) >= _bound(low, -1) if Decimal(low) > 0 else F.col(name) > _bound(low, -1)
+    return at_least & (F.col(name) < _bound(high, 1))
+
+
+def _rounds_to_one_of(name: str, values: list[str]) -> Column:
+    found = [_rounds_between(name, v, v) for v in values]
+    return reduce(lambda one, other: one | other, found)
+
+
+def accepted_trip(feed: Feed) -> Column:
+    """The staging filter, on raw rows. A NULL in any tested column drops the row.
+
+    Amounts count as they are staged, rounded to nine digits, but are tested as plain doubles: only
+    rows that stay are converted, and the bounds can skip parts of the files.
+    """
     rules = [
-        F.col("passenger_count").between(0, MAX_PASSENGERS),
-        F.col("trip_distance").between(0, max_distance),
-        F.col("dropoff_datetime") > F.col("pickup_datetime"),
-        F.col("pickup_location_id").between(*LOCATION_IDS),
-        F.col("dropoff_location_id").between(*LOCATION_IDS),
-        F.col("total_amount").between(low, high),
-        F.col("fare_amount") > 0,
-        F.col("payment_type").isin(PAYMENT_CODES),
-        F.col("rate_code_id") <= MAX_RATE_CODE,
-        F.col("mta_tax").isin(_decimals(MTA_TAXES)),
-        F.col("extra").isin(_decimals(EXTRAS)),
-        file_month_matches(),
+        F.col("passenger_count").cast("int").between(0, MAX_PASSENGERS),
+        _rounds_between("trip_distance", "0", str(feed.max_distance)),
+        F.col(feed.dropoff).cast("timestamp") > F.col(feed.pickup).cast("timestamp"),
+        safe_cast("PULocationID", "bigint").between(*LOCATION_IDS),
+        safe_cast("DOLocationID", "bigint").between(*LOCATION_IDS),
+        _rounds_between("total_amount", *TOTAL_AMOUNT),
+        F.col("fare_amount") >= _bound("0", 1),
+        safe_cast("payment_type", "bigint").isin(PAYMENT_CODES),
+        safe_cast("RatecodeID", "bigint") <= MAX_RATE_CODE,
+        _rounds_to_one_of("mta_tax", MTA_TAXES),
+        _rounds_to_one_of("extra", EXTRAS),
+        file_month_matches(feed.pickup, "filename"),
     ]
-    accepted = rules[0]
-    for rule in rules[1:]:
-        accepted = accepted & rule
-    return accepted
+    return reduce(lambda one, other: one & other, rules)
 
 
 def date_window(df: DataFrame, ts: str, start: str | None = None, end: str | None = None) -> DataFrame:
@@ -128,8 +153,7 @@ def date_window(df: DataFrame, ts: str, start: str | None = None, end: str | Non
 
 def stage_feed(raw: DataFrame, feed: Feed, start: str | None = None, end: str | None = None) -> DataFrame:
     """Staged and filtered rows of one feed."""
-    rows = stage_trips(raw, feed).where(accepted_trip(feed.max_distance))
-    return date_window(rows, "pickup_datetime", start, end)
+    return stage_trips(date_window(raw.where(accepted_trip(feed)), feed.pickup, start, end), feed)
 
 
 def union_services(green: DataFrame, yellow: DataFrame) -> DataFrame:

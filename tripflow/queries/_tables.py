@@ -223,6 +223,10 @@ trips AS (
     FROM raw_all)"""
 
 
+def _staged(name: str) -> str:
+    return f"CAST({name} AS DECIMAL(18,9)) AS {name}"
+
+
 # fixed values: the accepted ranges and codes are those of `plans/staging.py`
 def _staged_sql(feed: str, prefix: str, max_distance: int) -> str:
     trip_type = "TRY_CAST(trip_type AS BIGINT) AS trip_type," if feed == "green" else ""
@@ -232,9 +236,10 @@ def _staged_sql(feed: str, prefix: str, max_distance: int) -> str:
            TRY_CAST(PULocationID AS BIGINT) AS pickup_location_id,
            TRY_CAST(DOLocationID AS BIGINT) AS dropoff_location_id,
            {prefix}_pickup_datetime AS pickup_datetime, {prefix}_dropoff_datetime AS dropoff_datetime,
-           store_and_fwd_flag, passenger_count, trip_distance, {trip_type}
-           fare_amount, extra, mta_tax, tip_amount, tolls_amount, improvement_surcharge,
-           total_amount, TRY_CAST(payment_type AS BIGINT) AS payment_type, congestion_surcharge
+           store_and_fwd_flag, passenger_count, {_staged('trip_distance')}, {trip_type}
+           {', '.join(map(_staged, ['fare_amount', 'extra', 'mta_tax', 'tip_amount', 'tolls_amount',
+                                    'improvement_surcharge', 'total_amount', 'congestion_surcharge']))},
+           TRY_CAST(payment_type AS BIGINT) AS payment_type
     FROM raw_{feed} WHERE VendorID IS NOT NULL),
 kept_{feed} AS (
     SELECT * FROM stg_{feed}

@@ -101,7 +101,7 @@ def daily_stats(spark, sf_dir):
 MART_SQL = f"""WITH {t.FACT_SQL}
 SELECT coalesce(pickup_zone, 'Unknown Zone') AS pickup_zone,
        CAST(date_trunc('month', pickup_datetime) AS DATE) AS revenue_month, service_type,
-       {', '.join(f'CAST(sum({c}) AS DECIMAL(28,4)) AS revenue_monthly_{c}' for c in MONEY_COLUMNS)},
+       {', '.join(f'CAST(sum({c}) AS DECIMAL(28,9)) AS revenue_monthly_{c}' for c in MONEY_COLUMNS)},
        count(trip_id) AS total_monthly_trips,
        round(avg(passenger_count), 6) AS avg_monthly_passenger_count,
        round(avg(trip_distance), 6) AS avg_monthly_trip_distance

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import incremental
 from ..plans import jobs, staging
+from ..schemas import NUMERIC
 from ..session import work_dir
 from ..sources import readers, writers
 from . import _tables as t
@@ -51,21 +52,21 @@ def incremental_upsert(spark, sf_dir):
     brought up to date with a look-back over all of it."""
     fact, root = t.fact(spark, sf_dir), work_dir(spark, "fact")
     early = (fact.where("pickup_datetime < TIMESTAMP '1998-06-15'").drop("payment_type_description")
-             .withColumn("total_amount", F.lit(0).cast("decimal(18,4)")))
+             .withColumn("total_amount", F.lit(0).cast(NUMERIC)))
     jobs.refresh_fact(spark, early, root)
     jobs.refresh_fact(spark, fact, root, look_back="20 years")
     return jobs.stored_fact(spark, root, fact.schema).drop(jobs.MONTH)
 
 
 @query("incremental_new_only", f"""WITH {t.FACT_SQL}
-SELECT trip_id, pickup_datetime, CASE WHEN pickup_datetime < TIMESTAMP '1998-06-15' THEN 0
-       ELSE total_amount END AS total_amount FROM fct""")
+SELECT trip_id, pickup_datetime, CASE WHEN pickup_datetime < TIMESTAMP '1998-06-15'
+       THEN CAST(0 AS DECIMAL(18,9)) ELSE total_amount END AS total_amount FROM fct""")
 def incremental_new_only(spark, sf_dir):
     """Without look-back only rows above the high-water mark are loaded; stored ones stay."""
     fact = t.fact(spark, sf_dir).select("trip_id", "pickup_datetime", "total_amount")
     root = work_dir(spark, "fact")
     early = (fact.where("pickup_datetime < TIMESTAMP '1998-06-15'")
-             .withColumn("total_amount", F.lit(0).cast("decimal(18,4)")))
+             .withColumn("total_amount", F.lit(0).cast(NUMERIC)))
     jobs.refresh_fact(spark, early, root)
     jobs.refresh_fact(spark, fact, root)
     return jobs.stored_fact(spark, root, fact.schema).drop(jobs.MONTH)

@@ -71,10 +71,10 @@ VENDOR_NAMES = {
 SURROGATE_KEY_NULL = "_dbt_utils_surrogate_key_null_"
 SOURCE_COLUMN = "_dbt_source_relation"
 
-# Exact type of money and distances in the staged model. The source model uses a 38-digit numeric;
-# 18 digits hold every value of the feeds and stay long-backed in Tungsten rows; a value with more
-# digits is an error, and `stage_trips(numeric=..)` takes a wider type.
-NUMERIC = "decimal(18,4)"
+# Exact type of money and distances in the staged model: nine digits after the point, as in the source
+# model's 38-digit numeric. 18 digits stay long-backed in Tungsten rows; amounts of a thousand
+# million and more are an error, and `stage_trips(numeric=..)` takes a wider type.
+NUMERIC = "decimal(18,9)"
 
 # Measures summed by the monthly reports, in output order.
 MONEY_COLUMNS = [
