@@ -128,7 +128,7 @@ def test_money_is_exact(frame):
     assert df.where("g = 2").agg(reports.exact_mean(df, "x", 2)).head()[0] is None
 
 
-@pytest.mark.parametrize("bad", [float("nan"), float("inf"), -float("inf"), 1e300, 1e10])
+@pytest.mark.parametrize("bad", [float("nan"), float("inf"), -float("inf"), 1e300])
 def test_money_that_is_no_number_is_an_error(frame, bad):
     df = frame("x double", [(1.0,), (bad,)])
     with pytest.raises(Exception, match="CAST_OVERFLOW|CAST_INVALID_INPUT"):

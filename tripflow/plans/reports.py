@@ -20,9 +20,9 @@ SCALE = 9
 def exact_sum(df: DataFrame, column: str, strict: bool = False) -> Column:
     """Sum as a decimal that does not depend on the order of the rows, unlike a sum of doubles.
 
-    Each double is rounded to nine digits and counted in units of the last one; whole numbers and
-    the units left over are two sums of longs, fast and exact. With `strict` a value with more digits
-    is an error. One that is no number or reaches 2^63 units, and an overflow of a sum (at nine thousand
+    Each double is rounded to nine digits: its nearest whole number, and the units of the ninth digit
+    that it is off, are two sums of longs, fast and exact. With `strict` a value with more digits is an
+    error. One that is no number or reaches 2^63, and an overflow of a sum (at eighteen thousand
     million rows of one group at the earliest), always is. Decimals are added up as they are.
     """
     value, kind = F.col(column), df.schema[column].dataType
@@ -30,15 +30,15 @@ def exact_sum(df: DataFrame, column: str, strict: bool = False) -> Column:
         value = value.cast("string").cast("double")
     elif not isinstance(kind, T.DoubleType):
         return F.sum(value)
-    unit = 10 ** SCALE
-    units = F.rint(value * float(unit))
+    unit = float(10 ** SCALE)
+    whole = F.rint(value)
+    units = F.rint((value - whole) * unit)
     if strict:
         problem = F.concat(F.lit(f"{column} is no number of at most {SCALE} decimals: "), value.cast("string"))
-        units = F.when(value.isNull() | (units / float(unit) == value), units).otherwise(
+        units = F.when(value.isNull() | (whole + units / unit == value), units).otherwise(
             F.raise_error(problem).cast("double"))
-    units = units.cast("bigint")
-    whole, rest = F.sum(F.call_function("div", units, F.lit(unit))), F.sum(units % unit)
-    return whole.cast("decimal(19,0)") + rest.cast("decimal(19,0)") * Decimal(1).scaleb(-SCALE)
+    return (F.sum(whole.cast("bigint")).cast("decimal(19,0)")
+            + F.sum(units.cast("bigint")).cast("decimal(19,0)") * Decimal(1).scaleb(-SCALE))
 
 
 def money_sum(df: DataFrame, column: str, result_type: str = MONEY, strict: bool = False) -> Column:
