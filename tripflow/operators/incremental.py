@@ -1,14 +1,12 @@
-"""Incremental loads without a table format: anti-join merges and published versions."""
+"""Incremental loads without a table format: anti-join merges, committed partitions and published versions."""
 
 from __future__ import annotations
 
-from urllib.parse import unquote
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import work_dir
+from ..sources import committed
 from ..sources.writers import child_names, is_complete
 
 
@@ -75,37 +73,63 @@ def published(spark: SparkSession, root: str, version: int | None = None) -> Dat
     return spark.read.parquet(f"{root}/v={versions[-1] if version is None else version}")
 
 
+def _staged(batch: DataFrame, partition: str, label: str) -> tuple[DataFrame, list[str]]:
+    """A batch at rest, read once more than once, and the partition folders it touches."""
+    spark, path = batch.sparkSession, work_dir(batch.sparkSession, label)
+    batch.write.partitionBy(partition).parquet(path)
+    touched = sorted(n for n in child_names(spark, path) if n.startswith(f"{partition}="))
+    return spark.read.schema(batch.schema).parquet(path), touched
+
+
 def merge_partitions(spark: SparkSession, batch: DataFrame, root: str, key: str, partition: str,
                      ) -> list[str]:
-    """Upsert into a table partitioned by a column that the key determines, rewriting only the
-    partitions the batch touches. Returns their values.
+    """Upsert into a committed table partitioned by a column that the key determines, rewriting only
+    the partitions the batch touches. Returns their values.
 
-    The merged partitions are written aside first and then replace the stored ones, so nothing is
-    overwritten while it is read, and a run that breaks off can be repeated.
+    All touched partitions change with one commit (see `sources.committed`): a run that breaks off
+    anywhere leaves the table as it was and can be repeated.
     """
-    staged, merged = work_dir(spark, "merge-batch"), work_dir(spark, "merge-result")
-    batch.write.partitionBy(partition).parquet(staged)
-    touched = sorted(n for n in child_names(spark, staged) if n.startswith(f"{partition}="))
+    incoming, touched = _staged(batch, partition, "merge-batch")
     if not touched:
         return []
-    incoming = spark.read.schema(batch.schema).parquet(staged)
-    present = set(child_names(spark, root))
-    stored_paths = [f"{root}/{name}" for name in touched if name in present]
-    result = incoming
-    if stored_paths:
-        stored = _read_partitions(spark, root, stored_paths, batch.schema[partition])
-        result = upsert(stored, incoming, key)
-    result.hint("rebalance", F.col(partition)).write.partitionBy(partition).parquet(merged)
-    (spark.read.schema(result.schema).parquet(merged).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(root))
-    return [unquote(name.split("=", 1)[1]) for name in touched]
-
-
-def _read_partitions(spark: SparkSession, root: str, paths: list[str],
-                     partition: T.StructField) -> DataFrame:
-    """Some partitions with all their columns. The partition column gets its declared type: a month
-    like 2024-02 would be taken for a date."""
-    reader = spark.read.option("basePath", root)
-    found = reader.option("mergeSchema", True).parquet(*paths).schema
-    schema = T.StructType([partition if f.name == partition.name else f for f in found.fields])
-    return reader.schema(schema).parquet(*paths)
+    base, columns, result = committed.snapshot(spark, root), batch.schema, incoming
+    if any(p in base.loads for p in touched):
+        result = upsert(committed.read_snapshot(spark, root, base, touched), incoming, key)
+        columns = result.schema
+    load, written = committed.write_load(result.hint("rebalance", F.col(partition)), root, partition)
+    committed.commit(spark, root, base, load, written, partition, columns, replace=True)
+    return [committed.partition_value(name) for name in touched]
+
+
+def insert_new_partitions(spark: SparkSession, batch: DataFrame, root: str, key: str, partition: str,
+                          dedup_batch: bool = False) -> list[str]:
+    """Insert-only merge into a committed table partitioned by a column that the key determines: rows
+    whose key the table lacks are added, with one commit. Returns the partitions that got rows.
+
+    Only partitions that the batch holds can hold its keys, and only those are listed and read, so the
+    work of a load follows the batch and not the table. Equal new rows inside one batch are all
+    inserted, unless `dedup_batch`.
+    """
+    incoming, touched = _staged(batch, partition, "insert-batch")
+    base = committed.snapshot(spark, root)
+    fresh = incoming.dropDuplicates([key]) if dedup_batch else incoming
+    if any(p in base.loads for p in touched):
+        known = committed.read_snapshot(spark, root, base, touched).select(
+            F.col(partition).alias("_partition"), F.col(key).alias("_known"))
+        same = (F.col(partition) == F.col("_partition")) & (F.col(key) == F.col("_known"))
+        fresh = fresh.join(known, same, "left_anti")
+    load, written = committed.write_load(fresh.hint("rebalance", F.col(partition)), root, partition)
+    if written:
+        committed.commit(spark, root, base, load, written, partition, batch.schema, replace=False)
+    return [committed.partition_value(name) for name in written]
+
+
+def compact_partitions(spark: SparkSession, root: str, most_loads: int = 8) -> list[str]:
+    """Rewrite the partitions that more than `most_loads` loads make up as one load. Returns them."""
+    base = committed.snapshot(spark, root)
+    many = sorted(p for p, loads in base.loads.items() if len(loads) > most_loads)
+    if many:
+        rows = committed.read_snapshot(spark, root, base, many).hint("rebalance", F.col(base.partition))
+        load, written = committed.write_load(rows, root, base.partition)
+        committed.commit(spark, root, base, load, written, base.partition, base.columns, replace=True)
+    return [committed.partition_value(name) for name in many]

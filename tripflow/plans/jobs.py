@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import month_text, row_fingerprint
 from ..operators.incremental import merge_partitions, rows_above_high_water
+from ..sources.committed import read_committed, read_snapshot, snapshot
 from ..sources.readers import read_csv, read_parquet, with_lineage
-from ..sources.writers import child_names, write_by_month, write_single_file, write_table
+from ..sources.writers import write_by_month, write_single_file, write_table
 from . import marts, reports, staging
 
 MONTH = "pickup_month"
@@ -39,22 +39,20 @@ def refresh_fact(spark: SparkSession, fact: DataFrame, root: str, look_back: str
     """Merge the newer rows of the fact into the stored table, by trip id.
 
     The table is partitioned by pickup month, which the trip id determines: only the newest month
-    is read for the high-water mark, and only months with new rows are rewritten. Returns them.
+    is read for the high-water mark, and only months with new rows are rewritten. Returns them. All months
+    change with one commit, so readers never see half a refresh.
     """
     rows = fact.withColumn(MONTH, month_text("pickup_datetime"))
-    months = sorted(name.split("=")[1] for name in child_names(spark, root)
-                    if name.startswith(f"{MONTH}="))
-    if months:
-        newest = read_parquet(spark, f"{root}/{MONTH}={months[-1]}").select("pickup_datetime")
+    stored = snapshot(spark, root)
+    if stored.loads:
+        newest = read_snapshot(spark, root, stored, [max(stored.loads)]).select("pickup_datetime")
         rows = rows_above_high_water(rows, newest, "pickup_datetime", look_back)
     return merge_partitions(spark, rows, root, "trip_id", MONTH)
 
 
-def stored_fact(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
-    """The stored fact; a declared schema shows columns that older months do not have yet."""
-    if schema is not None and MONTH not in schema.fieldNames():
-        schema = T.StructType([*schema.fields, T.StructField(MONTH, T.StringType())])
-    return read_parquet(spark, root, schema)
+def stored_fact(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+    """The stored fact as of its newest or a given commit; columns that older months do not have are NULL there."""
+    return read_committed(spark, root, version)
 
 
 def build_reports(spark: SparkSession, fact_root: str, out: str) -> None:
