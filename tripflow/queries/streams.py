@@ -6,13 +6,16 @@ are compared whole.
 
 from __future__ import annotations
 
+from datetime import timedelta
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from ..functions import encode_json
 from ..schemas import declared
 from ..session import work_dir
 from ..sources import readers
-from ..streaming import jobs, sinks, sources, windows
+from ..streaming import jobs, lateness, sinks, sources, windows
 from . import _tables as t
 from ._registry import query
 
@@ -199,6 +202,73 @@ def stream_late_correct(spark, sf_dir):
     return sinks.read_upserted(spark, path, ["window_start", "event_type"])
 
 
+_LATENESS = timedelta(days=10)
+_FATES = """
+rows AS (SELECT *, event_id % 5 = 0 AS late, date_trunc('hour', ts)::TIMESTAMP AS window_start,
+                CAST(round(value * 100) AS BIGINT) AS cents FROM events),
+marks AS (SELECT max(ts) FILTER (NOT late) - INTERVAL 5 SECOND AS before_late, max(ts) - INTERVAL 5 SECOND AS final
+          FROM rows),
+fates AS (SELECT *, window_start + INTERVAL 1 HOUR AS window_end,
+                 CASE WHEN NOT late OR window_start + INTERVAL 1 HOUR > before_late THEN 'first'
+                      WHEN window_start + INTERVAL 1 HOUR + INTERVAL 10 DAY > before_late THEN 'correction'
+                      ELSE 'late' END AS fate FROM rows, marks)"""
+
+
+def _lateness_run(spark, sf_dir):
+    """Hourly windows over three landings, the last a fifth of all rows that comes late: closed windows
+    take them for ten days more."""
+    landing, path, checkpoint = (work_dir(spark, p) for p in ("landing", "lateness", "checkpoint"))
+    for wave in range(3):
+        _land(spark, sf_dir, landing, wave)
+        rows = sources.with_event_time(sources.file_stream(spark, landing, _EVENTS), "ts", _DELAY)
+        found = lateness.windows_with_lateness(
+            rows.withColumn("cents", F.round(F.col("value") * 100).cast("bigint")), "ts", timedelta(hours=1),
+            "event_type", "cents", _LATENESS)
+        lateness.side_output_sink(found, path, checkpoint).awaitTermination()
+    return readers.read_parquet(spark, path, found.schema)
+
+
+@query("stream_lateness", f"""WITH {_FATES},
+firsts AS (SELECT window_start, window_end, event_type, count(*) AS num_trips, CAST(sum(cents) AS BIGINT) AS total,
+                  any_value(final) AS final FROM fates WHERE fate = 'first' GROUP BY 1, 2, 3),
+more AS (SELECT window_start, window_end, event_type, count(*) AS num_trips, CAST(sum(cents) AS BIGINT) AS total
+         FROM fates WHERE fate = 'correction' GROUP BY ALL)
+SELECT * EXCLUDE (final), 'first' AS kind, CAST(0 AS INTEGER) AS revision FROM firsts WHERE window_end <= final
+UNION ALL
+SELECT m.window_start, m.window_end, m.event_type, m.num_trips + coalesce(f.num_trips, 0),
+       m.total + coalesce(f.total, 0), CASE WHEN f.num_trips IS NULL THEN 'first' ELSE 'correction' END,
+       CAST(CASE WHEN f.num_trips IS NULL THEN 0 ELSE 1 END AS INTEGER)
+FROM more m LEFT JOIN firsts f USING (window_start, event_type)""")
+def stream_lateness(spark, sf_dir):
+    """A first result for each window when it closes, and a correction of its own row afterwards."""
+    return lateness.results(_lateness_run(spark, sf_dir))
+
+
+@query("stream_late_side", f"""WITH {_FATES}
+SELECT event_id, ts, user_id, event_type, value, props FROM fates WHERE fate = 'late'""")
+def stream_late_side(spark, sf_dir):
+    """The rows that came after their window's lateness, whole."""
+    return lateness.late_rows(_lateness_run(spark, sf_dir), _EVENTS)
+
+
+@query("stream_lateness_balance", f"""WITH {_FATES},
+seen AS (SELECT DISTINCT window_start, event_type, true AS seen FROM fates WHERE fate = 'first')
+SELECT CASE WHEN fate = 'correction' AND seen IS NULL THEN 'first' ELSE fate END AS fate,
+       CAST(count(*) AS BIGINT) AS n_rows
+FROM fates LEFT JOIN seen USING (window_start, event_type), (SELECT any_value(final) AS last FROM fates)
+WHERE fate = 'late' OR window_end <= last GROUP BY 1""")
+def stream_lateness_balance(spark, sf_dir):
+    """Rows in first results, rows that corrections added, late rows: each row is in one of them."""
+    published = _lateness_run(spark, sf_dir)
+    firsts = lateness.results(published).where("kind = 'first'")
+    newest = lateness.newest_results(published, "event_type")
+    counted = [(firsts, "first", F.col("num_trips")), (firsts, "correction", -F.col("num_trips")),
+               (newest, "correction", F.col("num_trips")), (published.where("kind = 'late'"), "late", F.lit(1))]
+    rows = [df.select(F.lit(fate).alias("fate"), n.cast("bigint").alias("n")) for df, fate, n in counted]
+    return (reduce(lambda one, other: one.unionByName(other), rows)
+            .groupBy("fate").agg(F.sum("n").alias("n_rows")).where("n_rows > 0"))
+
+
 @query("stream_resume", "SELECT event_id, event_type, value FROM events")
 def stream_resume(spark, sf_dir):
     """Stopped and restarted twice on one checkpoint: every row arrives once."""

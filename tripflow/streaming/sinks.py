@@ -17,7 +17,7 @@ from ..sources.writers import child_names, delete_path, matching_paths
 DIRECT = "0" * 15 + "_direct"
 
 
-def _trigger(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
+def run_trigger(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
     """Run every interval, or once over what is there when `every` is None."""
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
 
@@ -27,7 +27,7 @@ def append_sink(df: DataFrame, path: str, checkpoint: str, every: str | None = N
     checkpoint, so a restart resumes."""
     writer = df.writeStream.format("parquet").outputMode("append").option(
         "checkpointLocation", checkpoint)
-    return _trigger(writer, every).start(path)
+    return run_trigger(writer, every).start(path)
 
 
 # --- keyed tables: path/changes/run=../batch_id=.. and path/base/v=../{folded,rows} ---
@@ -64,7 +64,7 @@ def upsert_sink(df: DataFrame, path: str, checkpoint: str, every: str | None = N
 
     writer = (df.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
               .foreachBatch(write))
-    return _trigger(writer, every).start()
+    return run_trigger(writer, every).start()
 
 
 def _batches(spark: SparkSession, path: str) -> list[tuple[str, int]]:
