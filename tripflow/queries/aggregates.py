@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import aggregates as agg
+from ..operators import profile, sketches
 from ..plans import marts, reports
 from ..schemas import MONEY_COLUMNS, VENDOR_NAMES
+from ..session import work_dir
+from ..sources import readers, writers
 from . import _tables as t
 from ._registry import query
 from .joins import hourly_events
@@ -24,6 +27,23 @@ def count_distinct(spark, sf_dir):
         F.count_distinct("l_suppkey").alias("n_suppliers"), F.count_distinct("l_partkey").alias("n_parts"))
 
 
+@query("distinct_by_sketch", """SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month, count(*) AS n_rows,
+    count(DISTINCT l_suppkey) AS n_suppliers, count(DISTINCT l_partkey) AS n_parts, true AS suppliers_close,
+    true AS parts_close FROM lineitem GROUP BY 1""")
+def distinct_by_sketch(spark, sf_dir):
+    """Daily sketches, stored, and merged by month, next to exact counts: are they within the bound?"""
+    lines, columns = t.table(spark, sf_dir, "lineitem"), ["l_suppkey", "l_partkey"]
+    path, month = work_dir(spark, "sketches"), F.to_date(F.date_trunc("month", "day")).alias("month")
+    writers.convert_to_parquet(sketches.day_sketches(lines, "l_shipdate", columns), path)
+    merged = sketches.merged_counts(readers.read_parquet(spark, path), columns, [month])
+    exact = lines.groupBy(F.to_date(F.date_trunc("month", "l_shipdate")).alias("month")).agg(
+        F.count_distinct("l_suppkey").alias("n_suppliers"), F.count_distinct("l_partkey").alias("n_parts"))
+    close = lambda n, c: F.abs(F.col(c) - F.col(n)) <= F.greatest(F.lit(1.0), F.col(n) * sketches.error_bound())
+    return merged.join(exact, "month").select("month", "n_rows", "n_suppliers", "n_parts",
+                                              close("n_suppliers", "l_suppkey").alias("suppliers_close"),
+                                              close("n_parts", "l_partkey").alias("parts_close"))
+
+
 @query("distinct_in_range", """SELECT DISTINCT l_suppkey FROM lineitem
 WHERE l_shipdate BETWEEN TIMESTAMP '1998-03-01' AND TIMESTAMP '1998-03-15'""")
 def distinct_in_range(spark, sf_dir):
@@ -235,6 +255,40 @@ def column_profile(spark, sf_dir):
                                 "share": F.round("share", 6)})
 
 
+_PROFILED = {"l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int",
+             "l_quantity": "double", "l_extendedprice": "double", "l_discount": "double", "l_tax": "double",
+             "l_returnflag": "string", "l_linestatus": "string", "l_shipdate": "timestamp"}
+
+
+def _profile_sql(column: str, kind: str) -> str:
+    text, number = kind == "string", kind not in ("string", "timestamp")
+    return f"""SELECT '{column}' AS "column", '{kind}' AS type, count(*) AS n_rows, count(*) - count({column}) AS n_null,
+    {f"count(*) FILTER (trim({column}) = '')" if text else 'CAST(NULL AS BIGINT)'} AS n_blank,
+    CAST(min({column}) AS VARCHAR) AS least, CAST(max({column}) AS VARCHAR) AS most,
+    {f'round(avg({column}), 3)' if number else 'CAST(NULL AS DOUBLE)'} AS mean FROM lineitem"""
+
+
+@query("profile_columns", " UNION ALL ".join(_profile_sql(c, k) for c, k in _PROFILED.items()))
+def profile_columns(spark, sf_dir):
+    """All columns at once from stored sketches per line number, merged; the exact parts."""
+    path = work_dir(spark, "profile")
+    writers.convert_to_parquet(profile.column_sketches(t.table(spark, sf_dir, "lineitem"), ["l_linenumber"]), path)
+    found = profile.profile(spark.read.parquet(path))
+    return found.withColumn("mean", F.round("mean", 3)).select(
+        "column", "type", "n_rows", "n_null", "n_blank", "least", "most", "mean")
+
+
+_TOP_SQL = " UNION ALL ".join(f"""SELECT '{c}' AS "column", value, n FROM (SELECT CAST({c} AS VARCHAR) AS value, count(*) AS n
+    FROM lineitem GROUP BY 1 ORDER BY n DESC, value LIMIT 3)""" for c in ("l_returnflag", "l_linestatus", "l_linenumber"))
+
+
+@query("profile_top_values", _TOP_SQL)
+def profile_top_values(spark, sf_dir):
+    """The commonest values of some columns, exact where a column has few."""
+    found = profile.profile_table(t.table(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus", "l_linenumber"], top=3)
+    return found.select("column", F.inline("top_values")).select("column", F.col("item").alias("value"), F.col("count").alias("n"))
+
+
 @query("dim_vendors", f"""WITH {t.FACT_SQL}
 SELECT DISTINCT vendor_id, CASE vendor_id
     {' '.join(f"WHEN {k} THEN '{v}'" for k, v in VENDOR_NAMES.items())} END AS vendor_name FROM fct""")

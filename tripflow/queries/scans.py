@@ -8,9 +8,10 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from ..functions import row_fingerprint
+from ..operators.dedup import keep_first
 from ..schemas import declared
 from ..session import work_dir
-from ..sources import audit, readers, writers
+from ..sources import audit, clustered, readers, rejects, writers
 from . import _tables as t
 from ._registry import query
 
@@ -235,3 +236,68 @@ def write_table_if_absent(spark, sf_dir):
     # the table is there now, so this second write must change nothing
     writers.create_table_if_absent(_orders(spark, sf_dir).where("o_orderstatus = 'F'"), name)
     return spark.table(name)
+
+
+# --- tables clustered by key ---
+
+def _clustered(spark, sf_dir, table, keys, columns):
+    name, path = f"{table}_{uuid.uuid4().hex}", work_dir(spark, "clustered")
+    clustered.write_clustered(t.table(spark, sf_dir, table).select(*columns), name, keys, 16, path)
+    return clustered.read_clustered(spark, name)
+
+
+@query("clustered_join", """SELECT o_orderkey, o_orderstatus, count(*) AS n_lines, max(l_linenumber) AS last_line
+FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY ALL""")
+def clustered_join(spark, sf_dir):
+    """Two tables clustered by the order: joined and grouped bucket by bucket, without a shuffle."""
+    orders = _clustered(spark, sf_dir, "orders", ["o_orderkey"], ["o_orderkey", "o_orderstatus"])
+    lines = _clustered(spark, sf_dir, "lineitem", ["l_orderkey"], ["l_orderkey", "l_linenumber"])
+    return (orders.hint("merge").join(lines, orders.o_orderkey == lines.l_orderkey)
+            .groupBy("o_orderkey", "o_orderstatus")
+            .agg(F.count("*").alias("n_lines"), F.max("l_linenumber").alias("last_line")))
+
+
+@query("clustered_keep_first", """SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_partkey, l_suppkey) = 1""")
+def clustered_keep_first(spark, sf_dir):
+    """One row per cluster key, found inside each bucket."""
+    lines = _clustered(spark, sf_dir, "lineitem", ["l_orderkey"], ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
+    return keep_first(lines, ["l_orderkey"], [F.desc("l_linenumber"), "l_partkey", "l_suppkey"]).drop("l_suppkey")
+
+
+# --- CSV loads that keep what they cannot read ---
+
+_PRICED = declared("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+                   "o_orderdate timestamp")
+_LINES_SQL = """lines AS (SELECT *, o_orderkey % 97 = 0 OR o_orderkey % 89 = 0 OR o_orderkey % 83 = 0 AS bad,
+    concat_ws(',', CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR), o_orderstatus,
+              CASE WHEN o_orderkey % 97 = 0 THEN 'n/a' ELSE CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) END,
+              CASE WHEN o_orderkey % 89 <> 0 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END,
+              CASE WHEN o_orderkey % 83 = 0 THEN 'more' END) AS line FROM orders)"""
+
+
+def _csv_load(spark, sf_dir) -> rejects.Load:
+    """Orders as CSV; some lines have text for a number, some a field too few or too many."""
+    key = F.col("o_orderkey")
+    price = F.when(key % 97 == 0, "n/a").otherwise(F.col("o_totalprice").cast("decimal(12,2)").cast("string"))
+    fields = [key.cast("string"), F.col("o_custkey").cast("string"), F.col("o_orderstatus"), price,
+              F.when(key % 89 != 0, F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")), F.when(key % 83 == 0, "more")]
+    source = work_dir(spark, "lines")
+    t.table(spark, sf_dir, "orders").select(F.concat_ws(",", *fields).alias("value")).write.text(source)
+    return rejects.load_csv(spark, source, _PRICED, work_dir(spark, "loaded"), header=False)
+
+
+@query("csv_loaded", f"WITH {_LINES_SQL} SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate FROM lines WHERE NOT bad")
+def csv_loaded(spark, sf_dir):
+    return _csv_load(spark, sf_dir).rows().drop("filename")
+
+
+@query("csv_rejects", f"WITH {_LINES_SQL} SELECT line FROM lines WHERE bad")
+def csv_rejects(spark, sf_dir):
+    return _csv_load(spark, sf_dir).rejects().select("line")
+
+
+@query("csv_load_audit", f"""WITH {_LINES_SQL} SELECT CAST(count(*) FILTER (NOT bad) AS BIGINT) AS n_loaded,
+    CAST(count(*) FILTER (bad) AS BIGINT) AS n_rejected FROM lines""")
+def csv_load_audit(spark, sf_dir):
+    return _csv_load(spark, sf_dir).audit().agg(F.sum("n_loaded").alias("n_loaded"), F.sum("n_rejected").alias("n_rejected"))
