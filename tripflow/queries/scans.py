@@ -11,7 +11,7 @@ from ..functions import row_fingerprint
 from ..operators.dedup import keep_first
 from ..schemas import declared
 from ..session import work_dir
-from ..sources import audit, clustered, readers, rejects, writers
+from ..sources import audit, clustered, json_arrays, readers, rejects, writers
 from . import _tables as t
 from ._registry import query
 
@@ -85,6 +85,18 @@ def json_records(spark, sf_dir):
     return readers.read_json_records(spark, path, ["event_id", "event_type", "user_id"])
 
 
+@query("json_array_records", """SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders""")
+def json_array_records(spark, sf_dir):
+    """All orders as few files of one array each, under a key, cut into records by many tasks."""
+    path = work_dir(spark, "array")
+    order = F.struct("o_orderkey", "o_orderstatus", "o_totalprice", F.lit('} "orders": [{').alias("note"))
+    lists = (t.table(spark, sf_dir, "orders").groupBy(F.expr("o_orderkey % 4").alias("part"))
+             .agg(F.collect_list(order).alias("orders")))
+    lists.select(F.to_json(F.struct("part", "orders")).alias("value")).write.text(path)
+    return json_arrays.read_json_array(
+        spark, path, declared("o_orderkey bigint, o_orderstatus string, o_totalprice double"), "orders")
+
+
 @query("json_pages_to_rows", "SELECT conv_id, turn, role, text FROM conversations")
 def json_pages_to_rows(spark, sf_dir):
     path = work_dir(spark, "pages")

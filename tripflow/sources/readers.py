@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import project_with_default
+from .json_arrays import json_array_records
 
 
 def read_csv_strings(spark: SparkSession, path: str) -> DataFrame:
@@ -69,19 +70,14 @@ def read_json_records(spark: SparkSession, path: str, keys: list[str], record_li
                       default: str = "N/A") -> DataFrame:
     """Chosen keys of JSON objects as text, `default` where a key is missing.
 
-    Input is one JSON value per file or line; `record_list` names the key that holds the objects,
-    otherwise the value itself is the object or the list of objects.
+    Input is one JSON object per line; or, with `record_list`, files of any size that hold the objects
+    in a list under that key of their top level (see `json_arrays`).
     """
-    documents = spark.read.text(path, wholetext=record_list is not None).select("value")
     if record_list is None:
-        objects = documents.select(F.col("value").alias("record"))
+        records = spark.read.text(path).select(F.col("value").alias("record"))
     else:
-        listed = F.get_json_object("value", f"$.{record_list}")
-        # each element as a map of raw JSON texts, so that no key has to be declared
-        elements = F.from_json(listed, T.ArrayType(T.MapType(T.StringType(), T.StringType())))
-        objects = documents.select(F.explode(elements).alias("fields"))
-        return objects.select(*[F.coalesce(F.col("fields")[k], F.lit(default)).alias(k) for k in keys])
-    return objects.select(*project_with_default("record", keys, default))
+        records = json_array_records(spark, path, record_list)
+    return records.select(*project_with_default("record", keys, default))
 
 
 def read_pages(spark: SparkSession, path: str, record_schema: T.StructType,
