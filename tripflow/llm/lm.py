@@ -8,9 +8,10 @@ failure arc to h' with weight log10 of m / (c(h) + m), taken for every other wor
 one unit of probability). The root's arc for w weighs log10 of (c(w) + a) / (N + a * (V + 1)), a
 word never seen counting as c = 0.
 
-Scoring. No state, arc or failure-arc records are built and nothing walks them: the weights the
-automaton would take follow from the counts of the n-grams that end at each position, interpolated
-order by order over all positions of a block as arrays and added up per text.
+Scoring. Each block of documents builds the part of the automaton that its own n-grams touch, as sorted
+arcs and failure arcs (`automaton`), and walks its texts once from left to right, side by side: the
+state is carried from word to word, a word without an arc takes failure arcs down to a state that
+has one, and the weights on the way are added up.
 
 Scale. Counts of all n-grams are exact and cover all training texts; no table of them is broadcast
 or brought to one place. Each block of documents sends its distinct n-grams with its own counts
@@ -33,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .automaton import Automaton
 from .blocks import (MESSAGE, Block, cut_blocks, each_block, messages, pack, range_count, received,
                      unpack)
 from .words import U64, starts_of, whole_windows, window_hashes
@@ -61,19 +63,36 @@ class _Grams:
         symbols[self.starts[:-1]], symbols[self.starts[1:] - 1] = _BEGIN, _END
         self.held = np.array([is_held_out(d, folds) for d in block.doc_ids], bool)
         training = ~np.repeat(self.held, sizes)
-        self.orders = []
+        self.orders, self.first = [], []
         for n in range(1, order + 1):
             whole = whole_windows(sizes, n)
             if n == 1:
                 whole[self.starts[:-1]] = False  # the begin is a context, never a word
             at = np.flatnonzero(whole)
             found = symbols[at] if n == 1 else window_hashes(symbols, n)[at]
-            keys, place = np.unique(found, return_inverse=True)
+            keys, first, place = np.unique(found, return_index=True, return_inverse=True)
             counts = np.bincount(place[training[at]], minlength=len(keys))
             # the n-gram belongs to the position of its last word
             self.orders.append((at + n - 1, keys, place, counts))
+            self.first.append(at[first] + n - 1)
         self.n = len(symbols)
 
+    def automaton(self, counts: list[np.ndarray], add: float, strengths: Sequence[float], known: int,
+                  total: int) -> tuple[Automaton, np.ndarray]:
+        """The automaton over these n-grams, given their corpus counts, and the word numbers by position."""
+        marks = self.starts[:-1]
+        numbers = np.full((len(self.orders), self.n), -1, np.int64)
+        for n, (at, _, place, _) in enumerate(self.orders):
+            numbers[n, at] = place
+        numbers[0, marks] = len(counts[0])  # the begin mark, which every training text has once, as the end
+        end = counts[0][numbers[0, self.starts[1] - 1]] if len(marks) else 0
+        grams = [{"counts": np.append(counts[0], end)}]
+        for n in range(1, len(self.orders)):
+            at = self.first[n]
+            grams.append({"counts": counts[n], "prefix": numbers[n - 1, at - 1], "suffix": numbers[n - 1, at],
+                          "word": numbers[0, at]})
+        return Automaton(grams, add, strengths, known, total), numbers[0]
+
 
 def _ask(folds: int, order: int, ranges: int):
     def work(block: Block) -> Iterator[pa.RecordBatch]:
@@ -112,40 +131,25 @@ def _score(folds: int, order: int, ranges: int, add: float, strengths: Sequence[
         for row in blocks.to_pylist():
             block = Block(row)
             grams = _Grams(block, folds, order)
-            # corpus count of the n-gram that ends at each position, 0 where there is none
-            counts = []
-            for n, (at, _, place, _) in enumerate(grams.orders):
-                here = np.zeros(grams.n, np.int64)
-                here[at] = received(told, np.int64, n * ranges, (n + 1) * ranges)[place]
-                counts.append(here)
+            counts = [received(told, np.int64, n * ranges, (n + 1) * ranges) for n in range(order)]
+            automaton, words = grams.automaton(counts, add, strengths, known, total)
             first = grams.starts[:-1]
-            ends = grams.starts[1:] - 1
-            words = np.ones(grams.n, bool)
-            words[first] = False
-            chance = (counts[0] + add) / (total + add * (known + 1))
-            base = np.log10(chance)
-            # every training text has one begin and one end
-            counts[0][first] = counts[0][ends] if len(ends) else 0
-            for n in range(1, order):
-                context = np.zeros(grams.n, np.int64)
-                context[1:] = counts[n - 1][:-1]
-                state = context > 0
-                m = strengths[n - 1]
-                chance[state] = (counts[n][state] + m * chance[state]) / (context[state] + m)
-            weight = np.log10(chance)
-            counts[0][first] = base[first] = weight[first] = 0
+            seen = (np.append(counts[0], 0) > 0)[words]
+            base = automaton.root_weight[words]
+            seen[first], base[first] = False, 0
+            score = automaton.walk(words, grams.starts)
             out.append(pa.RecordBatch.from_arrays(
                 [pa.array(block.doc_ids, pa.int64()), pa.array(grams.held),
                  pa.array(block.sizes.astype(np.int64) + 1),
-                 pa.array(np.add.reduceat((counts[0] > 0).astype(np.int64), first)),
+                 pa.array(np.add.reduceat(seen.astype(np.int64), first)),
                  pa.array(np.full(len(first), total, np.int64)),
-                 pa.array(np.add.reduceat(base, first)), pa.array(np.add.reduceat(weight, first))],
+                 pa.array(np.add.reduceat(base, first)), pa.array(score)],
                 schema=schema))
         return pa.Table.from_batches(out, schema)
     return run
 
 
-def automaton_scores(docs: DataFrame, order: int = 2, folds: int = 10, add: float = 0.1,
+def automaton_scores(docs: DataFrame, order: int = 3, folds: int = 10, add: float = 0.1,
                      strengths: Sequence[float] = (100.0, 10.0, 10.0, 10.0)) -> DataFrame:
     """docs(doc_id, text) → (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score).
 
