@@ -45,7 +45,7 @@ def test_entry(spark):
 
 def check_plan(key: str, plan: str) -> None:
     """No Python in the plan, no cross join, no window that gathers all rows in one task."""
-    if key != "score_batches":  # there Python is the operator
+    if key not in ("score_batches", "json_array_records"):  # there Python is the operator
         assert not re.search(r"EvalPython|InPandas|InArrow", plan)
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     lines = plan.splitlines()
