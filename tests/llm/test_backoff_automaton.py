@@ -87,3 +87,23 @@ def test_higher_order_tells_held_out_texts_better(frame):
     docs = frame("doc_id long, text string", [(i, text()) for i in range(200)])
     held = [lm.automaton_scores(docs, order).where("held_out").groupBy().sum("score").head()[0] for order in (1, 2, 3)]
     assert held[0] < held[1] < held[2]
+
+
+def test_only_grams_that_may_occur_elsewhere_are_asked(frame, monkeypatch):
+    """Blocks of one text each: the counts are those of the corpus, though few triples are sent."""
+    from tripflow.llm import blocks
+    monkeypatch.setattr(blocks, "BLOCK_DOCS", 1)
+    rnd = random.Random(8)
+    texts = [" ".join(rnd.choice("abcdefghij") + str(rnd.choice(["", i])) for _ in range(40)) for i in range(30)]
+    rows = [*enumerate(texts), (100, texts[3]), (101, texts[4] + " end"), (102, None)]
+    docs = frame("doc_id long, text string", rows).repartition(4)
+    sent = []
+    real = lm._ask_longer
+    monkeypatch.setattr(lm, "_ask_longer", lambda *a: sent.append(a[1]) or real(*a))
+    found = {r.doc_id: r.score for r in lm.automaton_scores(docs, 4, strengths=(3.0, 0.7, 0.5)).collect()}
+    assert sent == [3, 4]
+    monkeypatch.undo()
+    whole = {r.doc_id: r.score for r in lm.automaton_scores(docs.coalesce(1), 4, strengths=(3.0, 0.7, 0.5)).collect()}
+    from tests.llm.test_text_operators import model_scores
+    wanted = {r[0]: r[6] for r in model_scores(rows, 4, (3.0, 0.7, 0.5))}
+    assert found == pytest.approx(wanted, rel=1e-9) and whole == pytest.approx(wanted, rel=1e-9)

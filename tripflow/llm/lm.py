@@ -16,7 +16,8 @@ has one, and the weights on the way are added up.
 Scale. Counts of all n-grams are exact and cover all training texts; no table of them is broadcast
 or brought to one place. Each block of documents sends its distinct n-grams with its own counts
 into the exchange of `blocks` and gets the corpus counts back, which is the part of the automaton
-the block needs.
+the block needs. Words and pairs go first. Of the longer ones only those go whose beginning and end, one
+word shorter, both occur in other blocks as well; the counts of all others are the block's own.
 
 Words are as in `words`, A-Z lower-cased; every text ends with one end token. Null and wordless
 texts are the end token alone. Rows without a doc_id count as the empty id for the choice of
@@ -42,6 +43,8 @@ from .work import ready, stored
 
 _RESULT = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
            "base_score double, score double")
+#: Columns of blocks and answers that are sent.
+_LEAN, _ANSWER = ("block_id", "doc_ids", "sizes", "ids", "words"), ("range", "block_id", "payload")
 _COUNTED = MESSAGE + ", known long, total long"
 _BEGIN, _END = U64(0x1B873593CC9E2D51), U64(0x2545F4914F6CDD1D)
 
@@ -77,30 +80,68 @@ class _Grams:
             self.first.append(at[first] + n - 1)
         self.n = len(symbols)
 
+        #: numbers of the n-grams that end at each position; the begin mark is the last single word
+        self.numbers = np.full((order, self.n), -1, np.int64)
+        for n, (at, _, place, _) in enumerate(self.orders):
+            self.numbers[n, at] = place
+        self.numbers[0, self.starts[:-1]] = len(self.orders[0][1])
+
+    def links(self, n: int) -> dict[str, np.ndarray]:
+        """For each distinct n-gram, n of two or more: its first and last n - 1 words, and its last word."""
+        at = self.first[n - 1]
+        return {"prefix": self.numbers[n - 2, at - 1], "suffix": self.numbers[n - 2, at], "word": self.numbers[0, at]}
+
+    def open(self, n: int, below: np.ndarray) -> np.ndarray:
+        """Which n-grams, n of three or more, may occur elsewhere, given the corpus counts of the shorter ones.
+        Where all training texts with its first or its last words are in this block, so is the n-gram."""
+        elsewhere, links = below > self.orders[n - 2][3], self.links(n)
+        return elsewhere[links["prefix"]] & elsewhere[links["suffix"]]
+
+    def counts(self, told: pa.Table, ranges: int, upto: int) -> list[np.ndarray]:
+        """Corpus counts of the n-grams up to an order, from the replies and the block's own counts."""
+        out = []
+        for n in range(1, upto + 1):
+            answers = received(told, np.int64, (n - 1) * ranges, n * ranges)
+            if n > 2:
+                asked, answered = self.open(n, out[-1]), answers
+                answers = self.orders[n - 1][3].astype(np.int64)
+                answers[asked] = answered
+            out.append(answers)
+        return out
+
     def automaton(self, counts: list[np.ndarray], add: float, strengths: Sequence[float], known: int,
                   total: int) -> tuple[Automaton, np.ndarray]:
         """The automaton over these n-grams, given their corpus counts, and the word numbers by position."""
-        marks = self.starts[:-1]
-        numbers = np.full((len(self.orders), self.n), -1, np.int64)
-        for n, (at, _, place, _) in enumerate(self.orders):
-            numbers[n, at] = place
-        numbers[0, marks] = len(counts[0])  # the begin mark, which every training text has once, as the end
-        end = counts[0][numbers[0, self.starts[1] - 1]] if len(marks) else 0
+        # every training text has one begin, as it has one end
+        end = counts[0][self.numbers[0, self.starts[1] - 1]] if len(self.starts) > 1 else 0
         grams = [{"counts": np.append(counts[0], end)}]
-        for n in range(1, len(self.orders)):
-            at = self.first[n]
-            grams.append({"counts": counts[n], "prefix": numbers[n - 1, at - 1], "suffix": numbers[n - 1, at],
-                          "word": numbers[0, at]})
-        return Automaton(grams, add, strengths, known, total), numbers[0]
+        grams += [{"counts": counts[n - 1], **self.links(n)} for n in range(2, len(counts) + 1)]
+        return Automaton(grams, add, strengths, known, total), self.numbers[0]
 
 
 def _ask(folds: int, order: int, ranges: int):
+    """The block's single words and pairs."""
     def work(block: Block) -> Iterator[pa.RecordBatch]:
-        for n, (_, keys, _, counts) in enumerate(_Grams(block, folds, order).orders):
+        for n, (_, keys, _, counts) in enumerate(_Grams(block, folds, min(order, 2)).orders):
             yield messages(block.block_id, ranges, keys, counts.astype(np.int64), first=n * ranges)
     return each_block(work)
 
 
+def _ask_longer(folds: int, n: int, ranges: int):
+    """The block's n-grams that may occur elsewhere."""
+    def run(_, blocks: pa.Table, told: pa.Table) -> pa.Table:
+        out = []
+        for row in blocks.to_pylist():
+            block = Block(row)
+            grams = _Grams(block, folds, n)
+            asked = grams.open(n, grams.counts(told, ranges, n - 1)[-1])
+            _, keys, _, counts = grams.orders[n - 1]
+            out.append(messages(block.block_id, ranges, keys[asked], counts[asked].astype(np.int64),
+                                first=(n - 1) * ranges))
+        return pa.Table.from_batches(out, pa.schema({"range": pa.int32(), "block_id": pa.int64(), "payload": pa.binary()}))
+    return run
+
+
 def _count(ranges: int):
     """Corpus counts of one key range; the first row also has the words and tokens in it."""
     def run(asked: pa.Table) -> pa.Table:
@@ -131,7 +172,7 @@ def _score(folds: int, order: int, ranges: int, add: float, strengths: Sequence[
         for row in blocks.to_pylist():
             block = Block(row)
             grams = _Grams(block, folds, order)
-            counts = [received(told, np.int64, n * ranges, (n + 1) * ranges) for n in range(order)]
+            counts = grams.counts(told, ranges, order)
             automaton, words = grams.automaton(counts, add, strengths, known, total)
             first = grams.starts[:-1]
             seen = (np.append(counts[0], 0) > 0)[words]
@@ -162,9 +203,13 @@ def automaton_scores(docs: DataFrame, order: int = 3, folds: int = 10, add: floa
     blocks = cut_blocks(docs, True, "lm-blocks")
     words = blocks.agg(F.sum("n_words")).first()[0] or 0
     ranges = range_count(words)
-    told = stored(blocks.mapInArrow(_ask(folds, order, ranges), MESSAGE)
-                  .groupBy("range").applyInArrow(_count(ranges), _COUNTED), "lm-counts")
+    answered = lambda asked: stored(asked.groupBy("range").applyInArrow(_count(ranges), _COUNTED), "lm-counts")
+    told = answered(blocks.mapInArrow(_ask(folds, order, ranges), MESSAGE))
+    for n in range(3, order + 1):
+        told = told.unionByName(answered(
+            blocks.select(*_LEAN).groupBy("block_id").cogroup(told.select(*_ANSWER).groupBy("block_id"))
+            .applyInArrow(_ask_longer(folds, n, ranges), MESSAGE)))
     known, total = told.agg(F.coalesce(F.sum("known"), F.lit(0)),
                             F.coalesce(F.sum("total"), F.lit(0))).first()
-    return (blocks.groupBy("block_id").cogroup(told.groupBy("block_id"))
+    return (blocks.select(*_LEAN).groupBy("block_id").cogroup(told.select(*_ANSWER).groupBy("block_id"))
             .applyInArrow(_score(folds, order, ranges, add, strengths, known, total), _RESULT))
