@@ -228,10 +228,10 @@ def test_linked_calls(frame):
         (3, 8, "call", "inf", "find", '{"q": Infinity}', None, None),
         (3, 9, "call", "half", "find", '{"q": "\\ud800"}', None, None)]
     found = link_tool_calls(frame(MESSAGES, [(*r, 7, "x") for r in rows]), {"find": SCHEMA}).collect()
-    assert len(found) == len(rows) - 3  # a text, and two results that are part of their calls
+    assert len(found) == len(rows) - 2  # two results are part of their calls
     state = {(r.conv_id, r.turn, r.call_id): (r.step, r.status) for r in found if r.turn is not None}
     assert state == {
-        (1, 1, "a"): (0, "ok"), (1, 3, "b"): (1, "unanswered"), (1, 5, "c"): (2, "unanswered"),
+        (1, 0, "a"): (None, "message"), (1, 1, "a"): (0, "ok"), (1, 3, "b"): (1, "unanswered"), (1, 5, "c"): (2, "unanswered"),
         (1, 4, "a"): (None, "extra_result"), (1, 9, "zz"): (None, "orphan"), (1, 8, "a"): (None, "duplicate"),
         (2, 1, "b"): (None, "orphan"), (2, 2, "x"): (None, "cycle"), (2, 3, "y"): (None, "cycle"),
         (2, 4, "w"): (None, "cycle"), (2, 5, "s"): (None, "cycle"), (3, 1, "u"): (0, "unknown_tool"),
@@ -249,14 +249,76 @@ def test_linked_calls(frame):
     assert link_tool_calls(frame(MESSAGES, []), {}).count() == 0
 
 
+def steps_by_hand(calls):
+    """Step of each call; None where a cycle holds it back."""
+    steps, moved = {}, True
+    while moved:
+        moved = False
+        for name, needs in calls.items():
+            needs = {n for n in needs if n in calls}
+            if name not in steps and needs <= steps.keys():
+                steps[name], moved = max((steps[n] + 1 for n in needs), default=0), True
+    return {name: steps.get(name) for name in calls}
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_steps_of_random_graphs(frame, seed):
+    """Chains, trees, ladders and cycles in several conversations, next to settling by hand."""
+    rnd = random.Random(seed)
+    graphs, rows = {}, []
+    for conv in range(8):
+        n = rnd.choice([1, 5, 30, 60])
+        shape = rnd.choice(["chain", "tree", "ladder", "any", "cycles"])
+        calls = {}
+        for i in range(n):
+            earlier = {"chain": [i - 1], "tree": [(i - 1) // 2], "ladder": [i - 1, i - 2],
+                       "any": rnd.sample(range(max(i, 1)), rnd.randint(0, min(i, 3))) + [i - 1] * (rnd.random() < 0.5),
+                       "cycles": [rnd.randrange(n) for _ in range(rnd.choice([0, 1, 1, 1, 2]))]}[shape]
+            calls[f"c{i}"] = {f"c{j}" for j in earlier if j >= 0} | ({"gone"} if rnd.random() < 0.1 else set())
+        graphs[conv] = steps_by_hand(calls)
+        rows += [(conv, i, "call", name, "find", '{"q": "x"}', sorted(needs) or None, None, 1, "x")
+                 for i, (name, needs) in enumerate(calls.items())]
+    rnd.shuffle(rows)
+    found = link_tool_calls(frame(MESSAGES, rows), {"find": SCHEMA}).collect()
+    assert len(found) == len(rows)
+    assert {(r.conv_id, r.call_id): r.step for r in found} == {
+        (conv, name): step for conv, steps in graphs.items() for name, step in steps.items()}
+    assert {r.status == "cycle" for r in found if r.step is None} <= {True}
+
+
+def test_a_long_chain_takes_few_rounds(frame, monkeypatch):
+    from tripflow.llm import toolcalls
+    stores = []
+    real = toolcalls.stored
+    monkeypatch.setattr(toolcalls, "stored", lambda df, label: stores.append(label) or real(df, label))
+    rows = [(1, i, "call", f"c{i}", "find", '{"q": "x"}', [f"c{i - 1}"] if i else None, None, 1, "x") for i in range(300)]
+    found = link_tool_calls(frame(MESSAGES, rows), {"find": SCHEMA}).collect()
+    assert {(r.call_id, r.step) for r in found} == {(f"c{i}", i) for i in range(300)}
+    assert stores.count("chain-moved") <= 10 and stores.count("heard") <= 2
+
+
+def test_every_turn_is_a_row_or_a_result(frame):
+    rows = [(1, 0, "system", "s"), (1, 1, "user", "question " * 9), (1, 2, "tool", "answer"), (1, 3, None, "?"),
+            (2, 0, "user", "question " * 9), (2, 1, "assistant", "a"), (2, 2, "user", "more " * 9), (2, 3, "judge", "b"),
+            (3, 0, "user", "q " * 30), (3, 1, "assistant", "a"), (3, 2, "user", "r " * 30), (3, 3, "assistant", "a"),
+            (3, 4, "user", "s " * 30), (None, 5, "user", "x")]
+    messages = tool_messages(frame("conv_id long, turn long, role string, text string", rows))
+    found = {(r.conv_id, r.turn): r for r in link_tool_calls(messages, TOOLS).collect()}
+    assert {k: r.status for k, r in found.items()} == {
+        (1, 0): "message", (1, 1): "ok", (1, 3): "message", (2, 0): "ok", (2, 2): "unanswered", (2, 3): "message",
+        (3, 0): "ok", (3, 2): "ok", (3, 4): "unanswered", (None, 5): "unidentified"}
+    assert [found[3, t].step for t in (0, 2, 4)] == [0, 1, 2]
+    assert json.loads(found[1, 0].json)["result"] == "s" and json.loads(found[1, 1].json)["result"] == "answer"
+
+
 def test_turns_as_calls(frame):
-    rows = [(1, i, "user" if i % 2 == 0 else "assistant", f"text number {i} " * 4) for i in range(16)]
+    rows = [(4, i, "user" if i % 2 == 0 else "assistant", f"text number {i} " * 4) for i in range(16)]
     rows += [(2, 0, "system", "s"), (2, 1, "user", "short"), (2, 2, "assistant", None), (2, 3, "user", None)]
     messages = tool_messages(frame("conv_id long, turn long, role string, text string", rows))
     found = {(r.conv_id, r.turn): r for r in link_tool_calls(messages, TOOLS).collect()}
-    steps = {t // 2: r.step for (c, t), r in found.items() if c == 1}
+    steps = {t // 2: r.step for (c, t), r in found.items() if c == 4}
     assert steps == {0: 0, 1: 1, 2: 1, 3: 2, 4: 2, 5: 2, 6: 2, 7: 3}
-    assert {r.status for (c, _), r in found.items() if c == 1} == {"ok"}
+    assert {r.status for (c, _), r in found.items() if c == 4} == {"ok"}
     assert found[2, 1].status == "invalid" and found[2, 3].status == "invalid"
 
 

@@ -61,15 +61,17 @@ TOOLS = {
 
 def tool_messages(conversations: DataFrame) -> DataFrame:
     """Turns as tool messages: the table holds no calls of its own, so each user turn is read as a
-    call whose arguments hold its text, and the turn after it as the result. A conversation's
-    first question is a search; the j-th question builds on question (j - 1) / 2."""
+    call whose arguments hold its text, and the assistant's or a tool's turn after it as the result. Turns of
+    other roles, or of none, are messages. A conversation's first question is a search. In conversations of
+    odd number each question builds on the one before, in the others the j-th on question (j - 1) / 2."""
     turn, half = F.col("turn"), F.floor(F.col("turn") / 2)
     name = lambda t: F.concat(F.lit("call-"), t.cast("string"))
-    asks = F.col("role") == "user"
-    parent = 2 * F.floor((half - 1) / 2) + F.pmod(turn, F.lit(2))
-    return conversations.where("role in ('user', 'assistant')").select(
-        "conv_id", "turn", F.when(asks, "call").otherwise("result").alias("kind"),
-        name(F.when(asks, turn).otherwise(turn - 1)).alias("call_id"),
+    asks, answers = (F.coalesce(F.col("role").isin(*r), F.lit(False)) for r in (["user"], ["assistant", "tool"]))
+    tree = 2 * F.floor((half - 1) / 2) + F.pmod(turn, F.lit(2))
+    parent = F.when(F.col("conv_id") % 2 == 0, tree).otherwise(turn - 2)
+    return conversations.select(
+        "conv_id", "turn", F.when(asks, "call").when(answers, "result").otherwise("message").alias("kind"),
+        name(F.when(asks, turn).when(answers, turn - 1)).alias("call_id"),
         F.when(asks, F.when(half == 0, "search").otherwise("answer")).alias("name"),
         F.when(asks, F.to_json(F.struct(F.col("text").alias("query"), "turn"))).alias("arguments"),
         F.when(asks & (half > 0), F.array(name(parent))).alias("depends_on"),

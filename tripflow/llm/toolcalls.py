@@ -2,9 +2,12 @@
 
 Method. Calls and results meet in a hash join on conversation and call identifier; of several
 results of a call the earliest is its result, and a result without a call stays as an orphan. Calls
-are ordered topologically by rounds: a call's step is one more than the largest step of the calls it
-depends on, and a round settles every call whose dependencies are settled, so there are as many
-rounds as the longest chain of dependencies has calls. Arguments are checked against the schema of
+are ordered topologically: a call's step is one more than the largest step of the calls it depends
+on. Calls that depend on one other call form chains, which are contracted first by doubling: in each
+round a call learns the ancestor of its ancestor and the distance to it, so a chain of n calls takes
+log2(n) rounds and ends at a call with no or several dependencies. Only these are then settled round
+by round, as many as lie behind each other at most; each round writes what it has settled and nothing
+else. Arguments are checked against the schema of
 their tool. Each linked call becomes one JSON text with sorted keys, no white space and every
 character as itself, so equal calls are equal texts.
 
@@ -20,7 +23,8 @@ the conversation), `cycle` (it depends on itself, directly or not; its step is n
 `malformed` (arguments that are no JSON object; null counts as none), `invalid` (arguments against
 the schema), `dangling` (it depends on a call that is not there; such dependencies do not count for
 the step), `unanswered`, `ok`. Results without a call, and repeated results, are rows of status `orphan` and
-`extra_result`. Calls without a conversation or identifier are `unidentified` and link with nothing.
+`extra_result`; messages of any other kind, or of none, are rows of status `message`, so every message
+is a row or the result in one. Calls without a conversation or identifier are `unidentified` and link with nothing.
 Numbers are written as Python writes them; of repeated keys in an object the last counts. Equal
 rows are a call and its duplicate. Columns not named here are not read. No rows in, no rows out.
 """
@@ -123,37 +127,83 @@ def _written(schemas: dict[str, dict]):
     return run
 
 
+_CALL = ["conv_id", "call_id"]
+
+
+def _chains(edges: DataFrame, single: DataFrame) -> DataFrame:
+    """(conv_id, call_id, end, far): for every call with one dependency, the nearest call before it that
+    has none or several, and the number of calls from there. Calls that a cycle holds have none."""
+    chain = stored(edges.join(single, _CALL, "left_semi").select(
+        *_CALL, F.col("needed").alias("end"), F.lit(1).cast("long").alias("far")), "chains")
+    on = single.select("conv_id", F.col("call_id").alias("end"), F.lit(True).alias("on"))
+    # a call is done when its end is no link itself
+    done = [stored(chain.join(on, ["conv_id", "end"], "left_anti").select(*chain.columns), "chain-ends")]
+    left = stored(chain.join(on, ["conv_id", "end"], "left_semi").select(*chain.columns), "chain-links")
+    for _ in range(max(chain.count(), 1).bit_length() + 1):  # by then only cycles are left
+        if left.isEmpty():
+            break
+        known = done[0]
+        for part in done[1:]:
+            known = known.unionByName(part)
+        step = (known.withColumn("last", F.lit(True)).unionByName(left.withColumn("last", F.lit(False)))
+                .toDF("conv_id", "end", "next", "more", "last"))
+        moved = stored(left.join(step, ["conv_id", "end"]).select(
+            *_CALL, F.col("next").alias("end"), (F.col("far") + F.col("more")).alias("far"), "last"), "chain-moved")
+        done.append(moved.where("last").drop("last"))
+        left = moved.where("not last").drop("last")
+    return _union(done)
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def _steps(calls: DataFrame, edges: DataFrame) -> DataFrame:
     """(conv_id, call_id, step) of every call that no cycle holds back."""
-    waiting = edges.groupBy("conv_id", "call_id").agg(F.count("*").alias("needs"))
-    settled = stored(calls.join(waiting, ["conv_id", "call_id"], "left_anti")
-                     .select("conv_id", "call_id", F.lit(0).alias("step")), "steps")
-    # what each waiting call has heard so far: dependencies settled, and their largest step
-    out = fresh = settled
-    heard = None
+    counted = stored(edges.groupBy(*_CALL).agg(F.count("*").alias("needs")), "tool-needs")
+    free = calls.select(*_CALL).join(counted, _CALL, "left_anti")
+    chains = stored(_chains(edges, counted.where("needs = 1").drop("needs")), "chains-whole")
+    # calls with several dependencies, and the ends of the chains that lead to them
+    waiting = counted.where("needs > 1")
+    near = edges.join(waiting, _CALL).join(
+        chains.select("conv_id", F.col("call_id").alias("needed"), "end", "far"), ["conv_id", "needed"], "left")
+    wanted = stored(near.join(counted.where("needs = 1").select("conv_id", F.col("call_id").alias("needed"), F.lit(True).alias("linked")),
+                              ["conv_id", "needed"], "left")
+                    # a link without an end hangs on a cycle and is never settled
+                    .select(*_CALL, "needs", F.when(F.col("linked"), F.col("end")).otherwise(F.col("needed")).alias("end"),
+                            F.coalesce("far", F.lit(0)).alias("far")), "tool-junctions")
+    settled = [stored(free.withColumn("step", F.lit(0).cast("long")), "steps")]
+    heard, fresh = None, settled[0]
     while not fresh.isEmpty():
-        told = (edges.join(fresh.withColumnRenamed("call_id", "needed"), ["conv_id", "needed"])
-                .groupBy("conv_id", "call_id").agg(F.count("*").alias("n"), F.max("step").alias("top")))
+        told = (wanted.join(fresh.withColumnRenamed("call_id", "end"), ["conv_id", "end"])
+                .groupBy(*_CALL, "needs").agg(F.count("*").alias("n"), F.max(F.col("step") + F.col("far")).alias("top")))
         if heard is not None:
-            told = (heard.unionByName(told).groupBy("conv_id", "call_id")
+            told = (heard.unionByName(told).groupBy(*_CALL, "needs")
                     .agg(F.sum("n").alias("n"), F.max("top").alias("top")))
-        state = stored(told.join(waiting, ["conv_id", "call_id"]), "heard")
-        heard = state.where("n < needs").drop("needs")
-        fresh = state.where("n = needs").select("conv_id", "call_id", (F.col("top") + 1).alias("step"))
-        out = stored(out.unionByName(fresh), "steps")
-    return out
+        state = stored(told, "heard")
+        heard = state.where("n < needs")
+        fresh = stored(state.where("n = needs").select(*_CALL, (F.col("top") + 1).alias("step")), "steps")
+        settled.append(fresh)
+    ends = _union(settled)
+    linked = chains.join(ends.withColumnRenamed("call_id", "end"), ["conv_id", "end"]).select(
+        *_CALL, (F.col("step") + F.col("far")).alias("step"))
+    return ends.unionByName(linked).withColumn("step", F.col("step").cast("int"))
 
 
 def link_tool_calls(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
-    """messages(conv_id, turn, kind, call_id, name, arguments, depends_on, content) → a row per call
-    and per result that no call claims: conv_id, turn, call_id, name, step, status, errors, json.
+    """messages(conv_id, turn, kind, call_id, name, arguments, depends_on, content) → a row per call,
+    per result that no call claims, and per other message: conv_id, turn, call_id, name, step, status,
+    errors, json.
 
-    `kind` is `call` or `result`, other messages are passed over; `arguments` is JSON text,
-    `depends_on` the identifiers of calls of the same conversation, `content` a result's text.
+    `kind` is `call` or `result`, anything else is a message; `arguments` is JSON text, `depends_on` the identifiers of calls of the same conversation, `content` a result's text.
     """
     ready(messages.sparkSession)
-    given = stored(messages.where("kind in ('call', 'result')").select(
-        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "kind",
+    kind = F.when(F.col("kind").isin("call", "result"), F.col("kind")).otherwise("message").alias("kind")
+    given = stored(messages.select(
+        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), kind,
         F.col("call_id").cast("string").alias("call_id"), F.col("name").cast("string").alias("name"),
         F.col("arguments").cast("string").alias("arguments"),
         F.col("depends_on").cast("array<string>").alias("depends_on"),
@@ -162,7 +212,7 @@ def link_tool_calls(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     key = ["conv_id", "call_id"]
     has_key = F.col("conv_id").isNotNull() & F.col("call_id").isNotNull()
     # the earliest of each identifier; the row number settles ties
-    first = (given.where(has_key).groupBy("kind", *key)
+    first = (given.where(has_key & (F.col("kind") != "message")).groupBy("kind", *key)
              .agg(F.min_by("row", F.struct(F.coalesce("turn", F.lit(1 << 62)), "row")).alias("row")))
     heads = stored(given.join(first.select("row"), "row", "left_semi"), "tool-heads")
     calls, results = heads.where("kind = 'call'"), heads.where("kind = 'result'")
@@ -180,10 +230,11 @@ def link_tool_calls(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
               .withColumn("state", F.when(F.col("step").isNull(), "cycle")))
     unclaimed = (given.join(first.select("row"), "row", "left_anti").unionByName(
         results.join(calls.select(*key), key, "left_anti")))
-    state = (F.when(~has_key, "unidentified").when(F.col("kind") == "call", "duplicate"))
+    state = (F.when(F.col("kind") == "message", "message").when(~has_key, "unidentified")
+             .when(F.col("kind") == "call", "duplicate"))
     others = (unclaimed.join(calls.select(*key, F.lit(True).alias("known")), key, "left")
               .select("conv_id", "turn", "call_id", "name", "arguments", "depends_on",
-                      F.when(F.col("kind") == "result", F.col("content")).alias("result"),
+                      F.when(F.col("kind") != "call", F.col("content")).alias("result"),
                       (F.col("kind") == "result").alias("answered"), F.lit(None).cast("int").alias("step"),
                       F.lit(None).cast("boolean").alias("dangling"),
                       F.coalesce(state, F.when(F.col("known"), "extra_result").otherwise("orphan"))
