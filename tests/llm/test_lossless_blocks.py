@@ -70,3 +70,30 @@ def test_one_block_of_many_and_none(spark, frame, monkeypatch):
     assert len(blocks) == 1 and Texts(Block(blocks[0].asDict())).rows().num_rows == 50
     assert cut_blocks(docs.limit(0), False, "test-blocks", carry=True).count() == 0
     assert without_passages(docs.limit(0)).collect() == []
+
+
+def test_runs_that_share_one_hash_are_told_apart(frame, monkeypatch):
+    """With a first hash that is the same for all runs, the second one alone decides."""
+    from tripflow.llm import substring, words
+
+    class Blunt(words.Prefix):
+        made = 0
+
+        def ranges(self, starts, size):
+            Blunt.made += 1
+            found = super().ranges(starts, size)
+            return found if Blunt.made % 2 == 0 else np.zeros_like(found)
+
+    monkeypatch.setattr(substring, "Prefix", Blunt)
+    text = lambda name: " ".join(f"{name}{i}" for i in range(30))
+    block = Block.__new__(Block)
+    ids, sizes, known = number_words([f"{text('a')} {text('b')}".encode(), text("a").encode()], False)
+    block.ids, block.sizes, block.words, block.block_id = ids, sizes, known, 0
+    block.starts, block.order = np.concatenate([[0], np.cumsum(sizes)]), np.array([1, 2])
+    block.word_hashes = words.hash_words(known)
+    block.hashes = block.word_hashes[ids]
+    found = substring._Anchors(block, 8, 20)
+    runs = substring._Runs(block, found, np.ones(len(found.keys), bool), 20)
+    assert len(set(runs.keys.tolist())) == 1 and len(runs.keys) == 41  # runs of the first text
+    again = runs.first[runs.key_of[runs.doc == 2]]
+    assert (runs.doc[again] == 1).all() and (runs.start[again] == np.arange(11)).all()

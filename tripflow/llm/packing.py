@@ -196,9 +196,9 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id
     schema = _PIECE + (", ids array<int>" if with_ids else "")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                         F.col("text").cast("string").alias("text"))
-    pieces = stored(texts.mapInArrow(_pieces(tokenizer, capacity, end_id, with_ids, added_tokens), schema), "pieces")
-    salted = pieces.withColumn(
-        "salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(_SALTS)).cast("int"))
+    pieces = texts.mapInArrow(_pieces(tokenizer, capacity, end_id, with_ids, added_tokens), schema)
+    # salted by place, so that equal pieces and rows without a doc_id spread like any others
+    salted = stored(pieces.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(_SALTS)).cast("int")), "pieces")
     counts = stored(salted.groupBy("length", "salt").agg(F.count("*").alias("n")), "lengths")
     lengths = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)

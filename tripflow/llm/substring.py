@@ -12,7 +12,8 @@ A passage that thousands of documents share costs one message per block of docum
 per two documents: each copy is compared with the earliest place only, which is all that decides
 what goes. Runs are judged on the input, not on what is left.
 
-Hashes have 64 bits: n runs that sit around shared seeds collide with probability n * n / 2^65.
+Runs are told apart by two independent hashes, 128 bits together. Anchors have 64 bits: two that
+share one by chance cost a look at the runs around them and change nothing.
 
 Null, empty and wordless texts have no words. Rows without a doc_id come after all named ones in
 the order of places. Rows that repeat a doc_id are one document: equal places do not remove each
@@ -31,7 +32,7 @@ from pyspark.sql.types import StructType
 
 from .blocks import (MESSAGE, Block, Texts, cut_blocks, each_block, messages, pack, range_count, received,
                      replies, unpack)
-from .words import U64, Prefix, whole_windows, window_hashes
+from .words import U64, Prefix, mix, whole_windows, window_hashes
 from .work import ready, stored
 
 _SPAN = "struct<start: int, stop: int, source_doc: bigint, source_start: int>"
@@ -97,18 +98,24 @@ def _answer_anchors(asked: pa.Table) -> pa.Table:
     return replies(asked, answers)
 
 
+def _changes(keys: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Where, in sorted order, a new pair of hashes begins."""
+    return np.append(True, (keys[1:] != keys[:-1]) | (others[1:] != others[:-1]))[:len(keys)]
+
+
 class _Runs:
     """The runs of a block around shared seeds, and the first place of each distinct one."""
 
     def __init__(self, block: Block, found: _Anchors, shared: np.ndarray, length: int):
         self.runs = found.on(shared.astype(bool))
         hashes = Prefix(block.hashes).ranges(self.runs, length)
+        # a second hash, of other word hashes
+        others = Prefix(mix(block.word_hashes ^ _OTHER)[block.ids]).ranges(self.runs, length)
         doc = np.searchsorted(block.starts, self.runs, side="right") - 1
         self.doc, self.start = block.order[doc], (self.runs - block.starts[doc]).astype(np.int32)
-        by = np.lexsort((self.start, self.doc, hashes))
-        ordered = hashes[by]
-        first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])[:len(ordered)])
-        self.keys = ordered[first]
+        by = np.lexsort((self.start, self.doc, others, hashes))
+        first = np.flatnonzero(_changes(hashes[by], others[by]))
+        self.keys, self.others = hashes[by][first], others[by][first]
         self.first = by[first]
         self.key_of = np.empty(len(by), np.int64)
         self.key_of[by] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(by))))
@@ -121,7 +128,7 @@ def _ask_runs(seed: int, length: int, ranges: int):
             block = Block(row)
             found = _Anchors(block, seed, length)
             runs = _Runs(block, found, received(told, np.uint8), length)
-            out.append(messages(block.block_id, ranges, runs.keys, runs.doc[runs.first],
+            out.append(messages(block.block_id, ranges, runs.keys, runs.others, runs.doc[runs.first],
                                 runs.start[runs.first]))
         schema = pa.schema({"range": pa.int32(), "block_id": pa.int64(), "payload": pa.binary()})
         return pa.Table.from_batches(out, schema)
@@ -130,10 +137,10 @@ def _ask_runs(seed: int, length: int, ranges: int):
 
 def _answer_runs(asked: pa.Table) -> pa.Table:
     """The earliest place of each run, told only where the block's own is later."""
-    held = [unpack(p, U64, np.int64, np.int32) for p in asked["payload"].to_pylist()]
-    keys, docs, starts = (np.concatenate([h[i] for h in held]) for i in range(3))
-    by = np.lexsort((starts, docs, keys))
-    first = np.flatnonzero(np.append(True, keys[by][1:] != keys[by][:-1]))
+    held = [unpack(p, U64, U64, np.int64, np.int32) for p in asked["payload"].to_pylist()]
+    keys, others, docs, starts = (np.concatenate([h[i] for h in held]) for i in range(4))
+    by = np.lexsort((starts, docs, others, keys))
+    first = np.flatnonzero(_changes(keys[by], others[by]))
     source = np.empty(len(by), np.int64)
     source[by] = np.repeat(by[first], np.diff(np.append(first, len(by))))
     doc, start = docs[source], starts[source]
@@ -154,6 +161,8 @@ def _sources(told: pa.Table) -> list[np.ndarray]:
             for i, kind in enumerate((np.uint8, np.int64, np.int32))]
 
 
+_OTHER = U64(0xA0761D6478BD642F)
+
 #: What becomes of a block and its repeated runs: their first words, and the sources of each.
 _Finish = Callable[[Block, np.ndarray, np.ndarray, np.ndarray, int], Iterator[pa.RecordBatch]]
 
