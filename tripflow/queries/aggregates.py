@@ -225,6 +225,16 @@ def single_value(spark, sf_dir):
     return spark.range(1).select(F.lit(newest).cast("timestamp").alias("newest"))
 
 
+@query("results_as_dict", """SELECT o_orderstatus AS status, CAST(count(*) AS BIGINT) AS n_orders,
+    CAST(max(o_orderkey) AS BIGINT) AS last_order FROM orders GROUP BY 1""")
+def results_as_dict(spark, sf_dir):
+    """A small result as lists per column, with a limit, and back as rows."""
+    found = t.table(spark, sf_dir, "orders").groupBy(F.col("o_orderstatus").alias("status")).agg(
+        F.count("*").alias("n_orders"), F.max("o_orderkey").alias("last_order"))
+    lists = agg.results_as_dict(found, max_rows=100)
+    return spark.createDataFrame(list(zip(*(lists[c] for c in found.columns))), found.schema)
+
+
 @query("explode_top_values", r"""SELECT word, count(*) AS n_rows
 FROM (SELECT unnest(string_split_regex(lower(text), '\s+')) AS word FROM documents)
 WHERE word <> '' GROUP BY word ORDER BY n_rows DESC, word LIMIT 20""")
