@@ -5,9 +5,13 @@ projection makes a distance longer. Vectors are projected on their leading princ
 sorted by grid cells of width eps on these, first direction first (epsilon grid order). The sequence
 is cut into blocks with bounding boxes; intervals of blocks are joined recursively from the whole
 sequence down, and a pair of intervals whose boxes are more than eps apart is skipped with all that
-lies in it. Pairs of blocks that are left are joined in tasks, again interval by interval, by their
-cosines in double precision. The directions are fitted on a bounded sample; they decide how much is
-skipped, never what is found.
+lies in it. The length of what lies outside the directions is one more coordinate: the distance of two vectors
+is no less than that of their coordinates and these lengths.
+
+Pairs of blocks that are left are first held against each other by these few numbers, in single
+precision with a margin; only the vectors that come within eps of one in the other block so are sent
+whole and joined, again interval by interval, by their cosines in double precision. The directions are
+fitted on a bounded sample; they decide how much is skipped, never what is found.
 
 Equal vectors are one vector with a number of copies, so copies cost nothing. A task returns the
 number of links per vector and its links' components as stars, never the pairs themselves, so a
@@ -37,6 +41,8 @@ from .work import ready, stored
 #: a power of two), and vectors the directions are fitted on.
 BLOCK_ROWS, INNER_ROWS, FAN_BITS, SAMPLE = 2048, 256, 7, 8192
 _SLACK = 1e-9
+#: Single precision moves a squared distance of unit vectors by less than this.
+_MARGIN = 1e-5
 
 
 def _clean(width: int):
@@ -78,6 +84,14 @@ def directions(sample: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
     return mean, np.ascontiguousarray(vectors[:, ::-1][:, :count])
 
 
+def _coordinates(units: np.ndarray, mean: np.ndarray, axes: np.ndarray) -> np.ndarray:
+    """Projections on the directions, and the length of the rest."""
+    centred = units - mean
+    seen = centred @ axes
+    rest = centred - seen @ axes.T
+    return np.column_stack([seen, np.sqrt((rest * rest).sum(axis=1))])
+
+
 def _project(width: int, mean: np.ndarray, axes: np.ndarray, eps: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -99,12 +113,13 @@ def _block(width: int, mean: np.ndarray, axes: np.ndarray):
 
         def block() -> pa.RecordBatch:
             units = _units(data, width)
-            seen = (units - mean) @ axes
+            seen = _coordinates(units, mean, axes)
             return pa.RecordBatch.from_arrays(
                 [pa.array([place]), pa.array([seen.min(axis=0).tolist()]),
                  pa.array([seen.max(axis=0).tolist()]), pa.array([np.array(names, np.int64).tobytes()]),
-                 pa.array([np.array(copies, np.int64).tobytes()]), pa.array([units.tobytes()])],
-                ["place", "low", "high", "names", "copies", "units"])
+                 pa.array([np.array(copies, np.int64).tobytes()]), pa.array([units.tobytes()]),
+                 pa.array([seen.astype(np.float32).tobytes()])],
+                ["place", "low", "high", "names", "copies", "units", "seen"])
 
         for batch in batches:
             for name, copy, vector in zip(*(batch[c].to_pylist() for c in ("head", "copies", "data"))):
@@ -162,9 +177,51 @@ def _roots(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
         root = new
 
 
+def _near(count: int, eps: float):
+    """Of pairs of blocks, the rows on each side that some row on the other may be near to."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for a, b, seen, other in zip(*(batch[c].to_pylist() for c in ("a", "b", "seen", "seen2"))):
+                one, two = (np.frombuffer(x, np.float32).reshape(-1, count).astype(np.float64) for x in (seen, other))
+                apart = one @ two.T
+                apart *= -2
+                apart += (one * one).sum(axis=1)[:, None]
+                apart += (two * two).sum(axis=1)
+                near = apart <= (eps + _SLACK) ** 2 + _MARGIN
+                if a == b:
+                    near = np.triu(near, 1)
+                left, right = near.any(axis=1), near.any(axis=0)
+                if a == b:
+                    left = right = left | right
+                if left.any():
+                    rows = [np.flatnonzero(x).astype(np.int32).tobytes() for x in (left, right)]
+                    out += [(a, a, b, 0, rows[0])] + ([(b, a, b, 1, rows[1])] if a != b else [])
+            columns = list(zip(*out)) or [[]] * 5
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()))],
+                ["place", "a", "b", "side", "rows"])
+    return run
+
+
+def _send(width: int):
+    """The wanted rows of a block, one pair of blocks after the other."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                wanted = batch.slice(at, 1)
+                rows = np.frombuffer(wanted["rows"][0].as_py(), np.int32)
+                parts = [np.frombuffer(wanted[c][0].as_py(), np.int64)[rows] for c in ("names", "copies")]
+                units = np.frombuffer(wanted["units"][0].as_py(), np.float64).reshape(-1, width)[rows]
+                yield pa.RecordBatch.from_arrays(
+                    [wanted["a"], wanted["b"], wanted["side"], *(pa.array([p.tobytes()]) for p in (*parts, units))],
+                    ["a", "b", "side", "names", "copies", "units"])
+    return run
+
+
 def _join(width: int, mean: np.ndarray, axes: np.ndarray, eps: float, least: float):
     def parts(units: np.ndarray) -> list[tuple[slice, np.ndarray, np.ndarray]]:
-        seen = (units - mean) @ axes
+        seen = _coordinates(units, mean, axes)
         out = []
         for at in range(0, len(units), INNER_ROWS):
             rows = slice(at, min(at + INNER_ROWS, len(units)))
@@ -189,35 +246,25 @@ def _join(width: int, mean: np.ndarray, axes: np.ndarray, eps: float, least: flo
             return np.empty(0, np.int64), np.empty(0, np.int64)
         return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(batch.num_rows):
-                row = {c: batch[c][at].as_py() for c in batch.schema.names}
-                one = np.frombuffer(row["units"], np.float64).reshape(-1, width)
-                names, copies = (np.frombuffer(row[c], np.int64) for c in ("names", "copies"))
-                same = row["a"] == row["b"]
-                if same:
-                    i, j = links(one, one, True)
-                else:
-                    two = np.frombuffer(row["units2"], np.float64).reshape(-1, width)
-                    i, j = links(one, two, False)
-                    j = j + len(one)
-                    names = np.concatenate([names, np.frombuffer(row["names2"], np.int64)])
-                    copies = np.concatenate([copies, np.frombuffer(row["copies2"], np.int64)])
-                if not len(i):
-                    continue
-                counts = np.zeros(len(names), np.int64)
-                np.add.at(counts, i, copies[j])
-                np.add.at(counts, j, copies[i])
-                hit = np.flatnonzero(counts)
-                root = _roots(i, j, len(names))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(names[hit]), pa.array(names[root[hit]]), pa.array(counts[hit])],
-                    ["a", "b", "links"])
+    def run(sent: pa.Table) -> pa.Table:
+        sides = sorted(sent.to_pylist(), key=lambda r: r["side"])
+        units = [np.frombuffer(r["units"], np.float64).reshape(-1, width) for r in sides]
+        names, copies = (np.concatenate([np.frombuffer(r[c], np.int64) for r in sides]) for c in ("names", "copies"))
+        if len(sides) == 1:
+            i, j = links(units[0], units[0], True)
+        else:
+            i, j = links(units[0], units[1], False)
+            j = j + len(units[0])
+        counts = np.zeros(len(names), np.int64)
+        np.add.at(counts, i, copies[j])
+        np.add.at(counts, j, copies[i])
+        hit = np.flatnonzero(counts)
+        root = _roots(i, j, len(names)) if len(i) else np.empty(0, np.int64)
+        return pa.table({"a": names[hit], "b": names[root[hit]] if len(hit) else names[:0], "links": counts[hit]})
     return run
 
 
-def near_vectors(vectors: DataFrame, cosine: float = 0.95, count: int = 8) -> DataFrame:
+def near_vectors(vectors: DataFrame, cosine: float = 0.95, count: int = 16) -> DataFrame:
     """vectors(vec_id, embedding) → (vec_id, n_links, component_id, kept), one row per input row.
 
     Vectors link where their cosine is at least `cosine`; `count` principal directions order them.
@@ -245,12 +292,16 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95, count: int = 8) -> Da
         # the id splits a cell that very many vectors share
         blocks = stored(ordered.repartitionByRange(*cells, "head").sortWithinPartitions(*cells, "head")
                         .mapInArrow(_block(width, mean, axes), "place long, low array<double>, "
-                                    "high array<double>, names binary, copies binary, units binary"),
+                                    "high array<double>, names binary, copies binary, units binary, seen binary"),
                         "vector-blocks")
-        pairs = interval_pairs(blocks, count, eps)
-        left = blocks.select(F.col("place").alias("a"), "names", "copies", "units")
-        right = left.toDF("b", "names2", "copies2", "units2")
-        found = stored(pairs.join(left, "a").join(right, "b").mapInArrow(
+        pairs = interval_pairs(blocks, count + 1, eps)
+        left = blocks.select(F.col("place").alias("a"), "seen")
+        right = left.toDF("b", "seen2")
+        wanted = stored(pairs.join(left, "a").join(right, "b").mapInArrow(
+            _near(count + 1, eps), "place long, a long, b long, side int, rows binary"), "vector-rows")
+        sent = wanted.join(blocks.select("place", "names", "copies", "units"), "place").mapInArrow(
+            _send(width), "a long, b long, side int, names binary, copies binary, units binary")
+        found = stored(sent.groupBy("a", "b").applyInArrow(
             _join(width, mean, axes, eps, cosine), "a long, b long, links long"), "vector-links")
         counts = found.groupBy(F.col("a").alias("head")).agg(F.sum("links").alias("links"))
         groups = components(found.select("a", "b")).withColumnRenamed("id", "head")
