@@ -1,10 +1,10 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from datetime import datetime
 
 import pytest
-from pyspark.sql import functions as F
 
 from tests.conftest import rows_of
 from tripflow import functions as fn
@@ -17,35 +17,43 @@ def column(df, expression):
     return [r[0] for r in df.select(expression.alias("x")).collect()]
 
 
+ADDENDS = [(7, -2, 10), (None, 8, None), (5, None, -9), (-4, -4, None), (None, None, None)]
+
+
 def test_safe_add(frame):
-    df = frame("a int, b int, c int", [(1, 2, 3), (1, None, 3), (None, None, 2), (None, None, None)])
-    assert column(df, fn.safe_add(["a", "b", "c"])) == [6, 4, 2, 0]
+    df = frame("a int, b int, c int", ADDENDS)
+    assert column(df, fn.safe_add(["a", "b", "c"])) == [sum(x or 0 for x in row) for row in ADDENDS]
     with pytest.raises(TypeError):
         fn.safe_add("a")
 
 
 def test_safe_subtract(frame):
-    df = frame("a int, b int, c int", [(3, 2, 1), (4, None, 3), (None, None, 2), (None, None, None)])
-    assert column(df, fn.safe_subtract(["a", "b", "c"])) == [0, 1, -2, 0]
+    df = frame("a int, b int, c int", ADDENDS)
+    assert column(df, fn.safe_subtract(["a", "b", "c"])) == [(a or 0) - (b or 0) - (c or 0) for a, b, c in ADDENDS]
 
 
 def test_safe_divide(frame):
-    df = frame("a double, b double", [(6.0, 0.0), (10.0, 5.0), (None, None), (None, 0.0), (17.0, None),
-                                      (0.0, None), (None, 9.0), (0.0, 5.0)])
-    assert column(df, fn.safe_divide("a", "b")) == [None, 2.0, None, None, None, None, None, 0.0]
+    rows = [(9.0, 4.0), (-1.0, 8.0), (3.0, 0.0), (0.0, 0.0), (None, 2.0), (2.0, None), (None, None), (0.0, -3.0)]
+    df = frame("a double, b double", rows)
+    assert column(df, fn.safe_divide("a", "b")) == [None if a is None or not b else a / b for a, b in rows]
 
 
 def test_width_bucket(frame):
-    values = [190000.0, 290000.0, 320000.0, 399999.99, 400000.0, 470000.0, 510000.0, 610000.0, 600000.0,
-              700000.0]
+    """Bounds of eight buckets belong to the bucket above; the end of the range is beyond it."""
+    values = [9.99, 10.0, 14.99, 15.0, 31.0, 44.9, 45.0, 49.99, 50.0, 1e6, -3.0]
     df = frame("v double", [(v,) for v in values])
-    assert column(df, fn.width_bucket("v", 200000, 600000, 4)) == [0, 1, 2, 2, 3, 3, 4, 5, 5, 5]
+    by_hand = [0 if v < 10 else 9 if v >= 50 else int((v - 10) // 5) + 1 for v in values]
+    assert column(df, fn.width_bucket("v", 10, 50, 8)) == by_hand
 
 
 def test_haversine(frame):
-    df = frame("a double, b double, c double, d double", [(48.864716, 2.349014, 52.379189, 4.899431)])
-    assert column(df, F.round(fn.haversine("a", "b", "c", "d"), 4)) == [267.4359]
-    assert column(df, F.round(fn.haversine("a", "b", "c", "d", "km"), 4)) == [430.3953]
+    """Quarters and halves of great circles, and a point to itself."""
+    df = frame("a double, b double, c double, d double", [
+        (0.0, 0.0, 0.0, 90.0), (-90.0, 12.0, 90.0, 77.0), (0.0, -45.0, 90.0, 10.0), (51.5, -0.1, 51.5, -0.1)])
+    quarter = 3961 * math.pi / 2
+    assert column(df, fn.haversine("a", "b", "c", "d")) == pytest.approx([quarter, 2 * quarter, quarter, 0])
+    kilometres = column(df, fn.haversine("a", "b", "c", "d", "km"))
+    assert kilometres == pytest.approx([x * 1.60934 for x in (quarter, 2 * quarter, quarter, 0)])
     with pytest.raises(ValueError):
         fn.haversine("a", "b", "c", "d", "yd")
 
