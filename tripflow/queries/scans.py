@@ -8,10 +8,11 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from ..functions import row_fingerprint
+from ..operators import incremental
 from ..operators.dedup import keep_first
 from ..schemas import declared
 from ..session import work_dir
-from ..sources import audit, clustered, json_arrays, readers, rejects, writers
+from ..sources import audit, clustered, committed, json_arrays, readers, rejects, writers
 from . import _tables as t
 from ._registry import query
 
@@ -191,6 +192,18 @@ def _storage(spark, sf_dir):
     return audit.storage_audit(spark, {"csv": csv, "parquet": parquet}, "part-*")
 
 
+@query("store_round_trip", """SELECT o_orderkey, o_orderstatus, CAST(1 AS INTEGER) AS version FROM orders""")
+def store_round_trip(spark, sf_dir):
+    """A committed table on a store that is known by name only: written, merged, compacted and read."""
+    root = writers.mount(spark, f"lake{uuid.uuid4().hex}", work_dir(spark, "store")) + "/orders"
+    orders = t.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    wrong = orders.where("o_orderkey % 2 = 0").withColumn("version", F.lit(0))
+    incremental.merge_partitions(spark, wrong, root, "o_orderkey", "o_orderstatus")
+    incremental.merge_partitions(spark, orders.withColumn("version", F.lit(1)), root, "o_orderkey", "o_orderstatus")
+    incremental.compact_partitions(spark, root, most_loads=0)
+    return committed.read_committed(spark, root)
+
+
 @query("storage_audit")
 def storage_audit(spark, sf_dir):
     return _storage(spark, sf_dir)

@@ -29,6 +29,17 @@ def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
     return [status.getPath().toString() for status in found or []]
 
 
+def mount(spark: SparkSession, store: str, folder: str) -> str:
+    """A folder under a store's name, so that jobs need not know where it lies: `viewfs://store/data`. Paths
+    below it go through Hadoop's file systems only, as those of an object store do. The folder has no spaces."""
+    conf = spark._jsc.hadoopConfiguration()
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = hadoop_path.getFileSystem(conf)
+    files.mkdirs(hadoop_path)
+    conf.set(f"fs.viewfs.mounttable.{store}.link./data", files.makeQualified(hadoop_path).toUri().toString())
+    return f"viewfs://{store}/data"
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a file, or a folder with all it holds."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
