@@ -155,11 +155,29 @@ def linked(rows, size, percent):
 @pytest.mark.parametrize("size,percent", [(3, 85), (5, 80)])
 def test_near_duplicates(docs, size, percent, monkeypatch):
     monkeypatch.setattr(minhash, "_CHUNK", 16)  # buckets of several chunks
+    monkeypatch.setattr(minhash, "_SET_SHINGLES", 300)
     rows = [*family(size, 120), (200, "Same Text"), (201, "same text"), (202, "alone"), (203, "")]
     found = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(docs(rows), size, percent).collect()}
     assert found == linked(rows, size, percent)
 
 
+@pytest.mark.parametrize("apart", [True, False])
+def test_buckets_of_unlike_documents(docs, apart, monkeypatch):
+    """Bands of one bin bring unlike documents together; only sets of likely partners are sent."""
+    asked = []
+    build = minhash._missing_links
+    monkeypatch.setattr(minhash, "_CHUNK", 8)
+    monkeypatch.setattr(minhash, "_missing_links", lambda percent: asked.append(percent) or build(percent))
+    shared = " ".join(f"common{i}" for i in range(70))
+    rows = [(i, f"{shared} " + " ".join(f"own{i}x{k}" for k in range(130))) for i in range(40)]
+    if not apart:  # two groups of near copies whose bucket is headed by an unlike document
+        rows += [(100 + i, f"{rows[g][1]} more{i}") for i, g in enumerate([20, 30] * 6)]
+    found = {r.doc_id: (r.n_shingles, r.component_id)
+             for r in near_duplicates(docs(rows), 5, 80, bands=128, rows=1).collect()}
+    assert found == linked(rows, 5, 80)
+    assert bool(asked) == (not apart)
+
+
 def test_near_duplicates_of_odd_rows(docs):
     found = near_duplicates(docs(ODD)).collect()
     assert len(found) == len(ODD)

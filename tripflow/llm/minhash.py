@@ -8,8 +8,9 @@ star around its smallest document, not n * n / 2 pairs. Edges are confirmed on t
 sets, and confirmed links make components.
 
 A star can miss a link between two of its leaves. Buckets whose documents are still in different
-components after the stars are therefore compared in chunks, inside tasks: signatures rule out most
-pairs, the rest are tried on their full sets, and only the links that join components come out.
+components after the stars are therefore compared in chunks, inside tasks. Signatures go first: they
+name the documents of a bucket that have a likely partner in another component, and only the sets of
+those are sent, in chunks of bounded size, tried in full, and give the links that join components.
 Equal shingle sets are one document for all of this, so copies cost nothing after the first shuffle.
 
 With 25 bands of 5 bins a pair at similarity 0.85 fails to meet with probability 4e-7, one at 0.8
@@ -36,7 +37,10 @@ from .words import U64, encode, hash_words, mix, number_words, starts_of, window
 from .work import kept_beyond, private_tables, ready, stored, unused
 
 _ATTEMPTS = 4096
-_CHUNK = 512
+#: Documents of a bucket whose signatures meet in one task.
+_CHUNK = 1024
+#: Documents, and shingles of them all, whose sets do.
+_SET_CHUNK, _SET_SHINGLES = 512, 1 << 20
 
 
 def shingle_sets(texts: list[bytes], size: int) -> Iterator[np.ndarray]:
@@ -127,41 +131,65 @@ def _sets(size: int):
     return run
 
 
-def _missing_links(percent: int):
-    """Links between the components of one chunk pair of a bucket, as few as join them.
+class _Chunks:
+    """One chunk of a bucket, or two to be held against each other."""
 
-    Set sizes and signatures (five deviations of the estimate) rule pairs out; the others are tried
-    on their full sets, the likeliest first, until the two are in one component. A pair that meets
-    in several bands is tried in the first of them.
-    """
-    least = percent / 100
+    def __init__(self, table: pa.Table, sizes: np.ndarray, percent: int):
+        self.ids = table["doc_id"].to_numpy()
+        self.label = np.unique(table["component"].to_numpy(), return_inverse=True)[1]
+        self.side, band = table["side"].to_numpy(), table["band"][0].as_py()
+        signs = b"".join(table["signature"].to_pylist())
+        self.signs = np.frombuffer(signs, np.uint8).reshape(len(self.ids), -1)
+        places = np.array(table["buckets"].to_pylist(), np.int64).reshape(len(self.ids), -1)
+        self.earlier, self.sizes, self.least = places[:, :band], sizes.astype(np.float64), percent / 100
+        # side 0 is to be held against side 1, side 2 against itself
+        self.left, self.right = np.flatnonzero(self.side != 1), np.flatnonzero(self.side != 0)
+
+    def likely(self, a: int) -> np.ndarray:
+        """Partners of a in other components that set sizes and signatures (five deviations of the
+        estimate) do not rule out, the likeliest first. A pair that meets in several bands is left to the
+        first of them."""
+        b, least = self.right, self.least
+        b = b[(self.label[b] != self.label[a]) & ((self.side[a] != 2) | (self.ids[b] > self.ids[a]))]
+        small, large = np.minimum(self.sizes[b], self.sizes[a]), np.maximum(self.sizes[b], self.sizes[a])
+        b, small = b[small >= least * large], small[small >= least * large]
+        agree = (self.signs[b] == self.signs[a]).mean(axis=1)
+        margin = 5 * np.sqrt(least * (1 - least) / np.clip(small, 1, self.signs.shape[1]))
+        near = (agree >= least - margin) & ~(self.earlier[b] == self.earlier[a]).any(axis=1)
+        return b[near][np.argsort(-agree[near], kind="stable")]
+
+
+def _with_partners(percent: int):
+    """The documents of one chunk pair that have a likely partner in another component."""
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        held = _Chunks(table, table["n_shingles"].to_numpy(), percent)
+        found = np.zeros(len(held.ids), bool)
+        for a in held.left:
+            partners = held.likely(a)
+            found[partners] = True
+            found[a] |= len(partners) > 0
+        return table.filter(pa.array(found)).select(["band", "bucket", "doc_id", "n_shingles", "component"])
+    return run
 
+
+def _missing_links(percent: int):
+    """Links between the components of one chunk pair, as few as join them: likely pairs are tried on
+    their full sets until the two are in one component."""
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        ids = table["doc_id"].to_numpy()
-        label = np.unique(table["component"].to_numpy(), return_inverse=True)[1]
-        side, band = table["side"].to_numpy(), table["band"][0].as_py()
-        signs = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint8).reshape(len(ids), -1)
-        places = np.array(table["buckets"].to_pylist(), np.int64).reshape(len(ids), -1)[:, :band]
         sets = [v.to_numpy().view(U64) for v in (s.values for s in table["shingles"])]
-        sizes = np.array([len(s) for s in sets], np.float64)
+        held = _Chunks(table, np.array([len(s) for s in sets]), percent)
+        ids, label = held.ids, held.label
 
         def linked(a: int, b: int) -> bool:
             one, two = sets[a], sets[b]
             common = np.count_nonzero(two[np.minimum(np.searchsorted(two, one), len(two) - 1)] == one)
             return 100 * common >= percent * (len(one) + len(two) - common)
 
-        # side 0 is to be held against side 1, side 2 against itself
-        left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
         links = []
-        for a in left:
-            b = right[(label[right] != label[a]) & ((side[a] != 2) | (ids[right] > ids[a]))]
-            small, large = np.minimum(sizes[b], sizes[a]), np.maximum(sizes[b], sizes[a])
-            b, small = b[small >= least * large], small[small >= least * large]
-            agree = (signs[b] == signs[a]).mean(axis=1)
-            margin = 5 * np.sqrt(least * (1 - least) / np.clip(small, 1, signs.shape[1]))
-            likely = (agree >= least - margin) & ~(places[b] == places[a]).any(axis=1)
-            b = b[likely][np.argsort(-agree[likely], kind="stable")]
+        for a in held.left:
+            b = held.likely(a)
             while len(b):
                 if linked(a, b[0]):
                     links.append((int(ids[a]), int(ids[b[0]])))
@@ -174,26 +202,41 @@ def _missing_links(percent: int):
     return run
 
 
+def _against_each_other(rows: DataFrame, chunks: Column) -> DataFrame:
+    """Each document once per chunk of its bucket; rows of one (band, bucket, c0, c1) meet."""
+    return (rows.withColumn("chunks", chunks.cast("int"))
+            .withColumn("chunk", F.pmod(F.xxhash64("doc_id"), "chunks").cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+            .withColumn("c0", F.least("chunk", "other")).withColumn("c1", F.greatest("chunk", "other"))
+            .withColumn("side", F.when(F.col("chunk") == F.col("other"), 2)
+                        .when(F.col("chunk") < F.col("other"), 0).otherwise(1))
+            .drop("n", "chunks", "chunk", "other"))
+
+
 def _links_between(stars: DataFrame, full: DataFrame, sets: DataFrame, parts: DataFrame,
                    percent: int) -> DataFrame:
     """Links (a, b) that join components within buckets. A bucket is compared in chunks of a bounded
-    number of documents, each pair of chunks in a task of its own."""
+    size, each pair of chunks in a task of its own: by signatures first, by sets what they leave."""
     placed = stored(stars.join(parts.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn(
         "component", F.coalesce("component", "doc_id")), "placed")
     mixed = (placed.groupBy("band", "bucket")
              .agg(F.min("component").alias("c0"), F.max("component").alias("c1"),
                   F.count("*").alias("n")).where("c0 <> c1 and n > 2").drop("c0", "c1"))
-    chunks = F.ceil(F.col("n") / _CHUNK).cast("int")
-    cast = (placed.join(mixed, ["band", "bucket"])
-            .join(full.select("doc_id", "signature", "buckets"), "doc_id").join(sets, "doc_id")
-            .withColumn("chunk", F.pmod(F.xxhash64("doc_id"), chunks).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
-            .select("band", "bucket", "doc_id", "component", "signature", "buckets", "shingles",
-                    F.least("chunk", "other").alias("c0"), F.greatest("chunk", "other").alias("c1"),
-                    F.when(F.col("chunk") == F.col("other"), 2)
-                    .when(F.col("chunk") < F.col("other"), 0).otherwise(1).alias("side")))
-    return (cast.groupBy("band", "bucket", "c0", "c1")
-            .applyInArrow(_missing_links(percent), "a long, b long").distinct())
+    signs = full.select("doc_id", "n_shingles", "signature", "buckets")
+    met = (_against_each_other(placed.drop("a").join(mixed, ["band", "bucket"]).join(signs, "doc_id"),
+                               F.ceil(F.col("n") / _CHUNK))
+           .groupBy("band", "bucket", "c0", "c1"))
+    near = stored(met.applyInArrow(_with_partners(percent), "band int, bucket long, doc_id long, "
+                                   "n_shingles long, component long").distinct(), "with-partners")
+    if near.isEmpty():
+        return near.select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b"))
+    load = near.groupBy("band", "bucket").agg(F.greatest(
+        F.count("*") / _SET_CHUNK, F.sum("n_shingles") / _SET_SHINGLES).alias("n"))
+    tried = (_against_each_other(near.select("band", "bucket", "doc_id", "component").distinct()
+                                 .join(load, ["band", "bucket"]).join(signs.drop("n_shingles"), "doc_id")
+                                 .join(sets, "doc_id"), F.ceil("n"))
+             .groupBy("band", "bucket", "c0", "c1"))
+    return tried.applyInArrow(_missing_links(percent), "a long, b long").distinct()
 
 
 def _confirmed(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
