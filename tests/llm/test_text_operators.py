@@ -161,21 +161,21 @@ def test_near_duplicates(docs, size, percent, monkeypatch):
     assert found == linked(rows, size, percent)
 
 
-@pytest.mark.parametrize("apart", [True, False])
-def test_buckets_of_unlike_documents(docs, apart, monkeypatch):
-    """Bands of one bin bring unlike documents together; only sets of likely partners are sent."""
+@pytest.mark.parametrize("common,own,bands", [(70, 130, 128), (150, 20, 4)])
+def test_buckets_of_unlike_documents(docs, common, own, bands, monkeypatch):
+    """Bands of one bin bring unlike documents together. Sets are sent only where signatures leave
+    partners: none at similarity 0.2, and all at 0.78, of which only the near copies link."""
     asked = []
     build = minhash._missing_links
     monkeypatch.setattr(minhash, "_CHUNK", 8)
     monkeypatch.setattr(minhash, "_missing_links", lambda percent: asked.append(percent) or build(percent))
-    shared = " ".join(f"common{i}" for i in range(70))
-    rows = [(i, f"{shared} " + " ".join(f"own{i}x{k}" for k in range(130))) for i in range(40)]
-    if not apart:  # two groups of near copies whose bucket is headed by an unlike document
-        rows += [(100 + i, f"{rows[g][1]} more{i}") for i, g in enumerate([20, 30] * 6)]
+    shared = " ".join(f"common{i}" for i in range(common))
+    rows = [(i, f"{shared} " + " ".join(f"own{i}x{k}" for k in range(own))) for i in range(40)]
+    rows += [(100 + i, f"{rows[g][1]} more{i}") for i, g in enumerate([20, 30] * 6)]
     found = {r.doc_id: (r.n_shingles, r.component_id)
-             for r in near_duplicates(docs(rows), 5, 80, bands=128, rows=1).collect()}
+             for r in near_duplicates(docs(rows), 5, 80, bands=bands, rows=1).collect()}
     assert found == linked(rows, 5, 80)
-    assert bool(asked) == (not apart)
+    assert bool(asked) == (bands == 4)
 
 
 def test_near_duplicates_of_odd_rows(docs):
