@@ -422,6 +422,21 @@ def test_what_does_not_fit_the_sample_is_left_out(frame, monkeypatch):
     assert len(seen[-1]) == len(free) - 1
 
 
+def test_training_starts_no_python_workers(frame, monkeypatch):
+    from pyspark import SparkContext
+    rows = junk_and_prose(200, 4)
+    df, labels = frame("doc_id long, text string", [r[:2] for r in rows]), frame(
+        "doc_id long, quality int", [(d, q) for d, _, q in rows])
+    called = []
+    original = SparkContext.parallelize
+    # rows dealt out from a list pass through workers on the executors, beside those of the operators
+    monkeypatch.setattr(SparkContext, "parallelize", lambda *a, **b: called.append(a) or original(*a, **b))
+    model = train(df, labels)
+    assert not called
+    scores = {r.doc_id: r.score for r in score_documents(df, model).collect()}
+    assert np.mean([(scores[d] >= 0.5) == q for d, _, q in rows]) > 0.95
+
+
 def test_scores_of_odd_rows(docs, frame):
     none = frame("doc_id long, quality int", [])
     found = quality_scores(docs(ODD), none).collect()

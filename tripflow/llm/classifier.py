@@ -206,7 +206,8 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5, sample_rows: int =
     if not chosen:
         model.fit([], np.empty(0, np.int64), epochs, rate, seed)
         return model
-    ids = docs.sparkSession.createDataFrame([(d,) for d in chosen], "doc_id long")
+    # an Arrow table becomes rows in the JVM; a list would start Python workers of its own on executors
+    ids = docs.sparkSession.createDataFrame(pa.table({"doc_id": pa.array(list(chosen), pa.int64())}))
     rows = texts.join(F.broadcast(ids), "doc_id").collect()  # at most sample_chars
     rows.sort(key=lambda r: (r["doc_id"], r["text"] or ""))
     model.fit([r["text"] or "" for r in rows],
